@@ -1,0 +1,68 @@
+"""Previous row within a key, for keys of any size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def with_previous(
+    rows: DataFrame,
+    key: str,
+    day: str,
+    row_id: str,
+    carried: tuple[str, ...],
+    hot_share: float = 1e-4,
+    hot_floor: int = 1_000_000,
+) -> DataFrame:
+    """Add ``previous``: the ``carried`` columns of the key's preceding row by (day, id).
+
+    A key is hot when it holds more rows than ``max(hot_floor, hot_share * all rows)``.
+    Other keys take one plain window. The rows of a hot key are cut into chunks that keep
+    the order: one per day, and a day is cut again at ids drawn by hash, about one per
+    threshold's worth of rows. Each chunk is a window of its own, and only its last row
+    takes part in the window that links a key's chunks.
+
+    Size of what is broadcast: at most ``1 / hot_share`` keys can be hot, and about
+    ``1 / hot_share`` ids are drawn in all, however large the table is.
+    """
+    size = F.count(F.lit(1))
+    threshold = rows.agg(
+        F.greatest(F.lit(int(hot_floor)), F.ceil(size * hot_share)).alias("threshold")
+    ).scalar()
+    hot_keys = F.broadcast(
+        rows.groupBy(key).agg(size.alias("n")).filter(F.col("n") > threshold).select(key)
+    )
+    carry = F.struct(*carried)
+
+    plain = Window.partitionBy(key).orderBy(day, row_id)
+    ordinary = rows.join(hot_keys, key, "left_anti").select(
+        "*", F.lag(carry).over(plain).alias("previous")
+    )
+
+    hot = rows.join(hot_keys, key, "left_semi")
+    drawn = F.pmod(F.xxhash64(day, row_id), threshold) == 0
+    cuts = (
+        hot.filter(drawn)
+        .groupBy(key, day)
+        .agg(F.collect_set(row_id).alias("cuts"))
+    )
+    below = F.filter("cuts", lambda cut: cut <= F.col(row_id))
+    chunked = hot.join(F.broadcast(cuts), [key, day], "left").select(
+        *rows.columns,
+        F.when(F.col("cuts").isNull(), 0).otherwise(F.size(below)).alias("chunk"),
+    )
+    chunk_key = [key, day, "chunk"]
+    link = Window.partitionBy(key).orderBy(day, "chunk")
+    before_chunk = (
+        chunked.groupBy(*chunk_key)
+        .agg(F.max_by(carry, row_id).alias("last"))
+        .select(*chunk_key, F.lag("last").over(link).alias("before_chunk"))
+    )
+    inside = Window.partitionBy(*chunk_key).orderBy(row_id)
+    linked = (
+        chunked.withColumn("in_chunk", F.lag(carry).over(inside))
+        .join(before_chunk, chunk_key)
+        .select(*rows.columns, F.coalesce("in_chunk", "before_chunk").alias("previous"))
+    )
+    return ordinary.unionByName(linked)
