@@ -6,6 +6,8 @@ Arithmetic runs in double and is cast to decimal last: decimal division would wi
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,6 +41,15 @@ def composite_score(policy: RiskPolicy) -> Column:
     return F.when(total.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(100.0), total)))
 
 
+def half_up_cents(value: Column) -> Column:
+    """Two decimals, halves up, decided in double.
+
+    A plain cast rounds the printed digits of the double, where a sum that should end in 5
+    may print as ...4999; scaling first gives the halves back.
+    """
+    return F.floor(value * 100 + 0.5).cast("decimal(18,0)") * F.lit(Decimal("0.01"))
+
+
 def _by_tier(score: Column, attribute: str) -> Column:
     *ranked, lowest = TIERS
     branches = F
@@ -113,4 +124,5 @@ def metric_id(calculation_date: Column) -> Column:
 
     It depends on the row alone, so retried tasks and re-runs give the same id.
     """
-    return F.concat(F.lit("RISK"), F.date_format(calculation_date, "yyyyMMdd"), "account_id")
+    digits = F.replace(calculation_date.cast("string"), F.lit("-"), F.lit(""))
+    return F.concat(F.lit("RISK"), digits, "account_id")

@@ -43,28 +43,35 @@ def assess(accounts: DataFrame, observed: DataFrame, policy: RiskPolicy) -> Data
     )
 
 
-def _stored(column: str, kind: str, policy: RiskPolicy) -> Column:
-    value = F.col(column)
-    return value.try_cast(kind) if policy.documented_rules else value.cast(kind)
-
-
-def _usable(policy: RiskPolicy) -> Column:
-    """Rows the documented contract can store: ratio and score known and within type."""
-    ltv = _stored("current_ltv", policy.ltv_type, policy)
-    return ltv.isNotNull() & F.col("risk_score").isNotNull()
+def _stored(assessed: DataFrame, policy: RiskPolicy) -> DataFrame:
+    """Round to the stored types; the documented contract leaves out what does not fit."""
+    ltv, score = F.col("current_ltv"), F.col("risk_score")
+    if policy.documented_rules:
+        ltv, score = ltv.try_cast(policy.ltv_type), scoring.half_up_cents(score)
+    else:
+        ltv = ltv.cast(policy.ltv_type)
+    rows = assessed.withColumns({
+        "current_ltv": ltv,
+        "risk_score_normalized": score.cast(policy.score_type),
+        "default_probability": F.col("default_probability").cast("decimal(5,4)"),
+    })
+    if policy.documented_rules:
+        rows = rows.filter(
+            F.col("current_ltv").isNotNull() & F.col("risk_score_normalized").isNotNull()
+        )
+    return rows
 
 
-def _shape(assessed: DataFrame, calculation_date: Column, policy: RiskPolicy) -> DataFrame:
-    rows = assessed.filter(_usable(policy)) if policy.documented_rules else assessed
+def _shape(rows: DataFrame, calculation_date: Column) -> DataFrame:
     return rows.select(
         scoring.metric_id(calculation_date).alias("metric_id"),
         KEY,
         calculation_date.alias("calculation_date"),
-        _stored("current_ltv", policy.ltv_type, policy).alias("current_ltv"),
+        "current_ltv",
         "latest_credit_score",
-        _stored("risk_score", policy.score_type, policy).alias("risk_score_normalized"),
+        "risk_score_normalized",
         "risk_category",
-        F.col("default_probability").cast("decimal(5,4)").alias("default_probability"),
+        "default_probability",
         "recommended_action",
         "risk_flags",
     )
@@ -81,7 +88,7 @@ def build_risk_metrics(
 ) -> DataFrame:
     """One metrics row per scored account, from what was known at ``as_of``."""
     assessed = assess(accounts, _observed(scores, as_of, policy), policy)
-    return _shape(assessed, F.lit(as_of), policy)
+    return _shape(_stored(assessed, policy), F.lit(as_of))
 
 
 def metric_rejects(
@@ -115,8 +122,8 @@ def risk_metrics_history(
     else:
         intervals = in_force(scores, calendar)
     # The rules are evaluated once per interval, before it fans out to its dates.
-    dated = at_each_date(assess(accounts, intervals, policy), calendar)
-    return _shape(dated, F.col("calculation_date"), policy)
+    rows = _stored(assess(accounts, intervals, policy), policy)
+    return _shape(at_each_date(rows, calendar), F.col("calculation_date"))
 
 
 def accounts_without_scores(

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Building a plan otherwise records the Python call site of every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

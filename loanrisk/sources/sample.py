@@ -8,160 +8,149 @@ deliberate defects for the staging and data-quality operators.
 from __future__ import annotations
 
 from datetime import date
-from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from loanrisk.policy import DOMAINS
-from loanrisk.sources.schemas import CREDIT_SCORES, MORTGAGE_ACCOUNTS, conform, staged
+from loanrisk.sources.schemas import CREDIT_SCORES, MORTGAGE_ACCOUNTS, staged
 
 ANCHOR = date(2024, 1, 1)
 
 _CUSTOMER = "c_custkey bigint, c_nationkey int, c_mktsegment string"
 _ORDERS = "o_orderkey bigint, o_custkey bigint"
 
-_STATUS_BY_SEGMENT = {
-    "AUTOMOBILE": "Full-Time",
-    "BUILDING": "Part-Time",
-    "FURNITURE": "Self-Employed",
-    "HOUSEHOLD": "Retired",
-}
-
 
-def _key(prefix: str, number: Column, width: int) -> Column:
+def _key(prefix: str, number: str, width: int) -> str:
     """Zero-padded key; keys longer than ``width`` stay whole."""
-    digits = number.cast("string")
-    return F.concat(
-        F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
-    )
+    digits = f"CAST({number} AS STRING)"
+    return f"concat('{prefix}', lpad({digits}, greatest({width}, length({digits})), '0'))"
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.array(*map(F.lit, values))[index.cast("int")]
+def _pick(values: tuple[str, ...], index: str) -> str:
+    listed = ", ".join(f"'{value}'" for value in values)
+    return f"array({listed})[CAST({index} AS INT)]"
 
 
-def _scaled(number: Column, unit: str) -> Column:
-    return number.cast("decimal(18,0)") * F.lit(Decimal(unit))
+def _scaled(number: str, unit: str) -> str:
+    return f"CAST({number} AS DECIMAL(18,0)) * {unit}BD"
 
 
-def _days_before_anchor(days: Column) -> Column:
-    return F.date_sub(F.lit(ANCHOR), days.cast("int"))
+def _days_before_anchor(days: str) -> str:
+    return f"date_sub(DATE '{ANCHOR}', CAST({days} AS INT))"
 
 
-def _account_columns(df: DataFrame) -> DataFrame:
-    k, n = F.col("c_custkey"), F.col("c_nationkey")
-    value = 300000 + (k * 7919 + 13) % 1200001
-    basis_points = 5000 + (k * 104729 + 7) % 4501
-    product = value * basis_points
-    segment = F.col("c_mktsegment")
-    status = F.lit("Contract")
-    for name, label in _STATUS_BY_SEGMENT.items():
-        status = F.when(segment == name, label).otherwise(status)
-    return df.select(
-        "c_custkey",
-        _key("MTG", k, 8).alias("account_id"),
-        F.concat(F.lit("CUST"), (k % 9000 + 1000).cast("string")).alias("customer_id"),
-        value.alias("property_value"),
-        _scaled((product - product % 100) / 100, "0.01").alias("loan_amount"),
-        _scaled(2500 + (k * 1597) % 4001, "0.001").alias("interest_rate"),
-        (180 + 60 * (k % 4)).alias("loan_term_months"),
-        _days_before_anchor((k * 2741) % 3651).alias("origination_date"),
-        _pick(DOMAINS["property_province"], n % 10).alias("property_province"),
-        _pick(DOMAINS["property_type"], (k * 13 + n) % 4).alias("property_type"),
-        status.alias("employment_status"),
-        (50000 + (k * 15485863) % 200001).alias("annual_income"),
-    )
+_VALUE = "(300000 + (c_custkey * 7919 + 13) % 1200001)"
+_BASIS_POINTS = "(5000 + (c_custkey * 104729 + 7) % 4501)"
 
+_ACCOUNT = {
+    "account_id": _key("MTG", "c_custkey", 8),
+    "customer_id": "concat('CUST', CAST(c_custkey % 9000 + 1000 AS STRING))",
+    "property_value": _VALUE,
+    "loan_amount": _scaled(f"{_VALUE} * {_BASIS_POINTS} div 100", "0.01"),
+    "interest_rate": _scaled("(2500 + (c_custkey * 1597) % 4001)", "0.001"),
+    "loan_term_months": "180 + 60 * (c_custkey % 4)",
+    "origination_date": _days_before_anchor("(c_custkey * 2741) % 3651"),
+    "property_province": _pick(DOMAINS["property_province"], "c_nationkey % 10"),
+    "property_type": _pick(DOMAINS["property_type"], "(c_custkey * 13 + c_nationkey) % 4"),
+    "employment_status": """CASE c_mktsegment
+        WHEN 'AUTOMOBILE' THEN 'Full-Time' WHEN 'BUILDING' THEN 'Part-Time'
+        WHEN 'FURNITURE' THEN 'Self-Employed' WHEN 'HOUSEHOLD' THEN 'Retired'
+        ELSE 'Contract' END""",
+    "annual_income": "50000 + (c_custkey * 15485863) % 200001",
+}
+
+_SCORE = {
+    "score_id": _key("SCR", "o_orderkey", 10),
+    "account_id": _key("MTG", "o_custkey", 8),
+    "score_date": _days_before_anchor("(o_orderkey * 7907 + o_custkey * 31) % 731"),
+    "credit_score": """greatest(300, least(900,
+        550 + (o_custkey * 613) % 301 + (o_orderkey * 389) % 61 - 30))""",
+    "score_source": "CASE WHEN o_orderkey % 2 = 0 THEN 'Equifax' ELSE 'TransUnion' END",
+    "payment_history_score": "50 + (o_orderkey * 17) % 51",
+    "credit_utilization_pct": _scaled("(1000 + (o_orderkey * 4013) % 8001)", "0.01"),
+    "total_accounts": "3 + (o_orderkey * 23) % 18",
+    "derogatory_marks": "(o_orderkey * 101 + o_custkey) % 6",
+}
 
-def _score_columns(df: DataFrame) -> DataFrame:
-    q, u = F.col("o_orderkey"), F.col("o_custkey")
-    score = 550 + (u * 613) % 301 + (q * 389) % 61 - 30
-    return df.select(
-        "o_orderkey",
-        _key("SCR", q, 10).alias("score_id"),
-        _key("MTG", u, 8).alias("account_id"),
-        _days_before_anchor((q * 7907 + u * 31) % 731).alias("score_date"),
-        F.greatest(F.lit(300), F.least(F.lit(900), score)).alias("credit_score"),
-        F.when(q % 2 == 0, "Equifax").otherwise("TransUnion").alias("score_source"),
-        (50 + (q * 17) % 51).alias("payment_history_score"),
-        _scaled(1000 + (q * 4013) % 8001, "0.01").alias("credit_utilization_pct"),
-        (3 + (q * 23) % 18).alias("total_accounts"),
-        ((q * 101 + u) % 6).alias("derogatory_marks"),
-    )
+
+def _typed(expressions: dict[str, str], schema: StructType) -> list[str]:
+    return [
+        f"CAST({expressions[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema
+    ]
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _account_columns(spark.read.schema(_CUSTOMER).parquet(f"{sf_dir}/customer.parquet"))
+    return spark.read.schema(_CUSTOMER).parquet(f"{sf_dir}/customer.parquet")
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _score_columns(spark.read.schema(_ORDERS).parquet(f"{sf_dir}/orders.parquet"))
+    return spark.read.schema(_ORDERS).parquet(f"{sf_dir}/orders.parquet")
 
 
 def mortgage_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(_customers(spark, sf_dir), MORTGAGE_ACCOUNTS)
+    return _customers(spark, sf_dir).selectExpr(*_typed(_ACCOUNT, MORTGAGE_ACCOUNTS))
 
 
 def credit_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(_orders(spark, sf_dir), CREDIT_SCORES)
+    return _orders(spark, sf_dir).selectExpr(*_typed(_SCORE, CREDIT_SCORES))
+
+
+def _with_versions(df: DataFrame, second: str) -> DataFrame:
+    """Arrival number 0 for every row, and a second version, 1, where ``second`` holds."""
+    return df.selectExpr(
+        "*", f"explode(CASE WHEN {second} THEN array(0, 1) ELSE array(0) END) AS ingest_seq"
+    )
 
 
-def _versions(second: Column) -> Column:
-    """Arrival numbers of a staged row: 0, and 1 where a second version arrives."""
-    return F.explode(F.when(second, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+def _with_defects(
+    clean: dict[str, str], key: str, defects: dict[str, tuple[int, str]], later: dict[str, str]
+) -> dict[str, str]:
+    """First versions take a column's defect on every n-th key; second ones are clean
+    but for the ``later`` value."""
+    columns = {"ingest_seq": "ingest_seq"}
+    for name, value in clean.items():
+        branches = ""
+        if name in defects:
+            every, broken = defects[name]
+            branches += f" WHEN ingest_seq = 0 AND {key} % {every} = 0 THEN {broken}"
+        if name in later:
+            branches += f" WHEN ingest_seq = 1 THEN {later[name]}"
+        columns[name] = f"CASE{branches} ELSE {value} END" if branches else value
+    return columns
 
 
 def credit_scores_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged observations with broken keys, ranges, spellings and duplicates."""
-    q = F.col("o_orderkey")
-    first = F.col("ingest_seq") == 0
-    rows = _orders(spark, sf_dir).select("*", _versions(q % 97 == 0).alias("ingest_seq"))
-
-    def broken(column: str, every: int, value: Column) -> Column:
-        return F.when(first & (q % every == 0), value).otherwise(F.col(column))
-
-    account, score = F.col("account_id"), F.col("credit_score")
-    return conform(
-        rows.withColumns({
-            "account_id": broken(
-                "account_id", 103, F.concat(F.lit("X"), F.substring(account, 2, 1000))
-            ),
-            "credit_score": F.when(first & (q % 101 == 0), score + 600)
-            .when(~first, F.least(F.lit(900), score + 1))
-            .otherwise(score),
-            "payment_history_score": broken(
-                "payment_history_score", 83, F.col("payment_history_score") + 100
-            ),
-            "credit_utilization_pct": broken("credit_utilization_pct", 107, F.lit(None)),
-            "score_source": broken(
-                "score_source", 89, F.concat(F.lit(" "), F.lower("score_source"))
-            ),
-        }),
-        staged(CREDIT_SCORES),
+    score = _SCORE["credit_score"]
+    columns = _with_defects(
+        _SCORE,
+        "o_orderkey",
+        defects={
+            "account_id": (103, f"concat('X', substring({_SCORE['account_id']}, 2))"),
+            "credit_score": (101, f"{score} + 600"),
+            "payment_history_score": (83, f"{_SCORE['payment_history_score']} + 100"),
+            "credit_utilization_pct": (107, "NULL"),
+            "score_source": (89, f"concat(' ', lower({_SCORE['score_source']}))"),
+        },
+        later={"credit_score": f"least(900, {score} + 1)"},
     )
+    rows = _with_versions(_orders(spark, sf_dir), "o_orderkey % 97 = 0")
+    return rows.selectExpr(*_typed(columns, staged(CREDIT_SCORES)))
 
 
 def mortgage_accounts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged account versions with broken values, spellings and updates."""
-    k = F.col("c_custkey")
-    first = F.col("ingest_seq") == 0
-    rows = _customers(spark, sf_dir).select("*", _versions(k % 103 == 0).alias("ingest_seq"))
-
-    def broken(column: str, every: int, value: Column) -> Column:
-        return F.when(first & (k % every == 0), value).otherwise(F.col(column))
-
-    return conform(
-        rows.withColumns({
-            "property_value": F.when(first & (k % 113 == 0), F.lit(0))
-            .when(~first, F.col("property_value") + 25000)
-            .otherwise(F.col("property_value")),
-            "property_province": broken(
-                "property_province", 89,
-                F.concat(F.lit(" "), F.lower("property_province"), F.lit(" ")),
-            ),
-            "property_type": broken("property_type", 97, F.lit("Houseboat")),
-            "employment_status": broken("employment_status", 101, F.lit(None)),
-        }),
-        staged(MORTGAGE_ACCOUNTS),
+    columns = _with_defects(
+        _ACCOUNT,
+        "c_custkey",
+        defects={
+            "property_value": (113, "0"),
+            "property_province": (89, f"concat(' ', lower({_ACCOUNT['property_province']}), ' ')"),
+            "property_type": (97, "'Houseboat'"),
+            "employment_status": (101, "NULL"),
+        },
+        later={"property_value": f"{_VALUE} + 25000"},
     )
+    rows = _with_versions(_customers(spark, sf_dir), "c_custkey % 103 = 0")
+    return rows.selectExpr(*_typed(columns, staged(MORTGAGE_ACCOUNTS)))
