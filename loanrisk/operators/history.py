@@ -1,10 +1,11 @@
 """Operators over the dated credit observations of an account.
 
-Skew: one account may hold a large share of all observations. No operator here sends an
-account's raw rows to one task. Each first reduces them on the map side: to the newest one
-or two rows (rank limit before the exchange), to one row per account and day, or to one row
-per account and calculation date. What then meets in a per-account window is bounded by
-the number of days or dates, whatever the number of observations.
+Skew: one account may hold a large share of all observations, and no operator here sends
+that many rows to one task. Most first reduce them on the map side: to the newest one or two
+rows (rank limit before the exchange), to one row per account and day, or to one row per
+account and calculation date. What then meets in a per-account window is bounded by the
+number of days or dates. Where the rows themselves are needed in order, hot accounts are
+split off and take such a plan, while all others take one plain window.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanrisk.operators.lag import with_previous
+from loanrisk.operators.hotkeys import HotKeyLimits, split_by_size, with_previous
 from loanrisk.policy import RiskPolicy
 
 KEY = "account_id"
@@ -78,26 +79,76 @@ def _daily_highs(scores: DataFrame) -> DataFrame:
     )
 
 
-def latest_profiles(
-    scores: DataFrame, policy: RiskPolicy, as_of: date | None = None
+def _days_in_order(rows: DataFrame, policy: RiskPolicy) -> DataFrame:
+    """Daily profiles from one exchange by account: windows over its rows, then its days."""
+    by_row = Window.partitionBy(KEY).orderBy("day_number", "score_id")
+    by_day = Window.partitionBy(KEY).orderBy("day_number")
+    trailing = by_day.rangeBetween(-policy.decline_days, Window.currentRow)
+    day_high = F.max("credit_score").over(Window.partitionBy(KEY, "day_number"))
+    closings = (
+        rows.withColumns({
+            "previous_marks": F.lag("derogatory_marks").over(by_row),
+            "next_day": F.lead("day_number").over(by_row),
+        })
+        .withColumn("day_high", day_high)
+        .filter(F.col("next_day").isNull() | (F.col("next_day") > F.col("day_number")))
+    )
+    return closings.withColumn("window_high", F.max("day_high").over(trailing))
+
+
+def _days_grouped(rows: DataFrame, policy: RiskPolicy) -> DataFrame:
+    """The same from rows reduced to days first, so that an account's rows never meet."""
+    day = [KEY, "day_number"]
+    closings = _newest_with_previous_marks(rows, *day).withColumnRenamed(
+        "previous_marks", "earlier_same_day"
+    )
+    highs = rows.groupBy(*day).agg(F.max("credit_score").alias("day_high"))
+    by_day = Window.partitionBy(KEY).orderBy("day_number")
+    trailing = by_day.rangeBetween(-policy.decline_days, Window.currentRow)
+    previous_day = F.lag("derogatory_marks").over(by_day)
+    return closings.join(highs, day).withColumns({
+        "previous_marks": F.coalesce("earlier_same_day", previous_day),
+        "next_day": F.lead("day_number").over(by_day),
+        "window_high": F.max("day_high").over(trailing),
+    })
+
+
+def daily_profiles(
+    scores: DataFrame, policy: RiskPolicy, limits: HotKeyLimits = HotKeyLimits()
 ) -> DataFrame:
-    """The newest observation of each account with what the documented flags need.
+    """The last observation of each account and day, with what the documented flags need.
 
     ``previous_marks`` is the mark count one observation earlier, ``window_high`` the best
-    score dated within the decline window that ends with the newest observation.
+    score dated within the decline window that ends with the day, ``next_day`` the account's
+    next day with an observation. Days are counted as integers for the range frame.
     """
-    known = observations_until(scores, as_of)
-    newest = _newest_with_previous_marks(known, KEY)
-    window_start = F.date_sub("score_date", policy.decline_days)
-    recent = newest.join(_daily_highs(known), KEY).filter(F.col("day") >= window_start)
-    return (
-        recent.withColumnRenamed("credit_score", "latest_credit_score")
-        .groupBy(
-            KEY, "score_id", "score_date", "latest_credit_score", "derogatory_marks",
-            "credit_utilization_pct", "payment_history_score", "previous_marks",
-        )
-        .agg(F.max("day_high").alias("window_high"))
-    )
+    rows = scores.select(KEY, *_OBSERVED, F.unix_date("score_date").alias("day_number"))
+    split = split_by_size(rows, KEY, "score_id", limits)
+    columns = [
+        KEY,
+        "score_id",
+        "score_date",
+        F.col("credit_score").alias("latest_credit_score"),
+        "derogatory_marks",
+        "credit_utilization_pct",
+        "payment_history_score",
+        "previous_marks",
+        "window_high",
+        "next_day",
+    ]
+    ordinary = _days_in_order(split.ordinary, policy).select(*columns)
+    return ordinary.unionByName(_days_grouped(split.hot, policy).select(*columns))
+
+
+def latest_profiles(
+    scores: DataFrame,
+    policy: RiskPolicy,
+    as_of: date | None = None,
+    limits: HotKeyLimits = HotKeyLimits(),
+) -> DataFrame:
+    """The daily profile of each account's newest day."""
+    days = daily_profiles(observations_until(scores, as_of), policy, limits)
+    return days.filter(F.col("next_day").isNull()).drop("next_day")
 
 
 def score_declines(
@@ -169,14 +220,14 @@ def score_trends(scores: DataFrame, as_of: date | None = None) -> DataFrame:
 
 
 def score_progression(
-    scores: DataFrame, as_of: date | None = None, **hot_key_limits: float
+    scores: DataFrame, as_of: date | None = None, limits: HotKeyLimits = HotKeyLimits()
 ) -> DataFrame:
     """Every observation with its change against the account's previous one."""
     rows = observations_until(scores, as_of).select(
         KEY, "score_id", "score_date", "credit_score"
     )
     lagged = with_previous(
-        rows, KEY, "score_date", "score_id", ("score_date", "credit_score"), **hot_key_limits
+        rows, KEY, "score_date", "score_id", ("score_date", "credit_score"), limits
     )
     return lagged.select(
         KEY,
@@ -210,14 +261,6 @@ class Calendar:
         return F.date_add(F.lit(self.start), index * self.step_days)
 
 
-def _with_end(intervals: DataFrame, calendar: Calendar, order: Window) -> DataFrame:
-    """Close each interval where the account's next one opens; drop empty intervals."""
-    following = F.lead("from_index", 1, calendar.count).over(order)
-    return intervals.withColumn("to_index", following).filter(
-        F.col("from_index") < F.col("to_index")
-    )
-
-
 def in_force(scores: DataFrame, calendar: Calendar) -> DataFrame:
     """Which observation is in force at which calculation dates, as index intervals.
 
@@ -226,47 +269,31 @@ def in_force(scores: DataFrame, calendar: Calendar) -> DataFrame:
     """
     known = observations_until(scores, calendar.last)
     moment = F.struct("score_date", "score_id", *_OBSERVED[2:])
-    winners = (
+    order = Window.partitionBy(KEY).orderBy("from_index")
+    return (
         known.groupBy(KEY, calendar.first_index(F.col("score_date")).alias("from_index"))
         .agg(F.max(moment).alias("newest"))
         .select(KEY, "from_index", "newest.*")
         .withColumnRenamed("credit_score", "latest_credit_score")
+        .withColumn("to_index", F.lead("from_index", 1, calendar.count).over(order))
     )
-    order = Window.partitionBy(KEY).orderBy("from_index")
-    return _with_end(winners, calendar, order)
 
 
 def profiles_in_force(
-    scores: DataFrame, calendar: Calendar, policy: RiskPolicy
+    scores: DataFrame,
+    calendar: Calendar,
+    policy: RiskPolicy,
+    limits: HotKeyLimits = HotKeyLimits(),
 ) -> DataFrame:
     """Like ``in_force``, with what the documented flags need at every date."""
-    known = observations_until(scores, calendar.last)
-    closings = _newest_with_previous_marks(known, KEY, "score_date").withColumnRenamed(
-        "previous_marks", "earlier_same_day"
-    )
-    highs = _daily_highs(known).withColumnRenamed("day", "score_date")
-    days = (
-        closings.join(highs, [KEY, "score_date"])
-        .withColumn("day_number", F.unix_date("score_date"))
-        .withColumn("from_index", calendar.first_index(F.col("score_date")))
-    )
-    order = Window.partitionBy(KEY).orderBy("day_number")
-    trailing = order.rangeBetween(-policy.decline_days, Window.currentRow)
-    previous_day = F.lag("derogatory_marks").over(order)
-    profiled = days.select(
-        KEY,
-        "score_id",
-        "score_date",
-        "day_number",
-        "from_index",
-        F.col("credit_score").alias("latest_credit_score"),
-        "derogatory_marks",
-        "credit_utilization_pct",
-        "payment_history_score",
-        F.coalesce("earlier_same_day", previous_day).alias("previous_marks"),
-        F.max("day_high").over(trailing).alias("window_high"),
-    )
-    return _with_end(profiled, calendar, order).drop("day_number")
+    days = daily_profiles(observations_until(scores, calendar.last), policy, limits)
+    superseded = calendar.first_index(F.date_from_unix_date("next_day"))
+    intervals = days.withColumns({
+        "from_index": calendar.first_index(F.col("score_date")),
+        "to_index": F.when(F.col("next_day").isNull(), calendar.count).otherwise(superseded),
+    })
+    # A day superseded before the next calculation date is in force at none.
+    return intervals.filter(F.col("from_index") < F.col("to_index")).drop("next_day")
 
 
 def at_each_date(intervals: DataFrame, calendar: Calendar) -> DataFrame:

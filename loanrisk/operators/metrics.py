@@ -20,6 +20,7 @@ from loanrisk.operators.history import (
 )
 from loanrisk.policy import RiskPolicy
 
+_SCORE_INPUTS = ("latest_credit_score", "derogatory_marks", "credit_utilization_pct")
 _ACCOUNT_INPUTS = (KEY, "loan_amount", "property_value")
 
 
@@ -56,9 +57,9 @@ def _stored(assessed: DataFrame, policy: RiskPolicy) -> DataFrame:
         "default_probability": F.col("default_probability").cast("decimal(5,4)"),
     })
     if policy.documented_rules:
-        rows = rows.filter(
-            F.col("current_ltv").isNotNull() & F.col("risk_score_normalized").isNotNull()
-        )
+        # The score is unknown just where an input is; testing inputs spares computing it twice.
+        known = (f"{column} IS NOT NULL" for column in ("current_ltv", *_SCORE_INPUTS))
+        rows = rows.filter(" AND ".join(known))
     return rows
 
 

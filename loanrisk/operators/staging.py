@@ -91,11 +91,16 @@ def upsert(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return kept.select(*existing.columns).unionByName(batch.select(*existing.columns))
 
 
-def unseen(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def unseen(
+    existing: DataFrame, batch: DataFrame, key: str, batch_keys: DataFrame | None = None
+) -> DataFrame:
     """Rows of ``batch`` whose key ``existing`` lacks: what an append may add.
 
     Running the same batch again therefore adds nothing. The existing keys are cut down to
-    the batch's own first, so the large table is never the build side of the anti join.
+    the batch's own first: a batch below the broadcast threshold then leaves the existing
+    table unshuffled. ``batch_keys`` may name a cheaper source of (at least) those keys, such
+    as the staged table the batch comes from.
     """
-    already = existing.select(key).join(batch.select(key), key, "left_semi")
-    return batch.join(already, key, "left_anti").select(*existing.columns)
+    keys = (batch if batch_keys is None else batch_keys).select(key).distinct()
+    already = existing.select(key).join(keys, key, "left_semi")
+    return batch.join(already, key, "left_anti")

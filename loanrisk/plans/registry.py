@@ -110,12 +110,9 @@ def _clean_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.deduplicate(staged, "score_id")
 
 
-def _judged_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.with_reasons(
-        _clean_scores(spark, sf_dir),
-        staging.score_rules(),
-        parent=sample.mortgage_accounts(spark, sf_dir),
-    )
+def _judged(scores: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    parent = sample.mortgage_accounts(spark, sf_dir)
+    return staging.with_reasons(scores, staging.score_rules(), parent)
 
 
 def _judged_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +135,7 @@ def _normalized_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = _judged_scores(spark, sf_dir)
+    judged = _judged(_clean_scores(spark, sf_dir), spark, sf_dir)
     status = F.when(F.size("reasons") == 0, "valid").otherwise("rejected")
     return judged.select("score_id", KEY, "ingest_seq", status.alias("status"), "reasons")
 
@@ -155,8 +152,16 @@ def _appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = sample.credit_scores(spark, sf_dir).filter(
         F.col("score_date") < F.lit(SCORES_LOADED_UNTIL)
     )
-    batch, _ = staging.split(_judged_scores(spark, sf_dir))
-    return loaded.unionByName(staging.unseen(loaded, batch, "score_id"))
+    # Known rows go first: the anti join shares the partitioning of the deduplication, and
+    # only new rows are checked.
+    new = staging.unseen(
+        loaded,
+        _clean_scores(spark, sf_dir),
+        "score_id",
+        batch_keys=sample.credit_scores_raw(spark, sf_dir),
+    )
+    valid, _ = staging.split(_judged(new, spark, sf_dir))
+    return loaded.unionByName(valid.select(*loaded.columns))
 
 
 def _rejected_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

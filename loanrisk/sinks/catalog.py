@@ -70,7 +70,7 @@ def write_history(metrics: DataFrame, table: str, schema: StructType) -> None:
 def append_new(batch: DataFrame, table: str, key: str) -> None:
     """Append the rows of ``batch`` whose key the table lacks."""
     existing = batch.sparkSession.table(table)
-    unseen(existing, batch, key).write.insertInto(table)
+    unseen(existing, batch, key).select(*existing.columns).write.insertInto(table)
 
 
 def publish_snapshot(
