@@ -1,0 +1,134 @@
+from __future__ import annotations
+
+import uuid
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from loanrisk.operators import metrics, reports
+from loanrisk.policy import AS_CODED, CONTRACT
+from loanrisk.sinks import catalog
+from loanrisk.sources import sample
+from loanrisk.sources.schemas import CREDIT_SCORES, MORTGAGE_ACCOUNTS, RISK_METRICS
+from loanrisk.sources.tables import read_parquet, read_table
+from tests.conftest import rows_of
+
+
+@pytest.fixture
+def database(spark):
+    name = f"risk_{uuid.uuid4().hex[:8]}"
+    catalog.create_database(spark, name, "Credit risk of the bank's loans")
+    return name
+
+
+def test_database_and_tables(spark, database):
+    catalog.create_database(spark, database, "again")
+    catalog.create_tables(spark, database)
+    catalog.create_tables(spark, database)
+    described = spark.catalog.getDatabase(database).description
+    assert described == "Credit risk of the bank's loans"
+    columns = {c.name: c for c in spark.catalog.listColumns(f"{database}.credit_scores")}
+    assert list(columns) == CREDIT_SCORES.names
+    assert columns["credit_utilization_pct"].dataType == "decimal(5,2)"
+    assert columns["score_id"].description == "Unique score record identifier"
+    partitions = [
+        c.name for c in spark.catalog.listColumns(f"{database}.risk_metrics") if c.isPartition
+    ]
+    assert partitions == ["calculation_date"]
+    assert catalog.stored_counts(spark, database) == {
+        "mortgage_accounts": 0, "credit_scores": 0, "risk_metrics": 0,
+    }
+
+
+def test_overwrite_replaces_rows_and_schema(spark, database, make_accounts):
+    table = f"{database}.mortgage_accounts"
+    spark.range(3).write.saveAsTable(table)
+    assert catalog.overwrite_table(make_accounts(("A", "1.00", "2.00")), table, MORTGAGE_ACCOUNTS) == 1
+    stored = spark.table(table)
+    assert stored.dtypes == [(f.name, f.dataType.simpleString()) for f in MORTGAGE_ACCOUNTS]
+    assert read_table(spark, table, MORTGAGE_ACCOUNTS).count() == 1
+
+
+def test_read_parquet_conforms(spark, tmp_path, make_accounts):
+    path = str(tmp_path / "accounts")
+    make_accounts(("A", "1.00", "2.00")).select(*reversed(MORTGAGE_ACCOUNTS.names)).write.parquet(path)
+    read = read_parquet(spark, path, MORTGAGE_ACCOUNTS)
+    assert read.columns == MORTGAGE_ACCOUNTS.names and read.count() == 1
+
+
+def test_append_is_idempotent(spark, database, make_scores):
+    catalog.create_tables(spark, database)
+    table = f"{database}.credit_scores"
+    batch = make_scores({"score_id": "S1"}, {"score_id": "S2"})
+    catalog.append_new(batch, table, "score_id")
+    catalog.append_new(batch, table, "score_id")
+    catalog.append_new(make_scores({"score_id": "S2"}, {"score_id": "S3"}), table, "score_id")
+    assert sorted(r["score_id"] for r in spark.table(table).collect()) == ["S1", "S2", "S3"]
+
+
+def test_history_replaces_only_its_dates(spark, database, make_accounts, make_scores):
+    catalog.create_tables(spark, database)
+    table = f"{database}.risk_metrics"
+    accounts = make_accounts(("A", "50.00", "100.00"), ("B", "60.00", "100.00"))
+    scores = make_scores(
+        {"account_id": "A", "score_date": date(2023, 1, 1)},
+        {"account_id": "B", "score_date": date(2023, 1, 10)},
+    )
+
+    def run(day):
+        built = metrics.build_risk_metrics(accounts, scores, day, CONTRACT)
+        catalog.write_history(built, table, RISK_METRICS)
+
+    def stored():
+        counts = spark.table(table).groupBy("calculation_date").count()
+        return rows_of(counts)
+
+    run(date(2023, 1, 2))
+    run(date(2023, 1, 16))
+    assert stored() == [(date(2023, 1, 2), 1), (date(2023, 1, 16), 2)]
+    run(date(2023, 1, 16))
+    assert stored() == [(date(2023, 1, 2), 1), (date(2023, 1, 16), 2)]
+    spark.catalog.refreshTable(table)
+    assert reports.snapshot(spark.table(table)).count() == 2
+
+
+def test_upsert_publishes_a_new_snapshot(spark, database, make_accounts):
+    first = make_accounts(("A", "1.00", "10.00"), ("B", "2.00", "10.00"))
+    catalog.publish_snapshot(first, database, "accounts", "v1", MORTGAGE_ACCOUNTS)
+    batch = make_accounts(("B", "3.00", "10.00"), ("C", "4.00", "10.00"))
+    catalog.upsert_snapshot(batch, database, "accounts", "v2", MORTGAGE_ACCOUNTS, "account_id")
+    current = spark.table(f"{database}.accounts").select("account_id", "loan_amount")
+    assert rows_of(current) == [
+        ("A", Decimal("1.00")), ("B", Decimal("3.00")), ("C", Decimal("4.00")),
+    ]
+    assert spark.table(f"{database}.accounts__v1").count() == 2
+
+
+def test_summary_view_equals_the_function(spark, database, sf_dir):
+    catalog.create_tables(spark, database)
+    accounts, scores = sample.mortgage_accounts(spark, sf_dir), sample.credit_scores(spark, sf_dir)
+    accounts.write.insertInto(f"{database}.mortgage_accounts")
+    for day in (date(2023, 6, 1), date(2024, 1, 1)):
+        built = metrics.build_risk_metrics(accounts, scores, day, CONTRACT)
+        catalog.write_history(built, f"{database}.risk_metrics", RISK_METRICS)
+    catalog.create_summary_view(spark, database)
+    view = spark.table(f"{database}.vw_risk_summary")
+    function = reports.risk_summary(
+        spark.table(f"{database}.risk_metrics"), spark.table(f"{database}.mortgage_accounts")
+    )
+    assert view.columns == function.columns
+    assert rows_of(view) == rows_of(function)
+    assert dict(view.dtypes)["avg_risk_score"] == "decimal(10,2)"
+    assert catalog.stored_counts(spark, database)["mortgage_accounts"] == 150
+
+
+def test_temporary_view_for_sql_users(spark, sf_dir):
+    accounts, scores = sample.mortgage_accounts(spark, sf_dir), sample.credit_scores(spark, sf_dir)
+    built = metrics.build_risk_metrics(accounts, scores, date(2024, 1, 1), AS_CODED)
+    reports.risk_summary(built, accounts).createOrReplaceTempView("vw_risk_summary")
+    flagged = spark.sql("SELECT sum(high_risk_flags), sum(account_count) FROM vw_risk_summary")
+    row = flagged.first()
+    assert row[0] == row[1] == 150
+    assert spark.table("vw_risk_summary").agg(F.count("*")).first()[0] == 5
