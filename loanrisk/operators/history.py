@@ -73,12 +73,6 @@ def _newest_with_previous_marks(scores: DataFrame, *key: str) -> DataFrame:
     return grouped.select(*key, *columns, "previous_marks")
 
 
-def _daily_highs(scores: DataFrame) -> DataFrame:
-    return scores.groupBy(KEY, F.col("score_date").alias("day")).agg(
-        F.max("credit_score").alias("day_high")
-    )
-
-
 def _days_in_order(rows: DataFrame, policy: RiskPolicy) -> DataFrame:
     """Daily profiles from one exchange by account: windows over its rows, then its days."""
     by_row = Window.partitionBy(KEY).orderBy("day_number", "score_id")
@@ -152,21 +146,16 @@ def latest_profiles(
 
 
 def score_declines(
-    scores: DataFrame, policy: RiskPolicy, as_of: date | None = None
+    scores: DataFrame,
+    policy: RiskPolicy,
+    as_of: date | None = None,
+    limits: HotKeyLimits = HotKeyLimits(),
 ) -> DataFrame:
     """Accounts whose newest score fell by more than the allowed points in the window."""
-    newest = latest_scores(scores, as_of).select(
-        KEY, "score_date", F.col("latest_credit_score")
-    )
-    highs = _daily_highs(observations_until(scores, as_of))
-    window_start = F.date_sub("score_date", policy.decline_days)
     drop = F.col("window_high") - F.col("latest_credit_score")
     return (
-        newest.join(highs, KEY)
-        .filter(F.col("day") >= window_start)
-        .groupBy(KEY, "score_date", "latest_credit_score")
-        .agg(F.max("day_high").alias("window_high"))
-        .select("*", drop.alias("score_drop"))
+        latest_profiles(scores, policy, as_of, limits)
+        .select(KEY, "score_date", "latest_credit_score", "window_high", drop.alias("score_drop"))
         .filter(F.col("score_drop") > policy.decline_points)
     )
 

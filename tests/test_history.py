@@ -51,7 +51,8 @@ def test_decline_window(make_scores, drop, days, declined, limits):
         {"score_id": "S2", "score_date": newest, "credit_score": 700 - drop},
         *padding,
     )
-    assert (history.score_declines(scores, CONTRACT).count() == 1) == declined
+    found = history.score_declines(scores, CONTRACT, limits=limits)
+    assert (found.count() == 1) == declined
     profile = history.latest_profiles(scores, CONTRACT, limits=limits).first()
     above = profile["window_high"] - profile["latest_credit_score"] > CONTRACT.decline_points
     assert above == declined
