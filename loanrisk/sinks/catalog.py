@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from loanrisk.operators.reports import load_counts
 from loanrisk.operators.staging import unseen, upsert
-from loanrisk.sources.schemas import TABLES, conform
+from loanrisk.sources.schemas import HIGH_RISK_ALERTS, TABLES, conform
 
 HISTORY_PARTITION = "calculation_date"
 
@@ -67,6 +67,12 @@ def write_history(metrics: DataFrame, table: str, schema: StructType) -> None:
     )
 
 
+def write_alerts(spark: SparkSession, alerts: DataFrame, table: str) -> None:
+    """Add the alerts of their calculation dates; running a date again replaces its alerts."""
+    create_table(spark, table, HIGH_RISK_ALERTS, "High-risk account alerts", HISTORY_PARTITION)
+    write_history(alerts, table, HIGH_RISK_ALERTS)
+
+
 def append_new(batch: DataFrame, table: str, key: str) -> None:
     """Append the rows of ``batch`` whose key the table lacks."""
     existing = batch.sparkSession.table(table)

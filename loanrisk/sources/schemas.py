@@ -59,6 +59,16 @@ RISK_METRICS = StructType([
     _column("risk_flags", ArrayType(StringType()), "Risk warning flags", True),
 ])
 
+HIGH_RISK_ALERTS = StructType([
+    _column("calculation_date", DateType(), "Date the alert describes"),
+    _column("account_id", StringType(), "References mortgage_accounts(account_id)"),
+    _column("risk_category", StringType(), "Risk tier"),
+    _column("latest_credit_score", IntegerType(), "Most recent credit score"),
+    _column("risk_score_normalized", DecimalType(6, 2), "Composite risk score"),
+    _column("recommended_action", StringType(), "Portfolio management action"),
+    _column("risk_flags", ArrayType(StringType()), "Risk warning flags", True),
+])
+
 TABLES = {
     "mortgage_accounts": (MORTGAGE_ACCOUNTS, "Mortgage account master data"),
     "credit_scores": (CREDIT_SCORES, "Dated credit score observations"),

@@ -94,6 +94,22 @@ def test_history_replaces_only_its_dates(spark, database, make_accounts, make_sc
     assert reports.snapshot(spark.table(table)).count() == 2
 
 
+def test_alerts_are_written_once_per_date(spark, database, make_accounts, make_scores):
+    table = f"{database}.high_risk_alerts"
+    accounts = make_accounts(("A", "50.00", "100.00"), ("B", "60.00", "100.00"))
+    scores = make_scores(
+        {"account_id": "A", "score_date": date(2023, 1, 1), "credit_score": 580},
+        {"account_id": "B", "score_date": date(2023, 1, 1), "credit_score": 800},
+    )
+    for day in (date(2023, 1, 2), date(2023, 1, 16), date(2023, 1, 16)):
+        built = metrics.build_risk_metrics(accounts, scores, day, CONTRACT)
+        catalog.write_alerts(spark, reports.high_risk_alerts(built, day), table)
+    stored = spark.table(table).select("calculation_date", "account_id", "risk_category")
+    assert rows_of(stored) == [
+        (date(2023, 1, 2), "A", "Very High Risk"), (date(2023, 1, 16), "A", "Very High Risk"),
+    ]
+
+
 def test_upsert_publishes_a_new_snapshot(spark, database, make_accounts):
     first = make_accounts(("A", "1.00", "10.00"), ("B", "2.00", "10.00"))
     catalog.publish_snapshot(first, database, "accounts", "v1", MORTGAGE_ACCOUNTS)
