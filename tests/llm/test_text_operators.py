@@ -1,0 +1,259 @@
+"""Encoding, packing, counting, sharding and exact copies against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from loanrisk.llm import bpe, exact_dedup, packing, queries, sharding, token_counts
+
+PATH = public_tokenizers.path(queries.BPE_FILE)
+
+
+def sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def sorted_rows(df):
+    return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+def test_bpe_query(spark, scale_dir, documents, tokenizer):
+    expected = []
+    for row in documents.collect():
+        ids = tokenizer.encode(row["text"] or "", add_special_tokens=False).ids
+        decoded = tokenizer.decode(ids, skip_special_tokens=False)
+        expected.append((row["doc_id"], len(ids), sha256(" ".join(map(str, ids))), sha256(decoded)))
+    assert sorted_rows(queries.op7_bpe(spark, scale_dir)) == sorted(expected, key=repr)
+
+
+def test_bpe_odd_texts(odd_documents, no_documents, tokenizer):
+    rows = bpe.decode(bpe.encode(odd_documents, PATH).withColumnRenamed("ids", "numbers"), PATH, ids="numbers")
+    assert rows.count() == odd_documents.count()
+    for row in rows.collect():
+        assert row["decoded"] == " ".join(tokenizer.encode(row["text"] or "", add_special_tokens=False).tokens)
+    encoded = bpe.encode(odd_documents, PATH)
+    assert [c for c in encoded.columns if c.lower() == "ids"] == ["ids"]
+    for row in encoded.collect():
+        assert row["ids"] == tokenizer.encode(row["text"] or "", add_special_tokens=False).ids
+    assert bpe.decode(bpe.encode(no_documents, PATH), PATH).count() == 0
+
+
+def test_bpe_caches_only_save_time(tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_CHUNKS", 5)
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 5)
+    encoder = bpe.Encoder(PATH)
+    for k in range(30):
+        text = " ".join(f"some{k % 7} words{j * k} hére{j}!" for j in range(20))
+        got = np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist()
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_leftmost_of_equal_ranks_and_lowest_rank_first():
+    merger = bpe.PairMerger([(1, 1, 5), (0, 1, 6), (5, 5, 7)])
+    merged = merger.merge(np.array([[1, 1, 1, -1], [0, 1, 1, 1], [1, 1, 1, 1], [0, 1, 0, 1]]))
+    assert [row[row >= 0].tolist() for row in merged] == [[5, 1], [0, 5, 1], [7], [6, 6]]
+
+
+def check_packing(rows, documents, tokenizer, capacity):
+    """Every id in one piece, whole sequences gapless, digests right; returns padding and ids."""
+    by_sequence, by_document = defaultdict(list), defaultdict(list)
+    for row in rows:
+        by_sequence[row["sequence_id"]].append((row["offset"], row["length"]))
+        by_document[row["doc_id"]].append(row)
+    for pieces in by_sequence.values():
+        end = 0
+        for offset, length in sorted(pieces):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    texts = defaultdict(list)
+    for row in documents.collect():
+        texts[row["doc_id"]].append(row["text"] or "")
+    assert set(texts) == set(by_document)
+    for doc_id, of_id in texts.items():
+        expected = []
+        for text in of_id:
+            ids = [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID]
+            raw = np.array(ids, "<u4").tobytes()
+            expected += [
+                (start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]), len(ids))
+                for start, length in packing.cut(len(ids), capacity)
+            ]
+            assert sum(length for _, length in packing.cut(len(ids), capacity)) == len(ids)
+        got = [(r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in by_document[doc_id]]
+        assert sorted(got) == sorted(expected)
+    ids = sum(row["length"] for row in rows)
+    return len(by_sequence) * capacity - ids, ids
+
+
+def test_packing_query(spark, scale_dir, documents, tokenizer):
+    padding, ids = check_packing(queries.op2_harmonic_packing(spark, scale_dir).collect(), documents, tokenizer, 2048)
+    assert padding <= 0.03 * ids + 2048
+
+
+@pytest.mark.parametrize("capacity", [16, 100, 2048])
+def test_packing_odd_texts(odd_documents, tokenizer, capacity):
+    check_packing(packing.pack(odd_documents, PATH, capacity).collect(), odd_documents, tokenizer, capacity)
+
+
+def test_packing_gives_the_ids_and_takes_no_rows(odd_documents, no_documents):
+    for row in packing.pack(odd_documents, PATH, 64, with_ids=True).collect():
+        assert zlib.crc32(np.array(row["ids"], "<u4").tobytes()) == row["ids_crc32"]
+    assert packing.pack(no_documents, PATH).count() == 0
+
+
+@pytest.mark.parametrize("capacity", [2, 7, 100, 2048])
+def test_pieces_have_class_lengths(capacity):
+    classes = set((capacity // np.arange(1, capacity + 1)).tolist())
+    for length in [*range(0, 3 * capacity, 7), 12345]:
+        pieces = packing.cut(length, capacity)
+        assert {piece for _, piece in pieces} <= classes
+        assert [start for start, _ in pieces] == np.cumsum([0, *(piece for _, piece in pieces)])[:-1].tolist()
+        assert sum(piece for _, piece in pieces) == length
+
+
+def test_what_workers_leave_is_pooled(spark, monkeypatch):
+    monkeypatch.setattr(packing, "POOLED_WORKERS", 3)
+    pieces = spark.range(20_000).selectExpr(
+        "id % 700 as doc_id", "id as start", "case id % 3 when 0 then 25L when 1 then 33L else 1L end as length",
+        "0L as ids_crc32", "cast(id % 20 as int) as worker",
+    )
+    rows = packing.fill_sequences(pieces, 100).collect()
+    assert len(rows) == 20_000 and len({row["start"] for row in rows}) == 20_000
+    used = defaultdict(int)
+    for row in rows:
+        used[row["sequence_id"]] += row["length"]
+    assert max(used.values()) <= 100
+    assert len(used) <= sum(used.values()) / 99 + 8
+
+
+def exact_expected(rows):
+    top, size = {}, defaultdict(int)
+
+    def normal(text):
+        return (text or "").encode().lower()
+
+    for row in rows:
+        size[normal(row["text"])] += 1
+        doc_id = -1 if row["doc_id"] is None else row["doc_id"]
+        top[normal(row["text"])] = max(doc_id, top.get(normal(row["text"]), -1))
+    return {
+        (row["doc_id"], top[normal(row["text"])] if top[normal(row["text"])] >= 0 else None, size[normal(row["text"])],
+         hashlib.sha256(normal(row["text"])).hexdigest())
+        for row in rows
+    }
+
+
+@pytest.mark.parametrize("digit", [1, 3, 64])
+def test_exact_copies(documents, odd_documents, monkeypatch, digit):
+    monkeypatch.setattr(exact_dedup, "FIRST_DIGIT", digit)
+    monkeypatch.setattr(exact_dedup, "RADIX_GROWTH", 8)
+    for docs in (documents, odd_documents):
+        given, got = docs.collect(), exact_dedup.exact_dedup(docs).collect()
+        assert len(got) == len(given)
+        assert {(r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in got} == exact_expected(given)
+        kept = [row for row in got if row["kept"]]
+        assert all(row["doc_id"] == row["keep_id"] for row in kept)
+        assert len(kept) == len({row["text_sha256"] for row in got}) == len({row["text_sha256"] for row in kept})
+
+
+def test_dropping_copies_keeps_the_columns(odd_documents, no_documents):
+    kept = exact_dedup.drop_copies(odd_documents)
+    assert kept.columns == odd_documents.columns
+    texts = [(row["text"] or "").encode().lower() for row in kept.collect()]
+    assert len(texts) == len(set(texts)) == len({(r["text"] or "").encode().lower() for r in odd_documents.collect()})
+    assert exact_dedup.drop_copies(no_documents).count() == exact_dedup.exact_dedup(no_documents).count() == 0
+
+
+def plain_count(word: str, scores: dict[str, float]) -> int:
+    """Best segmentation without a trie."""
+    floor = min(scores.values()) - token_counts.UNKNOWN_PENALTY
+    best = [(0.0, 0)]
+    for end in range(1, len(word) + 1):
+        options = [
+            (best[start][0] + scores[word[start:end]], best[start][1] - 1)
+            for start in range(max(0, end - 50), end) if word[start:end] in scores
+        ]
+        if word[end - 1] not in scores:
+            options.append((best[end - 1][0] + floor, best[end - 1][1] - len(word[end - 1].encode())))
+        best.append(max(options))
+    return -best[-1][1]
+
+
+@pytest.mark.parametrize("nodes", [token_counts.TRIE_NODES, 50])
+def test_token_counts(spark, scale_dir, documents, odd_documents, no_documents, monkeypatch, nodes):
+    path = public_tokenizers.path(queries.UNIGRAM_FILE)
+    scores = token_counts.vocabulary_scores(path)
+    monkeypatch.setattr(token_counts, "TRIE_NODES", nodes)
+    trie = token_counts.UnigramTrie(scores)
+    known = {}
+
+    def expected(text):
+        words = (text or "").encode().split()
+        for word in set(words).difference(known):
+            known[word] = plain_count(token_counts.WORD_MARK + word.decode(), scores)
+        return len(words), sum(known[word] for word in words)
+
+    for docs in (documents, odd_documents):
+        rows = [(row["doc_id"], *expected(row["text"])) for row in docs.select("doc_id", "text").collect()]
+        assert sorted_rows(token_counts.token_counts(docs, path)) == sorted(rows, key=repr)
+    for start in range(0, len(known), 97):
+        some = set(list(known)[start : start + 97])
+        counts = trie.counts(some)
+        assert all(counts[word] == known[word] for word in some)
+    assert token_counts.token_counts(no_documents, path).count() == 0
+
+
+def test_trie_agrees_with_the_library():
+    """Distinct scores, so that the best segmentation is unique."""
+    from tokenizers import models
+
+    vocabulary = [("<unk>", -99.0)] + [
+        (piece, -1.0 - 0.37 * k - 0.011 * k * k)
+        for k, piece in enumerate(["▁", "a", "b", "c", "ab", "bc", "abc", "▁a", "▁ab", "ca", "cab", "bb", "▁b", "aa"])
+    ]
+    library = Tokenizer(models.Unigram(vocabulary, unk_id=0))
+    trie = token_counts.UnigramTrie(dict(vocabulary[1:]))
+    for number in range(2000):
+        word = "▁" + "".join("abc"[number // 3**k % 3] for k in range(1 + number % 9))
+        assert trie.count(word) == len(library.encode(word).ids)
+
+
+@pytest.mark.parametrize("cells", [1, 16, 4096])
+def test_sharding(documents, odd_documents, no_documents, cells):
+    for docs, shards in ((documents, 8), (odd_documents, 8), (documents, 3)):
+        rows = sharding.sharded(docs, shards=shards, cells=cells).collect()
+        given = docs.collect()
+        assert sorted((r["doc_id"], r["size"], r["text_crc32"]) for r in rows if r["doc_id"] is not None) == sorted(
+            (r["doc_id"], len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode()))
+            for r in given if r["doc_id"] is not None
+        )
+        slots, mixture, of_source = defaultdict(list), defaultdict(int), defaultdict(int)
+        for row in rows:
+            slots[row["shard"]].append(row["slot"])
+            mixture[row["shard"], row["source"]] += 1
+            of_source[row["source"]] += 1
+        sizes = [len(slots[k]) for k in range(shards)]
+        assert sum(sizes) == len(given) and max(sizes) - min(sizes) <= 1
+        assert all(sorted(of_shard) == list(range(len(of_shard))) for of_shard in slots.values())
+        for (shard, source), held in mixture.items():
+            assert abs(held - of_source[source] / shards) <= 2
+    assert sharding.sharded(no_documents).count() == 0
+
+
+def test_sharding_depends_on_the_seed_alone(documents):
+    first = sorted_rows(sharding.sharded(documents))
+    assert first == sorted_rows(sharding.sharded(documents.repartition(5)))
+    assert first != sorted_rows(sharding.sharded(documents, seed=3))
