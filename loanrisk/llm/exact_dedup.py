@@ -55,8 +55,12 @@ def _first_digits(docs: DataFrame, row: str, full: bool) -> DataFrame:
 
 
 def _groups(rows: DataFrame, *keys: str | Column) -> DataFrame:
-    """Size and top row of each group of two rows or more; the top row also names the group."""
-    return (
+    """Size and top row of each group of two rows or more; the top row also names the group.
+
+    Stored, so that the join with the rows has a shuffle on either side and a hot group's rows can
+    be split.
+    """
+    return checkpointed(
         rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("doc_id", "row")).alias("top"))
         .filter("size > 1")
