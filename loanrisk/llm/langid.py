@@ -189,7 +189,8 @@ def fit(
     ``calibration`` holds set the temperature instead of the weights. Both look at doc_id only."""
     learnable = docs.filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
     learnable = learnable.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    languages = [row["lang"] for row in learnable.groupBy("lang").count().orderBy("lang").collect()]
+    rows = learnable.groupBy("lang").count().orderBy("lang").collect()  # one per language
+    languages = [row["lang"] for row in rows]
     if not languages:
         return LanguageModel([], np.zeros((DIMENSIONS + 1, 0), dtype=np.float32), 1.0)
 
@@ -212,7 +213,7 @@ def fit(
     counts[held.column("bucket").to_numpy()] = held.column("held").to_numpy()
     idf = np.log((1 + counts[DIMENSIONS]) / (1 + counts[:DIMENSIONS])) + 1
 
-    chosen = _sample(learnable, calibration, rows_per_language)
+    chosen = _sample(learnable, rows, calibration, rows_per_language)
     index = {language: k for k, language in enumerate(languages)}
     parts = {False: ([], []), True: ([], [])}
     for row in chosen:
@@ -228,12 +229,12 @@ def fit(
     return LanguageModel(languages, table, temperature(logits, np.array(labels, dtype=np.int64)))
 
 
-def _sample(learnable: DataFrame, calibration: Column, rows_per_language: int) -> list:
+def _sample(learnable: DataFrame, counts: list, calibration: Column, rows_per_language: int) -> list:
     """Features of at most rows_per_language rows of each language, in the order of their id's hash."""
-    counts = learnable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    rows = learnable.sparkSession.createDataFrame([tuple(row) for row in counts], "lang string, rows long")
     hashed = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)).alias("order")
     likely = (  # about twice as many, so that most texts need not be looked at
-        learnable.select("*", hashed, calibration.alias("calibration")).join(F.broadcast(counts), "lang")
+        learnable.select("*", hashed, calibration.alias("calibration")).join(rows, "lang")
         .filter(F.col("order") * F.col("rows") <= F.lit(float(2 * rows_per_language)) * (1 << 30))
     )
 
