@@ -231,11 +231,12 @@ def fit(
 
 def _sample(learnable: DataFrame, counts: list, calibration: Column, rows_per_language: int) -> list:
     """Features of at most rows_per_language rows of each language, in the order of their id's hash."""
-    rows = learnable.sparkSession.createDataFrame([tuple(row) for row in counts], "lang string, rows long")
+    pairs = (F.lit(value) for row in counts for value in (row["lang"], float(row["count"])))
+    share = F.lit(2.0 * rows_per_language * (1 << 30)) / F.element_at(F.create_map(*pairs), F.col("lang"))
     hashed = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)).alias("order")
     likely = (  # about twice as many, so that most texts need not be looked at
-        learnable.select("*", hashed, calibration.alias("calibration")).join(rows, "lang")
-        .filter(F.col("order") * F.col("rows") <= F.lit(float(2 * rows_per_language)) * (1 << 30))
+        learnable.select("*", hashed, calibration.alias("calibration"))
+        .filter(F.col("order") <= share)
     )
 
     def featurise(_: pa.RecordBatch, texts: list[bytes]) -> list[pa.Array]:
