@@ -15,10 +15,13 @@ from loanrisk.policy import DOMAINS, TIERS, RiskPolicy
 
 
 def loan_to_value(policy: RiskPolicy) -> Column:
-    """Loan principal as a percentage of the property value, unrounded."""
+    """Loan principal as a percentage of the property value, unrounded.
+
+    The documented rules know no ratio to a value that is not positive.
+    """
     loan, value = (F.col(c).cast("double") for c in ("loan_amount", "property_value"))
-    ratio = F.try_divide(loan, value) if policy.documented_rules else loan / value
-    return ratio * 100
+    ratio = loan / value
+    return (F.when(value > 0, ratio) if policy.documented_rules else ratio) * 100
 
 
 def composite_score(policy: RiskPolicy) -> Column:

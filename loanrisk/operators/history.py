@@ -131,6 +131,8 @@ def daily_profiles(
         "next_day",
     ]
     ordinary = _days_in_order(split.ordinary, policy).select(*columns)
+    if split.hot is None:
+        return ordinary
     return ordinary.unionByName(_days_grouped(split.hot, policy).select(*columns))
 
 

@@ -1,8 +1,9 @@
 """Operators that need a key's rows in order, for keys of any size.
 
-A plain window by key is the cheapest plan as long as no key is large. Rows are therefore
-split first: the few keys that hold very many rows take a plan of their own, all others the
-plain window. When no key is hot, adaptive execution drops the second plan at run time.
+A plain window by key is the cheapest plan as long as no key is large. The keys that hold very many
+rows are therefore found first, in a job of its own over the key and the row id; their rows take a
+plan that never brings them together, all others the plain window. Usually no key is hot, and the
+plain window is then the whole plan.
 """
 
 from __future__ import annotations
@@ -15,42 +16,71 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class HotKeyLimits:
-    """A key is hot above ``max(floor, share * all rows)`` rows.
+    """A key is hot above ``rows`` rows, whatever the size of the table.
 
-    So at most ``1 / share`` keys can be hot, which bounds what is broadcast, and any other
-    key is at most a small share of the work. Sizes are estimated from one row in
-    ``draw_one_in``, drawn by hash of the row id. The estimate only picks the plan for a
-    key: both plans are exact for every key and every row passes through one of them.
+    Sizes are estimated from one row in ``draw_one_in``, drawn by hash of the row id. The
+    estimate only picks the plan for a key: both plans are exact for every key and every row
+    passes through one of them. Up to ``broadcast_keys`` hot keys are handed to the tasks that
+    read the rows; more are met by a shuffle join in which ``salts`` tasks share a key.
     """
 
-    floor: int = 1_000_000
-    share: float = 1e-4
+    rows: int = 1_000_000
     draw_one_in: int = 64
+    broadcast_keys: int = 10_000
+    salts: int = 64
 
 
 @dataclass(frozen=True)
 class Split:
     ordinary: DataFrame
-    hot: DataFrame
-    threshold: Column
+    hot: DataFrame | None
 
 
 def split_by_size(rows: DataFrame, key: str, row_id: str, limits: HotKeyLimits) -> Split:
-    """Separate the rows of hot keys from all others."""
-    one = F.count(F.lit(1))
-    threshold = rows.agg(
-        F.greatest(F.lit(limits.floor), F.ceil(one * limits.share)).alias("threshold")
-    ).scalar()
+    """Separate the rows of hot keys from all others; ``hot`` is None if no key is hot.
+
+    Runs the sizing job. At most ``broadcast_keys`` + 1 keys reach the driver.
+    """
     drawn = rows.filter(F.pmod(F.xxhash64(row_id), F.lit(limits.draw_one_in)) == 0)
-    sizes = drawn.groupBy(key).agg((one * limits.draw_one_in).alias("size"))
-    hot_keys = F.broadcast(sizes.filter(F.col("size") > threshold).select(key))
+    sizes = drawn.groupBy(key).agg((F.count(F.lit(1)) * limits.draw_one_in).alias("size"))
+    hot_keys = sizes.filter(F.col("size") > limits.rows).select(key)
+    found = hot_keys.limit(limits.broadcast_keys + 1).collect()
+    if not found:
+        return Split(rows, None)
+    if len(found) <= limits.broadcast_keys:
+        few = F.broadcast(rows.sparkSession.createDataFrame(found, hot_keys.schema))
+        return Split(rows.join(few, key, "left_anti"), rows.join(few, key, "left_semi"))
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(limits.salts - 1).cast("long"))
+    many = hot_keys.select(key, F.explode(salts).alias("salt"))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(row_id), F.lit(limits.salts)))
     return Split(
-        ordinary=rows.join(hot_keys, key, "left_anti"),
-        hot=rows.join(hot_keys, key, "left_semi"),
-        threshold=threshold,
+        salted.join(many, [key, "salt"], "left_anti").select(*rows.columns),
+        salted.join(many, [key, "salt"], "left_semi").select(*rows.columns),
+    )
+
+
+def _two_levels(cuts: Column) -> Column:
+    """Sorted cuts as runs of about the square root of their number, and the first of each run."""
+    width = F.ceil(F.sqrt(F.size(cuts))).cast("int")
+    starts = F.sequence(F.lit(1), F.size(cuts), width)
+    return F.struct(
+        F.transform(starts, lambda at: F.element_at(cuts, at)).alias("firsts"),
+        F.transform(starts, lambda at: F.slice(cuts, at, width)).alias("runs"),
+        width.alias("width"),
     )
 
 
+def _chunk(levels: Column, value: Column) -> Column:
+    """How many cuts are not above ``value``: first the run is found, then the place in it."""
+
+    def reached(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda cut: cut <= value))
+
+    run = reached(levels["firsts"])
+    inside = reached(F.element_at(levels["runs"], F.greatest(run, F.lit(1))))
+    return F.when(levels.isNull() | (run == 0), 0).otherwise((run - 1) * levels["width"] + inside)
+
+
 def with_previous(
     rows: DataFrame,
     key: str,
@@ -62,25 +92,26 @@ def with_previous(
     """Add ``previous``: the ``carried`` columns of the key's preceding row by (day, id).
 
     The rows of a hot key are cut into chunks that keep the order: one per day, and a day is
-    cut again at ids drawn by hash, about one per threshold's worth of rows, so at most
-    about ``1 / share`` ids in all. Each chunk is a window of its own, and only its last row
-    takes part in the window that links a key's chunks.
+    cut again at ids drawn by hash, about one per ``limits.rows`` rows. A row finds its chunk
+    among n cuts with about 2 * sqrt(n) comparisons. Each chunk is a window of its own, and
+    only its last row takes part in the window that links a key's chunks.
     """
     split = split_by_size(rows, key, row_id, limits)
     carry = F.struct(*carried)
 
     plain = Window.partitionBy(key).orderBy(day, row_id)
     ordinary = split.ordinary.select("*", F.lag(carry).over(plain).alias("previous"))
+    if split.hot is None:
+        return ordinary
 
     cuts = (
-        split.hot.filter(F.pmod(F.xxhash64(day, row_id), split.threshold) == 0)
+        split.hot.filter(F.pmod(F.xxhash64(day, row_id), F.lit(limits.rows)) == 0)
         .groupBy(key, day)
-        .agg(F.collect_set(row_id).alias("cuts"))
+        .agg(F.sort_array(F.collect_set(row_id)).alias("cuts"))
+        .select(key, day, _two_levels(F.col("cuts")).alias("levels"))
     )
-    below = F.filter("cuts", lambda cut: cut <= F.col(row_id))
-    chunked = split.hot.join(F.broadcast(cuts), [key, day], "left").select(
-        *rows.columns,
-        F.when(F.col("cuts").isNull(), 0).otherwise(F.size(below)).alias("chunk"),
+    chunked = split.hot.join(cuts, [key, day], "left").select(
+        *rows.columns, _chunk(F.col("levels"), F.col(row_id)).alias("chunk")
     )
     chunk_key = [key, day, "chunk"]
     link = Window.partitionBy(key).orderBy(day, "chunk")

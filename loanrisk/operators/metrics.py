@@ -20,47 +20,72 @@ from loanrisk.operators.history import (
 )
 from loanrisk.policy import RiskPolicy
 
-_SCORE_INPUTS = ("latest_credit_score", "derogatory_marks", "credit_utilization_pct")
 _ACCOUNT_INPUTS = (KEY, "loan_amount", "property_value")
 
 
-def assess(accounts: DataFrame, observed: DataFrame, policy: RiskPolicy) -> DataFrame:
-    """Join accounts with their observation and evaluate the risk rules.
+def _joined(accounts: DataFrame, observed: DataFrame, policy: RiskPolicy) -> DataFrame:
+    """Accounts with their observation and ratio.
 
     Accounts without an observation drop out (``accounts_without_scores`` lists them). Both
     sides hold one row per account, and ``observed`` arrives partitioned by the join key.
     """
-    score = F.col("latest_credit_score")
     joined = accounts.select(*_ACCOUNT_INPUTS).join(observed, KEY)
+    return joined.withColumn("current_ltv", scoring.loan_to_value(policy))
+
+
+def _tiers() -> dict[str, Column]:
+    score = F.col("latest_credit_score")
+    return {
+        "risk_category": scoring.risk_category(score),
+        "default_probability": scoring.default_probability(score),
+        "recommended_action": scoring.recommended_action(score),
+    }
+
+
+def assess(accounts: DataFrame, observed: DataFrame, policy: RiskPolicy) -> DataFrame:
+    """Join accounts with their observation and evaluate the risk rules."""
     return (
-        joined.withColumn("current_ltv", scoring.loan_to_value(policy))
+        _joined(accounts, observed, policy)
         .withColumn("risk_score", scoring.composite_score(policy))
-        .withColumns({
-            "risk_category": scoring.risk_category(score),
-            "default_probability": scoring.default_probability(score),
-            "recommended_action": scoring.recommended_action(score),
-            "risk_flags": scoring.risk_flags(policy),
-        })
+        .withColumns(_tiers() | {"risk_flags": scoring.risk_flags(policy)})
     )
 
 
+def _unstorable(policy: RiskPolicy) -> dict[str, Column]:
+    """Why the documented contract cannot store a row, on the unrounded ratio.
+
+    What is stored is what none of these holds for, so every row is either stored or rejected
+    with a reason. The score is unknown just where one of its inputs is.
+    """
+    ltv = F.col("current_ltv")
+    outside = (ltv < 0) | ltv.try_cast(policy.ltv_type).isNull()
+    return {
+        "LTV_UNDEFINED": ltv.isNull(),
+        "LTV_OUT_OF_RANGE": ltv.isNotNull() & outside,
+        "SCORE_MISSING": F.col("latest_credit_score").isNull(),
+        "MARKS_MISSING": F.col("derogatory_marks").isNull(),
+        "UTILIZATION_MISSING": F.col("credit_utilization_pct").isNull(),
+    }
+
+
+def _storable(rows: DataFrame, policy: RiskPolicy) -> DataFrame:
+    if not policy.documented_rules:
+        return rows
+    for broken in _unstorable(policy).values():
+        rows = rows.filter(~broken)
+    return rows
+
+
 def _stored(assessed: DataFrame, policy: RiskPolicy) -> DataFrame:
     """Round to the stored types; the documented contract leaves out what does not fit."""
-    ltv, score = F.col("current_ltv"), F.col("risk_score")
+    score = F.col("risk_score")
     if policy.documented_rules:
-        ltv, score = ltv.try_cast(policy.ltv_type), scoring.half_up_cents(score)
-    else:
-        ltv = ltv.cast(policy.ltv_type)
-    rows = assessed.withColumns({
-        "current_ltv": ltv,
+        score = scoring.half_up_cents(score)
+    return _storable(assessed, policy).withColumns({
+        "current_ltv": F.col("current_ltv").cast(policy.ltv_type),
         "risk_score_normalized": score.cast(policy.score_type),
         "default_probability": F.col("default_probability").cast("decimal(5,4)"),
     })
-    if policy.documented_rules:
-        # The score is unknown just where an input is; testing inputs spares computing it twice.
-        known = (f"{column} IS NOT NULL" for column in ("current_ltv", *_SCORE_INPUTS))
-        rows = rows.filter(" AND ".join(known))
-    return rows
 
 
 def _shape(rows: DataFrame, calculation_date: Column) -> DataFrame:
@@ -92,25 +117,33 @@ def build_risk_metrics(
     return _shape(_stored(assessed, policy), F.lit(as_of))
 
 
-def metric_rejects(
+def account_tiers(
     accounts: DataFrame, scores: DataFrame, as_of: date, policy: RiskPolicy
 ) -> DataFrame:
-    """Scored accounts the documented contract cannot store, with the reasons."""
-    assessed = assess(accounts, _observed(scores, as_of, policy), policy)
-    ltv = F.col("current_ltv")
-    too_large = ltv.isNotNull() & ltv.try_cast(policy.ltv_type).isNull()
-    reasons = F.array_compact(
-        F.array(
-            F.when(ltv.isNull(), F.lit("LTV_UNDEFINED")),
-            F.when(too_large, F.lit("LTV_OUT_OF_RANGE")),
-            F.when(F.col("credit_utilization_pct").isNull(), F.lit("UTILIZATION_MISSING")),
-        )
-    )
-    return assessed.select(KEY, "score_id", reasons.alias("reasons")).filter(
-        F.size("reasons") > 0
+    """The tier of each account that has a metrics row, from its newest observation alone."""
+    rows = _storable(_joined(accounts, latest_scores(scores, as_of), policy), policy)
+    return rows.withColumns(_tiers()).select(
+        KEY,
+        F.lit(as_of).alias("calculation_date"),
+        "risk_category",
+        F.col("default_probability").cast("decimal(5,4)").alias("default_probability"),
     )
 
 
+def metric_rejects(
+    accounts: DataFrame, scores: DataFrame, as_of: date, policy: RiskPolicy
+) -> DataFrame:
+    """Scored accounts the documented contract cannot store, with the reasons.
+
+    Together with the rows of ``build_risk_metrics`` these are all scored accounts.
+    """
+    rows = _joined(accounts, latest_scores(scores, as_of), policy)
+    reasons = (F.when(broken, F.lit(name)) for name, broken in _unstorable(policy).items())
+    return rows.select(
+        KEY, "score_id", F.array_compact(F.array(*reasons)).alias("reasons")
+    ).filter(F.size("reasons") > 0)
+
+
 def risk_metrics_history(
     accounts: DataFrame, scores: DataFrame, calendar: Calendar, policy: RiskPolicy
 ) -> DataFrame:

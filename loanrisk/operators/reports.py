@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanrisk.functions.scoring import ltv_band, tier_rank
@@ -17,7 +17,8 @@ def snapshot(metrics: DataFrame, calculation_date: date | None = None) -> DataFr
     """The metrics of one calculation date, by default the latest.
 
     On the history table the filter selects one partition. Without it every earlier run
-    would count again in a report.
+    would count again in a report. Finding the latest date reads that column of all rows; of
+    a stored table, ``catalog.latest_date`` takes it from the list of partitions instead.
     """
     day = F.col("calculation_date")
     if calculation_date is None:
@@ -25,24 +26,29 @@ def snapshot(metrics: DataFrame, calculation_date: date | None = None) -> DataFr
     return metrics.filter(day == F.lit(calculation_date))
 
 
-def _average(column: str) -> Column:
-    return F.round(F.avg(F.col(column).cast("decimal(10,2)")), 2).cast("decimal(10,2)")
+def _average(column: str) -> str:
+    return f"CAST(round(avg(CAST({column} AS DECIMAL(10,2))), 2) AS DECIMAL(10,2))"
+
+
+#: The tier summary's columns over metrics joined with their accounts; the stored view and the
+#: function below are both made of these.
+SUMMARY = {
+    "account_count": "count(1)",
+    "total_loan_amount": "CAST(sum(loan_amount) AS DECIMAL(20,2))",
+    "avg_credit_score": _average("latest_credit_score"),
+    "avg_ltv": _average("current_ltv"),
+    "avg_risk_score": _average("risk_score_normalized"),
+    "high_risk_flags": "count_if(size(risk_flags) > 0)",
+}
 
 
 def risk_summary(
     metrics: DataFrame, accounts: DataFrame, calculation_date: date | None = None
 ) -> DataFrame:
     """Accounts, exposure and averages per tier; unordered."""
-    flagged = F.when(F.size("risk_flags") > 0, 1).otherwise(0)
     joined = snapshot(metrics, calculation_date).join(accounts.select(KEY, "loan_amount"), KEY)
-    return joined.groupBy("risk_category").agg(
-        F.count(F.lit(1)).alias("account_count"),
-        F.sum("loan_amount").cast("decimal(20,2)").alias("total_loan_amount"),
-        _average("latest_credit_score").alias("avg_credit_score"),
-        _average("current_ltv").alias("avg_ltv"),
-        _average("risk_score_normalized").alias("avg_risk_score"),
-        F.sum(flagged).alias("high_risk_flags"),
-    )
+    columns = (F.expr(sql).alias(name) for name, sql in SUMMARY.items())
+    return joined.groupBy("risk_category").agg(*columns)
 
 
 def portfolio_risk_summary(summary: DataFrame) -> DataFrame:
@@ -68,15 +74,19 @@ def high_risk_accounts(
     calculation_date: date | None = None,
     top: int = 10,
 ) -> DataFrame:
-    """The riskiest accounts of the two worst tiers, riskiest first."""
-    owners = accounts.select(KEY, "customer_id", "property_province", "loan_amount")
+    """The riskiest accounts of the two worst tiers, riskiest first.
+
+    The ten rows are taken first and only these meet the accounts. A metrics row without an
+    account, which the foreign-key check reports, therefore leaves the list one row short.
+    """
     worst = (
         high_risk(snapshot(metrics, calculation_date))
-        .join(owners, KEY)
         .orderBy(F.desc("risk_score_normalized"), KEY)
         .limit(top)
     )
-    return worst.select(
+    owners = accounts.select(KEY, "customer_id", "property_province", "loan_amount")
+    # The limit bounds the broadcast side: ``top`` rows.
+    return owners.join(F.broadcast(worst), KEY).orderBy(F.desc("risk_score_normalized"), KEY).select(
         KEY,
         "customer_id",
         "property_province",
@@ -156,10 +166,13 @@ def flag_actions(
 
 
 def tier_policy_lookup(
-    metrics: DataFrame, tier_policy: DataFrame, calculation_date: date | None = None
+    rows: DataFrame, tier_policy: DataFrame, calculation_date: date | None = None
 ) -> DataFrame:
-    """Each account with its tier's probability range and portfolio action."""
-    rows = snapshot(metrics, calculation_date)
+    """Each account with its tier's probability range and portfolio action.
+
+    ``rows``: stored metrics, or ``metrics.account_tiers``, which needs no history.
+    """
+    rows = snapshot(rows, calculation_date)
     return rows.join(F.broadcast(tier_policy), "risk_category").select(
         KEY, "risk_category", "tier_rank", "default_probability", "pd_low", "pd_high",
         "portfolio_action",

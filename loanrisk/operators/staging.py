@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from loanrisk.policy import DOMAINS
 from loanrisk.sources.schemas import CREDIT_SCORES, MORTGAGE_ACCOUNTS, required_columns
 
 
+ARRIVAL = "ingest_seq"
+
+
 def normalize(df: DataFrame) -> DataFrame:
     """Bring coded columns to the domain's spelling; unknown values are left to the checks."""
     coded = {c: canonical(F.col(c), DOMAINS[c]) for c in df.columns if c in DOMAINS}
@@ -22,10 +27,11 @@ def deduplicate(df: DataFrame, key: str) -> DataFrame:
 
     The remaining columns break ties, so the result never depends on the order of reading.
     The rank filter runs before the exchange as well: any number of copies of a key leaves
-    each map task as one row.
+    each map task as one row. A table without arrival numbers counts as arrived at once.
     """
-    others = [c for c in df.columns if c not in (key, "ingest_seq")]
-    order = Window.partitionBy(key).orderBy(F.desc("ingest_seq"), *map(F.desc, others))
+    others = [c for c in df.columns if c not in (key, ARRIVAL)]
+    arrival = [F.desc(ARRIVAL)] if ARRIVAL in df.columns else []
+    order = Window.partitionBy(key).orderBy(*arrival, *map(F.desc, others))
     return (
         df.withColumn("position", F.row_number().over(order))
         .filter(F.col("position") == 1)
@@ -64,7 +70,8 @@ def with_reasons(
     reasons = [F.when(r.broken, F.lit(f"{r.name}:{r.column}")) for r in rules]
     if parent is None:
         return df.withColumn("reasons", F.array_compact(F.array(*reasons)))
-    known = parent.select(parent_key, F.lit(True).alias("has_parent"))
+    # A parent that occurs twice is one parent: a child row stays one row.
+    known = parent.select(parent_key).distinct().withColumn("has_parent", F.lit(True))
     reasons.append(
         F.when(F.col("has_parent").isNull(), F.lit(f"FOREIGN_KEY:{parent_key}"))
     )
@@ -84,9 +91,16 @@ def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def upsert(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """``existing`` with the rows of ``batch`` replacing or joining it by key.
 
-    ``batch`` holds one row per key. Only its keys meet ``existing``; a batch below the
-    broadcast threshold leaves the existing table unshuffled.
+    Of several rows of a key in ``batch`` the last to arrive counts. Where ``existing`` keeps
+    arrival numbers, a row that arrived later than the batch's stays: replaying an old batch
+    changes nothing. Only the batch's keys meet ``existing``; a batch below the broadcast
+    threshold leaves the existing table unshuffled.
     """
+    batch = deduplicate(batch, key)
+    if ARRIVAL in existing.columns and ARRIVAL in batch.columns:
+        stored = existing.select(key, F.col(ARRIVAL).alias("stored_arrival"))
+        later = batch.join(stored, key).filter(F.col("stored_arrival") > F.col(ARRIVAL))
+        batch = batch.join(later.select(key).distinct(), key, "left_anti")
     kept = existing.join(batch.select(key), key, "left_anti")
     return kept.select(*existing.columns).unionByName(batch.select(*existing.columns))
 
@@ -94,7 +108,7 @@ def upsert(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 def unseen(
     existing: DataFrame, batch: DataFrame, key: str, batch_keys: DataFrame | None = None
 ) -> DataFrame:
-    """Rows of ``batch`` whose key ``existing`` lacks: what an append may add.
+    """Rows of ``batch`` whose key ``existing`` lacks, one per key: what an append may add.
 
     Running the same batch again therefore adds nothing. The existing keys are cut down to
     the batch's own first: a batch below the broadcast threshold then leaves the existing
@@ -103,4 +117,45 @@ def unseen(
     """
     keys = (batch if batch_keys is None else batch_keys).select(key).distinct()
     already = existing.select(key).join(keys, key, "left_semi")
-    return batch.join(already, key, "left_anti")
+    return deduplicate(batch, key).join(already, key, "left_anti")
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """Both tables after a load, the new observations in it, and what was rejected."""
+
+    accounts: DataFrame
+    scores: DataFrame
+    new_scores: DataFrame
+    rejected_accounts: DataFrame
+    rejected_scores: DataFrame
+
+
+def stage_accounts(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Valid accounts and rejects of a raw batch, one row per account."""
+    clean = deduplicate(normalize(raw), "account_id")
+    return split(with_reasons(clean, account_rules()))
+
+
+def stage_scores(
+    raw: DataFrame, loaded: DataFrame, accounts: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Valid new observations and rejects of a raw batch; ``accounts`` are those loaded."""
+    clean = deduplicate(normalize(raw), "score_id")
+    new = unseen(loaded, clean, "score_id", batch_keys=raw)
+    return split(with_reasons(new, score_rules(), accounts))
+
+
+def load(
+    accounts: DataFrame, scores: DataFrame, raw_accounts: DataFrame, raw_scores: DataFrame
+) -> Loaded:
+    """Bring a raw batch into the loaded tables.
+
+    Observations are checked against the accounts as they are after the upsert, so none is
+    stored without its account.
+    """
+    valid_accounts, rejected_accounts = stage_accounts(raw_accounts)
+    accounts = upsert(accounts, valid_accounts, "account_id")
+    new, rejected = stage_scores(raw_scores, scores, accounts)
+    new = new.select(*scores.columns)
+    return Loaded(accounts, scores.unionByName(new), new, rejected_accounts, rejected)

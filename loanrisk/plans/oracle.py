@@ -13,6 +13,7 @@ def _padded(expr: str, width: int) -> str:
     return f"lpad({digits}, CAST(greatest({width}, length({digits})) AS INTEGER), '0')"
 
 
+# The codes a column may take, and how its values are spelt.
 _ACCOUNT_BASE = f"""
 account_base AS (
   SELECT c_custkey AS k,
@@ -57,10 +58,12 @@ scores AS (
   FROM orders
 )"""
 
+# The same codes, and the allowed ranges.
 _RAW = """
 accounts_raw AS (
   SELECT * REPLACE (
-           CASE WHEN k % 113 = 0 THEN 0 ELSE property_value END AS property_value,
+           CASE WHEN k % 113 = 0 THEN 0 WHEN k % 109 = 0 THEN -property_value
+                WHEN k % 107 = 0 THEN 0.01 ELSE property_value END AS property_value,
            CASE WHEN k % 89 = 0 THEN ' ' || lower(property_province) || ' '
                 ELSE property_province END AS property_province,
            CASE WHEN k % 97 = 0 THEN 'Houseboat' ELSE property_type END AS property_type,
@@ -73,11 +76,13 @@ accounts_raw AS (
 scores_raw AS (
   SELECT * REPLACE (
            CASE WHEN q % 103 = 0 THEN 'X' || substr(account_id, 2) ELSE account_id END AS account_id,
-           CASE WHEN q % 101 = 0 THEN credit_score + 600 ELSE credit_score END AS credit_score,
+           CASE WHEN q % 101 = 0 THEN credit_score + 600 WHEN q % 79 = 0 THEN NULL
+                ELSE credit_score END AS credit_score,
            CASE WHEN q % 83 = 0 THEN payment_history_score + 100
                 ELSE payment_history_score END AS payment_history_score,
            CASE WHEN q % 107 = 0 THEN NULL ELSE credit_utilization_pct END AS credit_utilization_pct,
-           CASE WHEN q % 89 = 0 THEN ' ' || lower(score_source) ELSE score_source END AS score_source),
+           CASE WHEN q % 89 = 0 THEN ' ' || lower(score_source) ELSE score_source END AS score_source,
+           CASE WHEN q % 73 = 0 THEN NULL ELSE derogatory_marks END AS derogatory_marks),
          0 AS ingest_seq
   FROM scores
   UNION ALL
@@ -109,6 +114,8 @@ scores_clean AS (
 ),
 scores_judged AS (
   SELECT s.*, concat_ws('|',
+    CASE WHEN credit_score IS NULL THEN 'NOT_NULL:credit_score' END,
+    CASE WHEN derogatory_marks IS NULL THEN 'NOT_NULL:derogatory_marks' END,
     CASE WHEN credit_utilization_pct IS NULL THEN 'NOT_NULL:credit_utilization_pct' END,
     CASE WHEN credit_score NOT BETWEEN 300 AND 900 THEN 'RANGE:credit_score' END,
     CASE WHEN payment_history_score NOT BETWEEN 0 AND 100 THEN 'RANGE:payment_history_score' END,
@@ -124,8 +131,25 @@ accounts_valid AS (
     QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY ingest_seq DESC) = 1)
   WHERE property_value > 0 AND employment_status IS NOT NULL
     AND property_type IN ('Single Family','Condo','Townhouse','Multi-Family')
+),
+accounts_loaded AS (
+  SELECT account_id FROM accounts_valid
+  UNION SELECT account_id FROM accounts WHERE origination_date < DATE '2023-01-01'
+),
+scores_unloaded AS (
+  SELECT * FROM scores_judged WHERE score_id NOT IN
+    (SELECT score_id FROM scores WHERE score_date < DATE '2023-07-01')
+),
+coded_raw AS (
+  SELECT s.*, s.credit_score IS NULL OR derogatory_marks IS NULL
+           OR credit_utilization_pct IS NULL AS score_unknown
+  FROM (SELECT * FROM scores_clean
+        QUALIFY row_number() OVER (PARTITION BY account_id
+                                   ORDER BY score_date DESC, score_id DESC) = 1) s
+  JOIN accounts USING (account_id)
 )"""
 
+# Tiers with score cut, default probability and action texts.
 _TIERS = """
          CASE WHEN credit_score >= 750 THEN 'Very Low Risk' WHEN credit_score >= 700 THEN 'Low Risk'
               WHEN credit_score >= 650 THEN 'Medium Risk' WHEN credit_score >= 600 THEN 'High Risk'
@@ -265,6 +289,8 @@ _CODED_ROWS = f"({_METRICS.format(source='coded').strip()})"
 _CONTRACT_ROWS = f"({_METRICS.format(source='contract').strip()})"
 
 
+# Fixed values in the queries below: flag actions, tier ranges and portfolio actions, loan-to-value
+# bands, allowed codes and ranges.
 def _bodies() -> dict[str, str]:
     required_accounts = (
         "account_id", "customer_id", "property_value", "loan_amount", "interest_rate",
@@ -375,7 +401,7 @@ SELECT CAST(as_of AS VARCHAR) AS calculation_date, account_id, risk_category,
 FROM contract WHERE risk_category IN ('High Risk', 'Very High Risk')""",
         "accounts_without_scores": """
 SELECT account_id, customer_id FROM accounts
-WHERE account_id NOT IN (SELECT account_id FROM scores WHERE score_date <= DATE '2023-01-02')""",
+WHERE k NOT IN (SELECT o_custkey + CASE WHEN o_custkey % 131 = 0 THEN 1 ELSE 0 END FROM orders)""",
         "normalize_staging": """
 SELECT account_id, ingest_seq, property_province, property_type, employment_status
 FROM accounts_normal""",
@@ -387,18 +413,21 @@ SELECT score_id, account_id, ingest_seq,
 FROM scores_judged""",
         "metric_rejects": """
 SELECT account_id, score_id, concat_ws('|',
-         CASE WHEN property_value = 0 THEN 'LTV_UNDEFINED' END,
+         CASE WHEN property_value <= 0 THEN 'LTV_UNDEFINED' END,
          CASE WHEN property_value > 0 AND
                 CAST(loan_amount AS DOUBLE) / CAST(property_value AS DOUBLE) * 100 >= 9999.995
               THEN 'LTV_OUT_OF_RANGE' END,
+         CASE WHEN credit_score IS NULL THEN 'SCORE_MISSING' END,
+         CASE WHEN derogatory_marks IS NULL THEN 'MARKS_MISSING' END,
          CASE WHEN credit_utilization_pct IS NULL THEN 'UTILIZATION_MISSING' END) AS reasons
 FROM (SELECT * FROM accounts_raw
       QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY ingest_seq DESC) = 1) a
-JOIN (SELECT account_id, score_id, credit_utilization_pct FROM scores_clean
+JOIN (SELECT account_id, score_id, credit_score, derogatory_marks, credit_utilization_pct
+      FROM scores_clean
       QUALIFY row_number() OVER (PARTITION BY account_id
                                  ORDER BY score_date DESC, score_id DESC) = 1) s
   USING (account_id)
-WHERE property_value = 0 OR credit_utilization_pct IS NULL""",
+WHERE reasons <> ''""",
         "dq_primary_key_violations": _UNION.join([
             _copies("mortgage_accounts", "account_id", "accounts_raw"),
             _copies("credit_scores", "score_id", "scores_raw"),
@@ -429,6 +458,11 @@ WHERE property_value = 0 OR credit_utilization_pct IS NULL""",
         "dq_not_null_violations": _UNION.join(
             [_nulls("mortgage_accounts", c, "accounts_raw") for c in required_accounts]
             + [_nulls("credit_scores", c, "scores_raw") for c in required_scores]
+            + ["""
+SELECT 'risk_metrics' AS table_name, 'latest_credit_score' AS column_name, count(*) AS null_rows
+FROM coded_raw WHERE credit_score IS NULL HAVING count(*) > 0""", """
+SELECT 'risk_metrics' AS table_name, 'risk_score_normalized' AS column_name, count(*) AS null_rows
+FROM coded_raw WHERE score_unknown HAVING count(*) > 0"""]
         ),
         "dq_domain_violations": _UNION.join([
             _violations("mortgage_accounts", "account_id", "DOMAIN", "property_province",
@@ -458,6 +492,18 @@ UNION ALL
 SELECT {_SCORE_COLUMNS} FROM scores_judged
 WHERE reasons = '' AND score_id NOT IN
   (SELECT score_id FROM scores WHERE score_date < DATE '2023-07-01')""",
+        "load_new_scores": f"""
+SELECT {_SCORE_COLUMNS} FROM scores_unloaded
+WHERE reasons = '' AND account_id IN (SELECT account_id FROM accounts_loaded)""",
+        "load_orphans": """
+SELECT 'credit_scores' AS table_name, score_id AS row_key, account_id AS missing_parent
+FROM scores_unloaded
+WHERE reasons = '' AND account_id IN (SELECT account_id FROM accounts_loaded)
+  AND account_id NOT IN (SELECT account_id FROM accounts_loaded)""",
+        "append_orphans": """
+SELECT 'credit_scores' AS table_name, score_id AS row_key, account_id AS missing_parent
+FROM scores_unloaded
+WHERE reasons = '' AND account_id NOT IN (SELECT account_id FROM accounts_loaded)""",
     }
 
 

@@ -18,7 +18,12 @@ from loanrisk.operators import history, metrics, quality, reports, staging
 from loanrisk.operators.history import KEY, Calendar
 from loanrisk.policy import AS_CODED, CONTRACT, RiskPolicy, flag_policy, tier_policy
 from loanrisk.sources import sample
-from loanrisk.sources.schemas import CREDIT_SCORES, MORTGAGE_ACCOUNTS, required_columns
+from loanrisk.sources.schemas import (
+    CREDIT_SCORES,
+    MORTGAGE_ACCOUNTS,
+    RISK_METRICS,
+    required_columns,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,8 +104,8 @@ def _history(spark: SparkSession, sf_dir: str, policy: RiskPolicy) -> DataFrame:
 def _without_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = metrics.accounts_without_scores(
         sample.mortgage_accounts(spark, sf_dir),
-        sample.credit_scores(spark, sf_dir),
-        BIWEEKLY.start,
+        sample.credit_scores_misfiled(spark, sf_dir),
+        AS_OF,
     )
     return found.select(KEY, "customer_id")
 
@@ -164,6 +169,44 @@ def _appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.unionByName(valid.select(*loaded.columns))
 
 
+def _load(spark: SparkSession, sf_dir: str) -> staging.Loaded:
+    """The staged batch brought into tables that hold what was loaded before."""
+    return staging.load(
+        sample.mortgage_accounts(spark, sf_dir).filter(
+            F.col("origination_date") < F.lit(ACCOUNTS_LOADED_UNTIL)
+        ),
+        sample.credit_scores(spark, sf_dir).filter(
+            F.col("score_date") < F.lit(SCORES_LOADED_UNTIL)
+        ),
+        sample.mortgage_accounts_raw(spark, sf_dir),
+        sample.credit_scores_raw(spark, sf_dir),
+    )
+
+
+def _loaded_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _load(spark, sf_dir).new_scores
+
+
+def _orphans_of_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New observations without a loaded account: none, as the load checks against these."""
+    loaded = _load(spark, sf_dir)
+    return quality.foreign_key_violations(
+        loaded.new_scores, "credit_scores", "score_id", loaded.accounts, KEY
+    )
+
+
+def _orphans_of_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same if the batch is checked against all accounts instead of the loaded ones."""
+    loaded = sample.credit_scores(spark, sf_dir).filter(
+        F.col("score_date") < F.lit(SCORES_LOADED_UNTIL)
+    )
+    new, _ = staging.stage_scores(
+        sample.credit_scores_raw(spark, sf_dir), loaded, sample.mortgage_accounts(spark, sf_dir)
+    )
+    accounts = _load(spark, sf_dir).accounts
+    return quality.foreign_key_violations(new, "credit_scores", "score_id", accounts, KEY)
+
+
 def _rejected_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Unfiltered staging data: undefined ratios and missing utilization reach the rules.
     accounts = staging.deduplicate(sample.mortgage_accounts_raw(spark, sf_dir), KEY)
@@ -208,7 +251,12 @@ def _metric_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # As coded, an observation with a missing input is scored all the same.
+    coded = metrics.build_risk_metrics(
+        sample.mortgage_accounts(spark, sf_dir), _clean_scores(spark, sf_dir), AS_OF, AS_CODED
+    )
     return quality.union_all([
+        quality.not_null_violations(coded, "risk_metrics", required_columns(RISK_METRICS)),
         quality.not_null_violations(
             sample.mortgage_accounts_raw(spark, sf_dir),
             "mortgage_accounts",
@@ -240,6 +288,16 @@ def _domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def _tier_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tiers = metrics.account_tiers(
+        sample.mortgage_accounts(spark, sf_dir),
+        sample.credit_scores(spark, sf_dir),
+        AS_OF,
+        CONTRACT,
+    )
+    return reports.tier_policy_lookup(tiers, tier_policy(spark), AS_OF)
+
+
 def _on_scores(operator: Callable[..., DataFrame], *args: object) -> Query:
     return lambda spark, sf_dir: operator(sample.credit_scores(spark, sf_dir), *args)
 
@@ -265,9 +323,7 @@ _QUERIES: dict[str, Query] = {
     "flag_actions": lambda s, d: reports.flag_actions(
         _metrics(s, d, CONTRACT), flag_policy(s), AS_OF
     ),
-    "tier_policy_lookup": lambda s, d: reports.tier_policy_lookup(
-        _metrics(s, d, CONTRACT), tier_policy(s), AS_OF
-    ),
+    "tier_policy_lookup": _tier_policies,
     "score_decline_90d": _on_scores(history.score_declines, CONTRACT),
     "new_derogatory_marks": _on_scores(history.new_derogatory_marks),
     "payment_issues": _on_scores(history.payment_issues, CONTRACT),
@@ -288,6 +344,9 @@ _QUERIES: dict[str, Query] = {
     "dq_domain_violations": _domains,
     "upsert_accounts": _upserted,
     "append_scores": _appended,
+    "load_new_scores": _loaded_scores,
+    "load_orphans": _orphans_of_load,
+    "append_orphans": _orphans_of_append,
     "risk_history": lambda s, d: _history(s, d, CONTRACT),
     "risk_point_in_time": lambda s, d: _history(s, d, AS_CODED),
 }

@@ -1,17 +1,33 @@
 """Databases, typed tables, views and writes. The only module that starts jobs.
 
 Every write can be run again after a failure: a snapshot and a date partition are
-overwritten whole, and an append adds only keys the table lacks.
+overwritten whole, and an append adds only keys the table lacks. A table's old content goes
+only once the new one is written.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from datetime import date
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from loanrisk.operators.reports import load_counts
-from loanrisk.operators.staging import unseen, upsert
-from loanrisk.sources.schemas import HIGH_RISK_ALERTS, TABLES, conform
+from loanrisk.operators.metrics import build_risk_metrics
+from loanrisk.operators.reports import SUMMARY, high_risk_alerts, load_counts
+from loanrisk.operators.staging import stage_accounts, stage_scores, unseen, upsert
+from loanrisk.policy import CONTRACT, RiskPolicy
+from loanrisk.sources.schemas import (
+    CREDIT_SCORES,
+    HIGH_RISK_ALERTS,
+    MORTGAGE_ACCOUNTS,
+    RISK_METRICS,
+    TABLES,
+    conform,
+    staged,
+)
 
 HISTORY_PARTITION = "calculation_date"
 
@@ -47,34 +63,68 @@ def create_tables(spark: SparkSession, database: str) -> None:
 
 
 def overwrite_table(df: DataFrame, table: str, schema: StructType) -> int:
-    """Replace a table's content and schema; returns the rows now stored."""
-    conform(df, schema).write.mode("overwrite").format("parquet").saveAsTable(table)
-    return df.sparkSession.table(table).count()
+    """Replace a table's content and schema; returns the rows now stored.
+
+    The new content is written beside the table, which is replaced once that is complete.
+    """
+    spark = df.sparkSession
+    beside = f"{table}__next"
+    conform(df, schema).write.mode("overwrite").format("parquet").saveAsTable(beside)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+    return spark.table(table).count()
 
 
-def write_history(metrics: DataFrame, table: str, schema: StructType) -> None:
-    """Replace exactly the calculation dates present in ``metrics``; keep all others.
+def write_history(
+    rows: DataFrame, table: str, schema: StructType, dates: Collection[date]
+) -> None:
+    """Replace the rows of the given calculation dates; keep all other dates.
 
-    The rebalance hint lets adaptive execution size the files per date, splitting a date
-    that is too large for one task and merging small pieces.
+    A date for which there is no row is left empty. Rows of other dates are refused. The rows
+    are computed once, to disk, as they are needed for the dates as well as for the write; the
+    rebalance hint lets adaptive execution size the files per date, splitting a date that is
+    too large for one task and merging small pieces.
     """
-    stored = conform(metrics, schema).hint("rebalance", HISTORY_PARTITION)
-    columns = metrics.sparkSession.table(table).columns
-    (
-        stored.select(*columns)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(table, overwrite=True)
-    )
+    spark = rows.sparkSession
+    columns = spark.table(table).columns
+    stored = conform(rows, schema).select(*columns).persist(StorageLevel.DISK_ONLY)
+    try:
+        found = {row[0] for row in stored.select(HISTORY_PARTITION).distinct().collect()}
+        if found - set(dates):
+            raise ValueError(f"rows of dates that are not to be written: {found - set(dates)}")
+        if found:
+            (
+                stored.hint("rebalance", HISTORY_PARTITION)
+                .write.option("partitionOverwriteMode", "dynamic")
+                .insertInto(table, overwrite=True)
+            )
+        for day in sorted(set(dates) - found):
+            spark.sql(
+                f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({HISTORY_PARTITION} = DATE '{day}')"
+            )
+    finally:
+        stored.unpersist()
+    spark.catalog.refreshTable(table)
+
+
+def write_alerts(
+    spark: SparkSession, alerts: DataFrame, table: str, dates: Collection[date]
+) -> None:
+    """Store the alerts of the given calculation dates in place of what these dates had."""
+    create_table(spark, table, HIGH_RISK_ALERTS, "High-risk account alerts", HISTORY_PARTITION)
+    write_history(alerts, table, HIGH_RISK_ALERTS, dates)
 
 
-def write_alerts(spark: SparkSession, alerts: DataFrame, table: str) -> None:
-    """Add the alerts of their calculation dates; running a date again replaces its alerts."""
-    create_table(spark, table, HIGH_RISK_ALERTS, "High-risk account alerts", HISTORY_PARTITION)
-    write_history(alerts, table, HIGH_RISK_ALERTS)
+def latest_date(spark: SparkSession, table: str) -> date | None:
+    """The latest calculation date of a stored table, from its list of partitions."""
+    listed = spark.sql(f"SHOW PARTITIONS {table}").select(
+        F.to_date(F.substring_index("partition", "=", -1)).alias("day")
+    )
+    return listed.agg(F.max("day")).first()[0]
 
 
 def append_new(batch: DataFrame, table: str, key: str) -> None:
-    """Append the rows of ``batch`` whose key the table lacks."""
+    """Append the rows of ``batch`` whose key the table lacks, one per key."""
     existing = batch.sparkSession.table(table)
     unseen(existing, batch, key).select(*existing.columns).write.insertInto(table)
 
@@ -88,40 +138,52 @@ def publish_snapshot(
     of its own. Readers switch in one step, once it is complete.
     """
     spark = df.sparkSession
-    version = f"{database}.{name}__{snapshot}"
+    version = _version(database, name, snapshot)
     overwrite_table(df, version, schema)
     spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {version}")
 
 
+def _version(database: str, name: str, snapshot: str) -> str:
+    return f"{database}.{name}__{snapshot}"
+
+
+def _published(spark: SparkSession, database: str, name: str) -> str | None:
+    """The snapshot table that the view ``name`` reads."""
+    if not spark.catalog.tableExists(f"{database}.{name}"):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{name}")
+    text = described.filter("col_name = 'View Text'").first()
+    return text and text["data_type"].rsplit(" ", 1)[-1]
+
+
 def upsert_snapshot(
     batch: DataFrame, database: str, name: str, snapshot: str, schema: StructType, key: str
 ) -> None:
-    """Upsert ``batch`` into the published table as a new snapshot."""
-    existing = batch.sparkSession.table(f"{database}.{name}")
+    """Upsert ``batch`` into the published table as a new snapshot.
+
+    A snapshot that is published already is complete: running it again changes nothing.
+    """
+    spark = batch.sparkSession
+    if _published(spark, database, name) == _version(database, name, snapshot):
+        return
+    existing = spark.table(f"{database}.{name}")
     publish_snapshot(upsert(existing, batch, key), database, name, snapshot, schema)
 
 
 def create_summary_view(spark: SparkSession, database: str) -> None:
-    """``vw_risk_summary`` over the stored tables, always on the latest calculation date."""
+    """``vw_risk_summary`` over the stored tables, on the latest calculation date stored now.
+
+    The date is a literal, so that readers open one partition; create the view again after
+    a new date is written.
+    """
+    columns = ", ".join(f"{sql} AS {name}" for name, sql in SUMMARY.items())
+    latest = latest_date(spark, f"{database}.risk_metrics")
+    day = "CAST(NULL AS DATE)" if latest is None else f"DATE '{latest}'"
     spark.sql(f"""
         CREATE OR REPLACE VIEW {database}.vw_risk_summary AS
-        WITH latest AS (
-            SELECT account_id, risk_category, latest_credit_score, current_ltv,
-                   risk_score_normalized, size(risk_flags) > 0 AS flagged
-            FROM {database}.risk_metrics
-            WHERE calculation_date = (SELECT max(calculation_date) FROM {database}.risk_metrics)
-        )
-        SELECT risk_category,
-               count(1) AS account_count,
-               CAST(sum(loan_amount) AS DECIMAL(20,2)) AS total_loan_amount,
-               CAST(round(avg(CAST(latest_credit_score AS DECIMAL(10,2))), 2)
-                    AS DECIMAL(10,2)) AS avg_credit_score,
-               CAST(round(avg(CAST(current_ltv AS DECIMAL(10,2))), 2)
-                    AS DECIMAL(10,2)) AS avg_ltv,
-               CAST(round(avg(CAST(risk_score_normalized AS DECIMAL(10,2))), 2)
-                    AS DECIMAL(10,2)) AS avg_risk_score,
-               count_if(flagged) AS high_risk_flags
-        FROM latest JOIN {database}.mortgage_accounts USING (account_id)
+        SELECT risk_category, {columns}
+        FROM {database}.risk_metrics JOIN {database}.mortgage_accounts USING (account_id)
+        WHERE {HISTORY_PARTITION} = {day}
         GROUP BY risk_category
     """)
 
@@ -130,3 +192,48 @@ def stored_counts(spark: SparkSession, database: str) -> dict[str, int]:
     """Row count of each contract table, read from what was written."""
     stored = {name: spark.table(f"{database}.{name}") for name in TABLES}
     return {row["table_name"]: row["row_count"] for row in load_counts(stored).collect()}
+
+
+def run_cycle(
+    spark: SparkSession,
+    database: str,
+    raw_accounts: DataFrame,
+    raw_scores: DataFrame,
+    as_of: date,
+    policy: RiskPolicy = CONTRACT,
+) -> dict[str, int]:
+    """One scheduled run: stage, upsert, append, metrics, history, summary and alerts.
+
+    Accounts are snapshots behind the view ``mortgage_accounts``, with the arrival numbers
+    that decide which version of an account is the newest. Running a cycle again gives the
+    same tables.
+    """
+    create_database(spark, database, "Loan portfolio risk")
+    for name, (schema, comment) in TABLES.items():
+        if name != "mortgage_accounts":
+            partition = HISTORY_PARTITION if HISTORY_PARTITION in schema.names else None
+            create_table(spark, f"{database}.{name}", schema, comment, partition)
+    versioned = staged(MORTGAGE_ACCOUNTS)
+    if _published(spark, database, "mortgage_accounts") is None:
+        nothing = spark.createDataFrame([], versioned)
+        publish_snapshot(nothing, database, "mortgage_accounts", "initial", versioned)
+    valid, _ = stage_accounts(raw_accounts)
+    current = spark.table(f"{database}.mortgage_accounts")
+    # The other of two alternating versions, so that the one being read stays as it is.
+    published = _published(spark, database, "mortgage_accounts")
+    other = "even" if published.endswith("__odd") else "odd"
+    publish_snapshot(
+        upsert(current, valid, "account_id"), database, "mortgage_accounts", other, versioned
+    )
+    accounts = spark.table(f"{database}.mortgage_accounts")
+    scores_table = f"{database}.credit_scores"
+    new, _ = stage_scores(raw_scores, spark.table(scores_table), accounts)
+    conform(new, CREDIT_SCORES).write.insertInto(scores_table)
+
+    built = build_risk_metrics(accounts, spark.table(scores_table), as_of, policy)
+    metrics_table = f"{database}.risk_metrics"
+    write_history(built, metrics_table, RISK_METRICS, [as_of])
+    create_summary_view(spark, database)
+    alerts = high_risk_alerts(spark.table(metrics_table), as_of)
+    write_alerts(spark, alerts, f"{database}.high_risk_alerts", [as_of])
+    return stored_counts(spark, database)

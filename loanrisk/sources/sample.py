@@ -96,6 +96,13 @@ def credit_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orders(spark, sf_dir).selectExpr(*_typed(_SCORE, CREDIT_SCORES))
 
 
+def credit_scores_misfiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All observations, those of every 131st account filed under the account after it."""
+    filed = "o_custkey + CASE WHEN o_custkey % 131 = 0 THEN 1 ELSE 0 END"
+    columns = {**_SCORE, "account_id": _key("MTG", f"({filed})", 8)}
+    return _orders(spark, sf_dir).selectExpr(*_typed(columns, CREDIT_SCORES))
+
+
 def _with_versions(df: DataFrame, second: str) -> DataFrame:
     """Arrival number 0 for every row, and a second version, 1, where ``second`` holds."""
     return df.selectExpr(
@@ -104,15 +111,17 @@ def _with_versions(df: DataFrame, second: str) -> DataFrame:
 
 
 def _with_defects(
-    clean: dict[str, str], key: str, defects: dict[str, tuple[int, str]], later: dict[str, str]
+    clean: dict[str, str],
+    key: str,
+    defects: dict[str, list[tuple[int, str]]],
+    later: dict[str, str],
 ) -> dict[str, str]:
-    """First versions take a column's defect on every n-th key; second ones are clean
-    but for the ``later`` value."""
+    """First versions take a column's defect on every n-th key, the first one listed that
+    applies; second ones are clean but for the ``later`` value."""
     columns = {"ingest_seq": "ingest_seq"}
     for name, value in clean.items():
         branches = ""
-        if name in defects:
-            every, broken = defects[name]
+        for every, broken in defects.get(name, []):
             branches += f" WHEN ingest_seq = 0 AND {key} % {every} = 0 THEN {broken}"
         if name in later:
             branches += f" WHEN ingest_seq = 1 THEN {later[name]}"
@@ -127,11 +136,12 @@ def credit_scores_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _SCORE,
         "o_orderkey",
         defects={
-            "account_id": (103, f"concat('X', substring({_SCORE['account_id']}, 2))"),
-            "credit_score": (101, f"{score} + 600"),
-            "payment_history_score": (83, f"{_SCORE['payment_history_score']} + 100"),
-            "credit_utilization_pct": (107, "NULL"),
-            "score_source": (89, f"concat(' ', lower({_SCORE['score_source']}))"),
+            "account_id": [(103, f"concat('X', substring({_SCORE['account_id']}, 2))")],
+            "credit_score": [(101, f"{score} + 600"), (79, "NULL")],
+            "payment_history_score": [(83, f"{_SCORE['payment_history_score']} + 100")],
+            "credit_utilization_pct": [(107, "NULL")],
+            "score_source": [(89, f"concat(' ', lower({_SCORE['score_source']}))")],
+            "derogatory_marks": [(73, "NULL")],
         },
         later={"credit_score": f"least(900, {score} + 1)"},
     )
@@ -145,10 +155,12 @@ def mortgage_accounts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _ACCOUNT,
         "c_custkey",
         defects={
-            "property_value": (113, "0"),
-            "property_province": (89, f"concat(' ', lower({_ACCOUNT['property_province']}), ' ')"),
-            "property_type": (97, "'Houseboat'"),
-            "employment_status": (101, "NULL"),
+            "property_value": [(113, "0"), (109, f"-{_VALUE}"), (107, "0.01")],
+            "property_province": [
+                (89, f"concat(' ', lower({_ACCOUNT['property_province']}), ' ')")
+            ],
+            "property_type": [(97, "'Houseboat'")],
+            "employment_status": [(101, "NULL")],
         },
         later={"property_value": f"{_VALUE} + 25000"},
     )

@@ -21,58 +21,58 @@ def _column(name: str, kind: DataType, comment: str, nullable: bool = False) ->
 
 
 MORTGAGE_ACCOUNTS = StructType([
-    _column("account_id", StringType(), "Unique mortgage account identifier"),
-    _column("customer_id", StringType(), "Customer reference ID"),
-    _column("property_value", DecimalType(15, 2), "Current property valuation (CAD)"),
-    _column("loan_amount", DecimalType(15, 2), "Original loan principal (CAD)"),
-    _column("interest_rate", DecimalType(5, 3), "Annual interest rate (%)"),
-    _column("loan_term_months", IntegerType(), "Loan term in months"),
-    _column("origination_date", DateType(), "Loan origination date"),
-    _column("property_province", StringType(), "Province code"),
-    _column("property_type", StringType(), "Property classification"),
-    _column("employment_status", StringType(), "Borrower employment status"),
-    _column("annual_income", DecimalType(15, 2), "Borrower annual income (CAD)"),
+    _column("account_id", StringType(), "Key of the mortgage account"),
+    _column("customer_id", StringType(), "Customer the account belongs to"),
+    _column("property_value", DecimalType(15, 2), "What the property is worth now, in dollars"),
+    _column("loan_amount", DecimalType(15, 2), "Principal lent, in dollars"),
+    _column("interest_rate", DecimalType(5, 3), "Yearly rate, in percent"),
+    _column("loan_term_months", IntegerType(), "Months until the loan is repaid"),
+    _column("origination_date", DateType(), "Day the loan was made"),
+    _column("property_province", StringType(), "Two-letter code of the province"),
+    _column("property_type", StringType(), "Kind of building"),
+    _column("employment_status", StringType(), "How the borrower is employed"),
+    _column("annual_income", DecimalType(15, 2), "Borrower's income per year, in dollars"),
 ])
 
 CREDIT_SCORES = StructType([
-    _column("score_id", StringType(), "Unique score record identifier"),
-    _column("account_id", StringType(), "References mortgage_accounts(account_id)"),
-    _column("score_date", DateType(), "Score observation date"),
-    _column("credit_score", IntegerType(), "Credit score (300-900)"),
-    _column("score_source", StringType(), "Credit bureau source"),
-    _column("payment_history_score", IntegerType(), "Payment reliability (0-100)", True),
-    _column("credit_utilization_pct", DecimalType(5, 2), "Credit utilization (0-100)", True),
-    _column("total_accounts", IntegerType(), "Total number of credit accounts"),
-    _column("derogatory_marks", IntegerType(), "Negative credit events count"),
+    _column("score_id", StringType(), "Key of the observation"),
+    _column("account_id", StringType(), "Account it is about"),
+    _column("score_date", DateType(), "Day of the observation"),
+    _column("credit_score", IntegerType(), "Score from 300 to 900"),
+    _column("score_source", StringType(), "Bureau that reported it"),
+    _column("payment_history_score", IntegerType(), "How reliably payments came in, 0 to 100", True),
+    _column("credit_utilization_pct", DecimalType(5, 2), "Used share of the credit granted, in percent", True),
+    _column("total_accounts", IntegerType(), "Credit accounts held"),
+    _column("derogatory_marks", IntegerType(), "Adverse entries on file"),
 ])
 
 RISK_METRICS = StructType([
-    _column("metric_id", StringType(), "Unique metric record identifier"),
-    _column("account_id", StringType(), "References mortgage_accounts(account_id)"),
-    _column("calculation_date", DateType(), "Date the metrics describe"),
-    _column("current_ltv", DecimalType(6, 2), "Loan-to-value ratio (%)"),
-    _column("latest_credit_score", IntegerType(), "Most recent credit score"),
-    _column("risk_score_normalized", DecimalType(6, 2), "Composite risk score"),
-    _column("risk_category", StringType(), "Risk tier"),
-    _column("default_probability", DecimalType(5, 4), "Default probability (0-1)", True),
-    _column("recommended_action", StringType(), "Portfolio management action"),
-    _column("risk_flags", ArrayType(StringType()), "Risk warning flags", True),
+    _column("metric_id", StringType(), "Key of the metrics row"),
+    _column("account_id", StringType(), "Account it is about"),
+    _column("calculation_date", DateType(), "Day the row describes"),
+    _column("current_ltv", DecimalType(6, 2), "Loan as a percentage of the property value"),
+    _column("latest_credit_score", IntegerType(), "Score of the newest observation"),
+    _column("risk_score_normalized", DecimalType(6, 2), "Weighted score"),
+    _column("risk_category", StringType(), "Tier from the newest score"),
+    _column("default_probability", DecimalType(5, 4), "Tier's probability of default, 0 to 1", True),
+    _column("recommended_action", StringType(), "What the tier calls for"),
+    _column("risk_flags", ArrayType(StringType()), "Names of the warnings raised", True),
 ])
 
 HIGH_RISK_ALERTS = StructType([
-    _column("calculation_date", DateType(), "Date the alert describes"),
-    _column("account_id", StringType(), "References mortgage_accounts(account_id)"),
-    _column("risk_category", StringType(), "Risk tier"),
-    _column("latest_credit_score", IntegerType(), "Most recent credit score"),
-    _column("risk_score_normalized", DecimalType(6, 2), "Composite risk score"),
-    _column("recommended_action", StringType(), "Portfolio management action"),
-    _column("risk_flags", ArrayType(StringType()), "Risk warning flags", True),
+    _column("calculation_date", DateType(), "Day the row describes"),
+    _column("account_id", StringType(), "Account it is about"),
+    _column("risk_category", StringType(), "Tier from the newest score"),
+    _column("latest_credit_score", IntegerType(), "Score of the newest observation"),
+    _column("risk_score_normalized", DecimalType(6, 2), "Weighted score"),
+    _column("recommended_action", StringType(), "What the tier calls for"),
+    _column("risk_flags", ArrayType(StringType()), "Names of the warnings raised", True),
 ])
 
 TABLES = {
-    "mortgage_accounts": (MORTGAGE_ACCOUNTS, "Mortgage account master data"),
-    "credit_scores": (CREDIT_SCORES, "Dated credit score observations"),
-    "risk_metrics": (RISK_METRICS, "Risk metrics per account and calculation date"),
+    "mortgage_accounts": (MORTGAGE_ACCOUNTS, "Accounts, one row each"),
+    "credit_scores": (CREDIT_SCORES, "Observations of credit standing, by date"),
+    "risk_metrics": (RISK_METRICS, "Metrics of an account at a date"),
 }
 
 

@@ -21,6 +21,11 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.warehouse.dir": str(warehouse),
             "spark.ui.showConsoleProgress": "false",
+            # Some tests count what tasks read.
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": str(tmp_path_factory.mktemp("events")),
+            "spark.eventLog.rolling.enabled": "false",
+            "spark.eventLog.compress": "false",
         },
     )
     yield session

@@ -11,7 +11,12 @@ from loanrisk.operators import metrics, reports
 from loanrisk.policy import AS_CODED, CONTRACT
 from loanrisk.sinks import catalog
 from loanrisk.sources import sample
-from loanrisk.sources.schemas import CREDIT_SCORES, MORTGAGE_ACCOUNTS, RISK_METRICS
+from loanrisk.sources.schemas import (
+    CREDIT_SCORES,
+    HIGH_RISK_ALERTS,
+    MORTGAGE_ACCOUNTS,
+    RISK_METRICS,
+)
 from loanrisk.sources.tables import read_parquet, read_table
 from tests.conftest import rows_of
 
@@ -32,7 +37,7 @@ def test_database_and_tables(spark, database):
     columns = {c.name: c for c in spark.catalog.listColumns(f"{database}.credit_scores")}
     assert list(columns) == CREDIT_SCORES.names
     assert columns["credit_utilization_pct"].dataType == "decimal(5,2)"
-    assert columns["score_id"].description == "Unique score record identifier"
+    assert columns["score_id"].description == CREDIT_SCORES["score_id"].metadata["comment"]
     partitions = [
         c.name for c in spark.catalog.listColumns(f"{database}.risk_metrics") if c.isPartition
     ]
@@ -79,7 +84,7 @@ def test_history_replaces_only_its_dates(spark, database, make_accounts, make_sc
 
     def run(day):
         built = metrics.build_risk_metrics(accounts, scores, day, CONTRACT)
-        catalog.write_history(built, table, RISK_METRICS)
+        catalog.write_history(built, table, RISK_METRICS, [day])
 
     def stored():
         counts = spark.table(table).groupBy("calculation_date").count()
@@ -90,8 +95,53 @@ def test_history_replaces_only_its_dates(spark, database, make_accounts, make_sc
     assert stored() == [(date(2023, 1, 2), 1), (date(2023, 1, 16), 2)]
     run(date(2023, 1, 16))
     assert stored() == [(date(2023, 1, 2), 1), (date(2023, 1, 16), 2)]
-    spark.catalog.refreshTable(table)
     assert reports.snapshot(spark.table(table)).count() == 2
+    assert catalog.latest_date(spark, table) == date(2023, 1, 16)
+    with pytest.raises(ValueError):
+        built = metrics.build_risk_metrics(accounts, scores, date(2023, 1, 16), CONTRACT)
+        catalog.write_history(built, table, RISK_METRICS, [date(2023, 1, 2)])
+    assert stored() == [(date(2023, 1, 2), 1), (date(2023, 1, 16), 2)]
+
+
+def test_a_date_without_rows_is_emptied(spark, database, make_accounts, make_scores):
+    """Corrected inputs that give no row any more leave nothing of the earlier run."""
+    catalog.create_tables(spark, database)
+    history, alerts = f"{database}.risk_metrics", f"{database}.high_risk_alerts"
+    accounts = make_accounts(("A", "50.00", "100.00"))
+    days = [date(2023, 1, 2), date(2023, 1, 16)]
+
+    def run(credit_score, dates, known=True):
+        scores = make_scores({"score_date": date(2023, 1, 1), "credit_score": credit_score})
+        rows = [
+            metrics.build_risk_metrics(accounts, scores if known else scores.limit(0), day, CONTRACT)
+            for day in dates
+        ]
+        built = rows[0]
+        for more in rows[1:]:
+            built = built.unionByName(more)
+        catalog.write_history(built, history, RISK_METRICS, dates)
+        raised = reports.high_risk(built).select(*HIGH_RISK_ALERTS.names)
+        catalog.write_alerts(spark, raised, alerts, dates)
+
+    def dates_of(table):
+        return [r[0] for r in rows_of(spark.table(table).select("calculation_date"))]
+
+    run(580, days)
+    assert dates_of(alerts) == dates_of(history) == days
+    run(800, days[1:])
+    assert dates_of(alerts) == days[:1] and dates_of(history) == days
+    run(580, days[1:], known=False)
+    assert dates_of(alerts) == dates_of(history) == days[:1]
+    run(800, days)
+    assert dates_of(alerts) == [] and dates_of(history) == days
+
+
+def test_latest_date_reads_no_file(spark, database):
+    catalog.create_tables(spark, database)
+    table = f"{database}.risk_metrics"
+    assert catalog.latest_date(spark, table) is None
+    catalog.create_summary_view(spark, database)
+    assert spark.table(f"{database}.vw_risk_summary").count() == 0
 
 
 def test_alerts_are_written_once_per_date(spark, database, make_accounts, make_scores):
@@ -103,7 +153,7 @@ def test_alerts_are_written_once_per_date(spark, database, make_accounts, make_s
     )
     for day in (date(2023, 1, 2), date(2023, 1, 16), date(2023, 1, 16)):
         built = metrics.build_risk_metrics(accounts, scores, day, CONTRACT)
-        catalog.write_alerts(spark, reports.high_risk_alerts(built, day), table)
+        catalog.write_alerts(spark, reports.high_risk_alerts(built, day), table, [day])
     stored = spark.table(table).select("calculation_date", "account_id", "risk_category")
     assert rows_of(stored) == [
         (date(2023, 1, 2), "A", "Very High Risk"), (date(2023, 1, 16), "A", "Very High Risk"),
@@ -120,6 +170,54 @@ def test_upsert_publishes_a_new_snapshot(spark, database, make_accounts):
         ("A", Decimal("1.00")), ("B", Decimal("3.00")), ("C", Decimal("4.00")),
     ]
     assert spark.table(f"{database}.accounts__v1").count() == 2
+    catalog.upsert_snapshot(batch, database, "accounts", "v2", MORTGAGE_ACCOUNTS, "account_id")
+    assert rows_of(spark.table(f"{database}.accounts").select("account_id", "loan_amount")) == rows_of(current)
+
+
+def test_a_failed_write_leaves_the_old_table(spark, database, make_accounts):
+    table = f"{database}.mortgage_accounts"
+    catalog.overwrite_table(make_accounts(("A", "1.00", "2.00")), table, MORTGAGE_ACCOUNTS)
+    broken = make_accounts(("B", "1.00", "2.00")).withColumn("customer_id", F.expr("raise_error('no')").cast("string"))
+    with pytest.raises(Exception, match="no"):
+        catalog.overwrite_table(broken, table, MORTGAGE_ACCOUNTS)
+    assert [r["account_id"] for r in spark.table(table).collect()] == ["A"]
+    assert catalog.overwrite_table(make_accounts(("C", "1.00", "2.00")), table, MORTGAGE_ACCOUNTS) == 1
+    assert [r["account_id"] for r in spark.table(table).collect()] == ["C"]
+
+
+def test_append_takes_a_key_once(spark, database, make_scores):
+    catalog.create_tables(spark, database)
+    table = f"{database}.credit_scores"
+    catalog.append_new(make_scores({"score_id": "S1"}, {"score_id": "S1"}), table, "score_id")
+    assert spark.table(table).count() == 1
+
+
+def test_a_cycle_can_be_run_again(spark, database, sf_dir):
+    raw_accounts = sample.mortgage_accounts_raw(spark, sf_dir)
+    raw_scores = sample.credit_scores_raw(spark, sf_dir)
+    day = date(2024, 1, 1)
+    names = ["mortgage_accounts", "credit_scores", "risk_metrics", "high_risk_alerts", "vw_risk_summary"]
+
+    def tables():
+        return {name: sorted(map(repr, spark.table(f"{database}.{name}").collect())) for name in names}
+
+    counts = catalog.run_cycle(spark, database, raw_accounts, raw_scores, day)
+    first = tables()
+    assert all(first.values()) and counts["risk_metrics"] == len(first["risk_metrics"])
+    assert catalog.run_cycle(spark, database, raw_accounts, raw_scores, day) == counts
+    assert tables() == first
+    orphans = spark.table(f"{database}.credit_scores").join(
+        spark.table(f"{database}.mortgage_accounts"), "account_id", "left_anti"
+    )
+    assert orphans.count() == 0
+    # A batch that arrived earlier changes nothing; a later one does, and an earlier date stays.
+    older = raw_accounts.withColumn("loan_amount", F.lit(1).cast("decimal(15,2)"))
+    catalog.run_cycle(spark, database, older.withColumn("ingest_seq", F.lit(-1)), raw_scores, day)
+    assert tables() == first
+    catalog.run_cycle(spark, database, older.withColumn("ingest_seq", F.lit(9)), raw_scores, date(2024, 1, 15))
+    after = tables()
+    assert after["mortgage_accounts"] != first["mortgage_accounts"]
+    assert set(first["risk_metrics"]) < set(after["risk_metrics"])
 
 
 def test_summary_view_equals_the_function(spark, database, sf_dir):
@@ -128,7 +226,7 @@ def test_summary_view_equals_the_function(spark, database, sf_dir):
     accounts.write.insertInto(f"{database}.mortgage_accounts")
     for day in (date(2023, 6, 1), date(2024, 1, 1)):
         built = metrics.build_risk_metrics(accounts, scores, day, CONTRACT)
-        catalog.write_history(built, f"{database}.risk_metrics", RISK_METRICS)
+        catalog.write_history(built, f"{database}.risk_metrics", RISK_METRICS, [day])
     catalog.create_summary_view(spark, database)
     view = spark.table(f"{database}.vw_risk_summary")
     function = reports.risk_summary(

@@ -5,16 +5,21 @@ from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from loanrisk.operators import history
 from loanrisk.operators.history import Calendar
-from loanrisk.operators.hotkeys import HotKeyLimits
+from loanrisk.operators.hotkeys import HotKeyLimits, _chunk, _two_levels, split_by_size
 from loanrisk.policy import CONTRACT
 from tests.conftest import rows_of
 
 # Every key with more than four rows counts as hot, so the hot plans are exercised.
-ALL_HOT = HotKeyLimits(floor=4, share=1e-6, draw_one_in=1)
+ALL_HOT = HotKeyLimits(rows=4, draw_one_in=1)
 NONE_HOT = HotKeyLimits()
+SOME_HOT = HotKeyLimits(rows=100, draw_one_in=1)
+# More hot keys than may be broadcast.
+MANY_HOT = HotKeyLimits(rows=4, draw_one_in=1, broadcast_keys=2, salts=3)
+EVERY_LIMIT = [NONE_HOT, ALL_HOT, SOME_HOT, MANY_HOT]
 
 
 def test_same_day_tie_goes_to_the_higher_id(make_scores):
@@ -107,7 +112,7 @@ def _by_account(rows):
     return accounts
 
 
-@pytest.mark.parametrize("limits", [NONE_HOT, ALL_HOT, HotKeyLimits(100, 1e-6, 1)])
+@pytest.mark.parametrize("limits", EVERY_LIMIT)
 @pytest.mark.parametrize("seed", [1, 2])
 def test_progression_equals_brute_force(make_scores, limits, seed):
     rows = _skewed(900, seed)
@@ -127,7 +132,7 @@ def test_progression_equals_brute_force(make_scores, limits, seed):
     assert sorted(map(repr, map(tuple, actual))) == sorted(map(repr, expected))
 
 
-@pytest.mark.parametrize("limits", [NONE_HOT, ALL_HOT, HotKeyLimits(100, 1e-6, 1)])
+@pytest.mark.parametrize("limits", EVERY_LIMIT)
 def test_daily_profiles_equal_brute_force(make_scores, limits):
     rows = _skewed(900, 3)
     expected = []
@@ -150,6 +155,34 @@ def test_daily_profiles_equal_brute_force(make_scores, limits):
     assert sorted(map(repr, map(tuple, actual))) == sorted(map(repr, expected))
 
 
+def test_hot_keys_are_those_over_the_limit(make_scores):
+    rows = make_scores(*_skewed(900, 5))
+    split = split_by_size(rows, "account_id", "score_id", SOME_HOT)
+    assert {r["account_id"] for r in split.hot.collect()} == {"HOT"}
+    assert split.hot.count() == 300 and split.ordinary.count() == 600
+    assert split_by_size(rows, "account_id", "score_id", NONE_HOT).hot is None
+    many = split_by_size(rows, "account_id", "score_id", MANY_HOT)
+    assert many.hot.count() + many.ordinary.count() == 900
+    assert many.hot.columns == many.ordinary.columns == rows.columns
+
+
+@pytest.mark.parametrize("cuts", [1, 2, 3, 10, 101])
+def test_two_levels_of_cuts_count_like_one(spark, cuts):
+    values = [f"S{3 * k:04d}" for k in range(cuts)]
+    rows = spark.range(3 * cuts + 4).select(
+        F.format_string("S%04d", F.col("id") - 1).alias("value"),
+        F.array(*map(F.lit, values)).alias("cuts"),
+    )
+    levels = rows.withColumn("levels", _two_levels(F.col("cuts")))
+    found = levels.select("value", _chunk(F.col("levels"), F.col("value")).alias("chunk"))
+    for row in found.collect():
+        assert row["chunk"] == sum(cut <= row["value"] for cut in values)
+    none = spark.sql("SELECT 'S1' AS value, CAST(NULL AS ARRAY<STRING>) AS cuts").select(
+        _chunk(F.when(F.lit(False), _two_levels(F.col("cuts"))), F.col("value")).alias("chunk")
+    )
+    assert none.first()["chunk"] == 0
+
+
 def test_in_force_equals_brute_force(make_scores):
     rows = _skewed(300, 4)
     calendar = Calendar(date(2022, 12, 20), 11)

@@ -10,7 +10,7 @@ from loanrisk.operators import metrics, reports
 from loanrisk.operators.history import Calendar
 from loanrisk.policy import AS_CODED, CONTRACT
 from loanrisk.sources import sample
-from loanrisk.sources.schemas import RISK_METRICS, conform
+from loanrisk.sources.schemas import CREDIT_SCORES, RISK_METRICS, conform, staged
 from tests.conftest import rows_of
 
 AS_OF = date(2024, 1, 1)
@@ -151,6 +151,67 @@ def test_unusable_rows(make_accounts, make_scores):
     assert coded["risk_score_normalized"] is None
 
 
+@pytest.mark.parametrize("account, values, reason", [
+    (("A", None, "100.00"), {}, "LTV_UNDEFINED"),
+    (("A", "50.00", None), {}, "LTV_UNDEFINED"),
+    (("A", "50.00", "0.00"), {}, "LTV_UNDEFINED"),
+    (("A", "50.00", "-100.00"), {}, "LTV_UNDEFINED"),
+    (("A", "-50.00", "-100.00"), {}, "LTV_UNDEFINED"),
+    (("A", "-50.00", "100.00"), {}, "LTV_OUT_OF_RANGE"),
+    (("A", "9000000.00", "0.01"), {}, "LTV_OUT_OF_RANGE"),
+    (("A", "50.00", "100.00"), {"credit_score": None}, "SCORE_MISSING"),
+    (("A", "50.00", "100.00"), {"derogatory_marks": None}, "MARKS_MISSING"),
+    (("A", "50.00", "100.00"), {"credit_utilization_pct": None}, "UTILIZATION_MISSING"),
+    (("A", "50.00", "100.00"), {"payment_history_score": None}, None),
+    (("A", "50.00", "100.00"), {"credit_score": -5}, None),
+    (("A", "50.00", "100.00"), {"derogatory_marks": -5}, None),
+    (("A", None, None), {"credit_score": None, "derogatory_marks": None, "credit_utilization_pct": None},
+     "LTV_UNDEFINED,SCORE_MISSING,MARKS_MISSING,UTILIZATION_MISSING"),
+])
+def test_every_scored_account_is_stored_or_rejected(spark, make_accounts, make_scores, account, values, reason):
+    key, loan, value = account
+    accounts = make_accounts((key, loan or "1.00", value or "1.00"), ("B", "50.00", "100.00"))
+    broken = F.col("account_id") == key
+    for name, given in (("loan_amount", loan), ("property_value", value)):
+        if given is None:
+            known = F.when(F.col("account_id") != key, F.col(name))
+            accounts = accounts.withColumn(name, known)
+    scores = make_scores(
+        {"account_id": "A", "ingest_seq": 0, **values}, {"account_id": "B", "ingest_seq": 0},
+        schema=staged(CREDIT_SCORES),
+    )
+    stored = [r["account_id"] for r in metrics.build_risk_metrics(accounts, scores, AS_OF, CONTRACT).collect()]
+    rejected = {
+        r["account_id"]: ",".join(r["reasons"])
+        for r in metrics.metric_rejects(accounts, scores, AS_OF, CONTRACT).collect()
+    }
+    assert sorted([*stored, *rejected]) == ["A", "B"]
+    assert rejected == ({"A": reason} if reason else {})
+    tiers = metrics.account_tiers(accounts, scores, AS_OF, CONTRACT)
+    assert sorted(r["account_id"] for r in tiers.collect()) == sorted(stored)
+
+
+def test_tiers_are_those_of_the_metrics(spark, sf_dir):
+    accounts, scores = sample.mortgage_accounts(spark, sf_dir), sample.credit_scores(spark, sf_dir)
+    built = metrics.build_risk_metrics(accounts, scores, AS_OF, CONTRACT)
+    columns = ["account_id", "calculation_date", "risk_category", "default_probability"]
+    assert rows_of(built.select(columns)) == rows_of(
+        metrics.account_tiers(accounts, scores, AS_OF, CONTRACT).select(columns)
+    )
+
+
+def test_an_orphan_shortens_the_top_list(make_accounts, make_scores):
+    accounts = make_accounts(("A", "50.00", "100.00"), ("B", "50.00", "100.00"), ("C", "50.00", "100.00"))
+    scores = make_scores(*(
+        {"account_id": name, "credit_score": score} for name, score in (("A", 500), ("B", 510), ("C", 520))
+    ))
+    built = metrics.build_risk_metrics(accounts, scores, AS_OF, CONTRACT)
+    top = reports.high_risk_accounts(built, accounts, AS_OF, top=2)
+    assert [r["account_id"] for r in top.collect()] == ["A", "B"]
+    short = reports.high_risk_accounts(built, accounts.filter("account_id <> 'A'"), AS_OF, top=2)
+    assert [r["account_id"] for r in short.collect()] == ["B"]
+
+
 def test_accounts_without_scores(make_accounts, make_scores):
     accounts = make_accounts(("A", "50.00", "100.00"), ("B", "50.00", "100.00"))
     scores = make_scores({"account_id": "A", "score_date": date(2023, 5, 1)})

@@ -42,8 +42,9 @@ def test_matches_sql(spark, scale, name):
     expected = sorted(map(repr, relation.select(*map(duckdb.ColumnExpression, columns)).fetchall()))
     actual = sorted(repr(tuple(row)) for row in df.select(*columns).collect())
     assert actual == expected
-    if name != "accounts_without_scores":
-        assert actual
+    # A load leaves none; the smallest tables have too few accounts for the other.
+    empty = {"load_orphans"} | ({"append_orphans"} if directory.endswith("sf0.001") else set())
+    assert bool(actual) == (name not in empty)
 
 
 def test_every_query_has_sql():

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import re
 from datetime import date
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from loanrisk.operators import history, metrics, reports, staging
 from loanrisk.plans.registry import queries
@@ -32,6 +35,24 @@ def executed(df):
     return planned(df).split("+- == Initial Plan ==")[0]
 
 
+def records_read(spark, action):
+    """Records that the scans of an action's tasks gave out, from the session's event log."""
+    before = _input_records(spark)
+    action()
+    return _input_records(spark) - before
+
+
+def _input_records(spark):
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    total = 0
+    for log in Path(spark.conf.get("spark.eventLog.dir")).iterdir():
+        for line in log.read_text().splitlines():
+            if line.startswith('{"Event":"SparkListenerTaskEnd"'):
+                metrics = json.loads(line).get("Task Metrics") or {}
+                total += metrics.get("Input Metrics", {}).get("Records Read", 0)
+    return total
+
+
 def exchanges(plan):
     return re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan)
 
@@ -80,11 +101,41 @@ def test_contract_metrics_shuffle_each_table_once_without_hot_accounts(
 
 
 def test_progression_is_one_window_without_hot_accounts(spark, sf_dir):
-    plan = executed(history.score_progression(sample.credit_scores(spark, sf_dir)))
+    plan = planned(history.score_progression(sample.credit_scores(spark, sf_dir)))
     assert exchanges(plan) == ["hashpartitioning"]
     assert "Union" not in plan
 
 
+def test_contract_metrics_read_the_scores_twice(spark, sf_dir):
+    """Once narrowly for the sizes of keys, once for the work: counted on the tasks' metrics."""
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").count()
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    read = records_read(spark, lambda: queries()["risk_metrics"](spark, sf_dir).collect())
+    assert read == customers + 2 * orders
+
+
+def test_the_sizing_job_reads_two_columns(spark, tmp_path, make_scores):
+    path = str(tmp_path / "scores")
+    make_scores({}).write.parquet(path)
+    drawn = spark.read.parquet(path).filter(F.pmod(F.xxhash64("score_id"), F.lit(64)) == 0)
+    plan = planned(drawn.groupBy("account_id").agg(F.count(F.lit(1))))
+    assert re.findall(r"FileScan parquet \[([^\]]*)\]", plan)[0].count(",") == 1
+
+
+def test_top_list_leaves_the_accounts_in_place(spark, sf_dir, no_broadcast):
+    plan = executed(queries()["high_risk_accounts_top10"](spark, sf_dir))
+    owners = [part for part in plan.split("FileScan")[1:] if "c_mktsegment" in part or "c_nationkey" in part]
+    assert plan.count("BroadcastHashJoin") == 1 and owners
+    # Only what the metrics themselves need of the accounts is exchanged.
+    assert len(re.findall("Exchange hashpartitioning", plan)) == 2
+
+
+def test_tier_lookup_needs_no_history(spark, sf_dir, no_broadcast):
+    plan = planned(queries()["tier_policy_lookup"](spark, sf_dir))
+    assert exchanges(plan) == ["hashpartitioning"] * 2
+    assert "window_high" not in plan and "previous_marks" not in plan
+
+
 def test_top_lists_do_not_sort_everything(spark, sf_dir):
     for name in ("high_risk_accounts_top10", "credit_score_trends_top5"):
         assert "TakeOrderedAndProject" in planned(queries()[name](spark, sf_dir))

@@ -121,11 +121,54 @@ def test_upsert_replaces_and_inserts_and_is_idempotent(make_accounts):
     assert rows_of(twice) == rows_of(once)
 
 
+def test_upsert_takes_the_last_arrival(make_accounts):
+    def version(seq, *rows):
+        return make_accounts(*rows).withColumn("ingest_seq", F.lit(seq))
+
+    batch = version(1, ("A", "1.00", "10.00")).unionByName(version(2, ("A", "2.00", "10.00")))
+    stored = staging.upsert(version(0, ("A", "9.00", "10.00"), ("B", "5.00", "10.00")), batch, "account_id")
+    loans = stored.select("account_id", "loan_amount", "ingest_seq")
+    assert rows_of(loans) == [("A", Decimal("2.00"), 2), ("B", Decimal("5.00"), 0)]
+    # Replaying an older batch changes nothing, but its new accounts come in.
+    older = version(1, ("A", "1.00", "10.00"), ("C", "7.00", "10.00"))
+    again = staging.upsert(stored, older, "account_id").select("account_id", "loan_amount")
+    assert rows_of(again) == [("A", Decimal("2.00")), ("B", Decimal("5.00")), ("C", Decimal("7.00"))]
+    twice = make_accounts(("A", "1.00", "10.00"), ("A", "1.00", "10.00"))
+    assert staging.upsert(make_accounts(("B", "1.00", "2.00")), twice, "account_id").count() == 2
+
+
+def test_a_parent_that_occurs_twice_does_not_multiply_rows(make_accounts, make_scores):
+    scores = make_scores({"ingest_seq": 0}, schema=staged(CREDIT_SCORES))
+    parents = make_accounts(("A", "1.00", "2.00"), ("A", "3.00", "4.00"))
+    judged = staging.with_reasons(scores, staging.score_rules(), parents)
+    assert [r["reasons"] for r in judged.collect()] == [[]]
+
+
+def test_load_checks_against_loaded_accounts(make_accounts, make_scores):
+    raw_accounts = make_accounts(("A", "1.00", "2.00"), ("B", "1.00", "0.00")).withColumn("ingest_seq", F.lit(0))
+    raw_scores = make_scores(
+        {"account_id": "A", "ingest_seq": 0}, {"account_id": "B", "ingest_seq": 0},
+        {"account_id": "C", "ingest_seq": 0}, schema=staged(CREDIT_SCORES),
+    )
+    loaded = staging.load(
+        make_accounts(("C", "5.00", "6.00")), make_scores({"score_id": "OLD", "account_id": "C"}),
+        raw_accounts, raw_scores,
+    )
+    assert rows_of(loaded.accounts.select("account_id")) == [("A",), ("C",)]
+    assert rows_of(loaded.new_scores.select("account_id")) == [("A",), ("C",)]
+    assert loaded.scores.count() == 3
+    assert rows_of(loaded.rejected_scores.select("account_id", F.array_join("reasons", ","))) == [
+        ("B", "FOREIGN_KEY:account_id"),
+    ]
+    assert rows_of(loaded.rejected_accounts.select("account_id")) == [("B",)]
+
+
 def test_unseen_adds_only_new_keys(make_scores):
     existing = make_scores({"score_id": "S1"}, {"score_id": "S2"})
     batch = make_scores({"score_id": "S2"}, {"score_id": "S3"})
     new = staging.unseen(existing, batch, "score_id")
     assert [r["score_id"] for r in new.collect()] == ["S3"]
+    assert staging.unseen(existing, batch.unionByName(batch), "score_id").count() == 1
     assert staging.unseen(existing.unionByName(new), batch, "score_id").count() == 0
 
 
