@@ -59,26 +59,49 @@ def split_by_size(rows: DataFrame, key: str, row_id: str, limits: HotKeyLimits)
     )
 
 
-def _two_levels(cuts: Column) -> Column:
-    """Sorted cuts as runs of about the square root of their number, and the first of each run."""
-    width = F.ceil(F.sqrt(F.size(cuts))).cast("int")
-    starts = F.sequence(F.lit(1), F.size(cuts), width)
-    return F.struct(
-        F.transform(starts, lambda at: F.element_at(cuts, at)).alias("firsts"),
-        F.transform(starts, lambda at: F.slice(cuts, at, width)).alias("runs"),
-        width.alias("width"),
+def _halving(cuts: Column) -> Column:
+    """Sorted cuts with the strides of a search by halves: powers of two down from their number."""
+    exponents = F.sequence(F.floor(F.log2(F.size(cuts))).cast("int"), F.lit(0), F.lit(-1))
+    strides = F.transform(exponents, lambda exponent: F.pow(F.lit(2), exponent).cast("int"))
+    return F.struct(cuts.alias("cuts"), strides.alias("strides"))
+
+
+def _reached(search: Column, value: Column) -> Column:
+    """How many cuts are not above ``value``, by halves; 0 without any cut."""
+    cuts = search["cuts"]
+    found = F.aggregate(
+        search["strides"],
+        F.lit(0),
+        # Beyond the last cut there is NULL, which is not reached.
+        lambda passed, stride: F.when(
+            F.get(cuts, passed + stride - 1) <= value, passed + stride
+        ).otherwise(passed),
     )
+    return F.coalesce(found, F.lit(0))
 
 
-def _chunk(levels: Column, value: Column) -> Column:
-    """How many cuts are not above ``value``: first the run is found, then the place in it."""
+def with_chunk(rows: DataFrame, cuts: DataFrame, keys: list[str], row_id: str) -> DataFrame:
+    """rows with ``chunk``, how many of the ``cuts`` (a sorted array per keys) their id reaches.
 
-    def reached(cuts: Column) -> Column:
-        return F.size(F.filter(cuts, lambda cut: cut <= value))
-
-    run = reached(levels["firsts"])
-    inside = reached(F.element_at(levels["runs"], F.greatest(run, F.lit(1))))
-    return F.when(levels.isNull() | (run == 0), 0).otherwise((run - 1) * levels["width"] + inside)
+    A joined row carries an array with it, so the cuts come in two levels of about the square
+    root of their number: first the run of cuts is found, then the place in that run.
+    """
+    width = F.ceil(F.sqrt(F.size("cuts"))).cast("int")
+    sized = cuts.withColumn("width", width).withColumn(
+        "starts", F.sequence(F.lit(1), F.size("cuts"), F.col("width"))
+    )
+    firsts = F.transform("starts", lambda at: F.element_at("cuts", at))
+    coarse = sized.select(*keys, "width", _halving(firsts).alias("firsts"))
+    runs = F.transform("starts", lambda at: F.slice("cuts", at, F.col("width")))
+    fine = sized.select(*keys, F.posexplode(runs).alias("before", "run_cuts")).select(
+        *keys, (F.col("before") + 1).alias("run"), _halving(F.col("run_cuts")).alias("run_cuts")
+    )
+    placed = rows.join(coarse, keys, "left").select(
+        *rows.columns, "width", _reached(F.col("firsts"), F.col(row_id)).alias("run")
+    )
+    inside = _reached(F.col("run_cuts"), F.col(row_id))
+    chunk = F.when(F.col("run") == 0, 0).otherwise((F.col("run") - 1) * F.col("width") + inside)
+    return placed.join(fine, [*keys, "run"], "left").select(*rows.columns, chunk.alias("chunk"))
 
 
 def with_previous(
@@ -93,8 +116,8 @@ def with_previous(
 
     The rows of a hot key are cut into chunks that keep the order: one per day, and a day is
     cut again at ids drawn by hash, about one per ``limits.rows`` rows. A row finds its chunk
-    among n cuts with about 2 * sqrt(n) comparisons. Each chunk is a window of its own, and
-    only its last row takes part in the window that links a key's chunks.
+    among n cuts with about log2(n) comparisons. Each chunk is a window of its own, and only
+    its last row takes part in the window that links a key's chunks.
     """
     split = split_by_size(rows, key, row_id, limits)
     carry = F.struct(*carried)
@@ -108,11 +131,8 @@ def with_previous(
         split.hot.filter(F.pmod(F.xxhash64(day, row_id), F.lit(limits.rows)) == 0)
         .groupBy(key, day)
         .agg(F.sort_array(F.collect_set(row_id)).alias("cuts"))
-        .select(key, day, _two_levels(F.col("cuts")).alias("levels"))
-    )
-    chunked = split.hot.join(cuts, [key, day], "left").select(
-        *rows.columns, _chunk(F.col("levels"), F.col(row_id)).alias("chunk")
     )
+    chunked = with_chunk(split.hot, cuts, [key, day], row_id)
     chunk_key = [key, day, "chunk"]
     link = Window.partitionBy(key).orderBy(day, "chunk")
     before_chunk = (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loanrisk.operators import history
 from loanrisk.operators.history import Calendar
-from loanrisk.operators.hotkeys import HotKeyLimits, _chunk, _two_levels, split_by_size
+from loanrisk.operators.hotkeys import HotKeyLimits, split_by_size, with_chunk
 from loanrisk.policy import CONTRACT
 from tests.conftest import rows_of
 
@@ -166,21 +166,17 @@ def test_hot_keys_are_those_over_the_limit(make_scores):
     assert many.hot.columns == many.ordinary.columns == rows.columns
 
 
-@pytest.mark.parametrize("cuts", [1, 2, 3, 10, 101])
-def test_two_levels_of_cuts_count_like_one(spark, cuts):
+@pytest.mark.parametrize("cuts", [0, 1, 2, 3, 10, 64, 101])
+def test_chunks_count_the_cuts(spark, cuts):
     values = [f"S{3 * k:04d}" for k in range(cuts)]
     rows = spark.range(3 * cuts + 4).select(
-        F.format_string("S%04d", F.col("id") - 1).alias("value"),
-        F.array(*map(F.lit, values)).alias("cuts"),
+        F.lit("A").alias("key"), F.format_string("S%04d", F.col("id") - 1).alias("value")
     )
-    levels = rows.withColumn("levels", _two_levels(F.col("cuts")))
-    found = levels.select("value", _chunk(F.col("levels"), F.col("value")).alias("chunk"))
+    listed = spark.createDataFrame([("A", values)] if values else [], "key string, cuts array<string>")
+    found = with_chunk(rows, listed, ["key"], "value")
+    assert found.columns == ["key", "value", "chunk"] and found.count() == rows.count()
     for row in found.collect():
         assert row["chunk"] == sum(cut <= row["value"] for cut in values)
-    none = spark.sql("SELECT 'S1' AS value, CAST(NULL AS ARRAY<STRING>) AS cuts").select(
-        _chunk(F.when(F.lit(False), _two_levels(F.col("cuts"))), F.col("value")).alias("chunk")
-    )
-    assert none.first()["chunk"] == 0
 
 
 def test_in_force_equals_brute_force(make_scores):
