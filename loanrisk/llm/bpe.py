@@ -23,6 +23,8 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -73,45 +75,51 @@ class PairMerger:
         rows, width = symbols.shape
         if width == 1 or not rows:
             return symbols
-        places = np.arange(width, dtype=np.int64)
+        leaf = np.arange(width - 1, dtype=np.int64)
         tree = np.full((rows, 2 * width), NO_PAIR)
-        tree[:, width:-1] = self._leaves(symbols[:, :-1], symbols[:, 1:], places[:-1], width)
+        tree[:, width:-1] = self._leaves(symbols[:, :-1], symbols[:, 1:], leaf, width)
         level = width
         while level > 1:
             pairs = tree[:, level : 2 * level]
             level //= 2
-            tree[:, level : 2 * level] = np.minimum(pairs[:, ::2], pairs[:, 1::2])
+            np.minimum(pairs[:, ::2], pairs[:, 1::2], out=tree[:, level : 2 * level])
         # One place more on either side, so that neighbours always exist: ids there are -1.
-        ids = np.full((rows, width + 2), -1, dtype=np.int64)
+        wide = width + 2
+        ids = np.full((rows, wide), -1, dtype=np.int64)
         ids[:, 1:-1] = symbols
-        after = np.tile(np.arange(1, width + 3), (rows, 1))
-        before = np.tile(np.arange(-1, width + 1), (rows, 1))
+        after = np.tile(np.arange(1, wide + 1, dtype=np.int64), rows)
+        before = np.tile(np.arange(-1, wide - 1, dtype=np.int64), rows)
+        # From here on all are flat; a row's part begins at its base.
         row = np.flatnonzero(tree[:, 1] < NO_PAIR)
+        tree, flat = tree.ravel(), ids.ravel()
         while row.size:
-            rank, place = np.divmod(tree[row, 1], width)
-            here = place + 1
-            right = after[row, here]
-            beyond = after[row, right]
-            previous = np.maximum(before[row, here], 0)
-            ids[row, here] = self.joined[rank]
-            ids[row, right] = -1
-            after[row, here] = beyond
-            before[row, np.minimum(beyond, width + 1)] = here
-            new, own, last = ids[row, here], place, np.maximum(previous - 1, 0)
-            tree[row, width + right - 1] = NO_PAIR
-            tree[row, width + own] = self._leaves(new, ids[row, np.minimum(beyond, width + 1)], own, width)
-            ahead = self._leaves(ids[row, previous], new, last, width)
-            nodes = [width + right - 1, width + own]
-            # Without a previous symbol, leaf 0 is the own leaf, which is not to be overwritten.
-            tree[row, width + last] = np.where(previous > 0, ahead, tree[row, width + last])
-            nodes.append(width + last)
+            base, root = row * wide, row * (2 * width)
+            rank, place = np.divmod(tree[root + 1], width)
+            here = base + place + 1
+            right = after[here]
+            beyond = np.minimum(after[base + right], wide - 1)
+            previous = np.maximum(before[here], 0)
+            new = self.joined[rank]
+            flat[here] = new
+            flat[base + right] = -1
+            after[here] = beyond
+            before[base + beyond] = place + 1
+            tree[root + width + right - 1] = NO_PAIR
+            tree[root + width + place] = self._leaves(new, flat[base + beyond], place, width)
+            # Without a previous symbol, the pair before has no leaf; the own leaf is then set again.
+            ahead = np.where(previous > 0, previous - 1, place)
+            left_id = np.where(previous > 0, flat[base + previous], new)
+            right_id = np.where(previous > 0, new, flat[base + beyond])
+            tree[root + width + ahead] = self._leaves(left_id, right_id, ahead, width)
+            nodes = [width + right - 1, width + place, width + ahead]
             level = width
             while level > 1:
                 level //= 2
                 for k, node in enumerate(nodes):
                     nodes[k] = node = node >> 1
-                    tree[row, node] = np.minimum(tree[row, 2 * node], tree[row, 2 * node + 1])
-            row = row[tree[row, 1] < NO_PAIR]
+                    below = root + 2 * node
+                    tree[root + node] = np.minimum(tree[below], tree[below + 1])
+            row = row[tree[root + 1] < NO_PAIR]
         symbols[:] = ids[:, 1:-1]
         return symbols
 
@@ -143,20 +151,25 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each whole text."""
         split = [(text if self.marker in text else text.lower()).split() for text in texts]
-        distinct = set().union(*split)
-        missing = distinct.difference(self.chunks)
-        if len(self.chunks) > CACHED_CHUNKS and 2 * len(missing) > len(distinct):
-            self.chunks, missing = {}, distinct
         known = self.chunks
-        fresh = dict(zip(missing, self._encode_chunks(list(missing)))) if missing else {}
-        if len(known) <= CACHED_CHUNKS:
-            known.update((c, ids) for c, ids in fresh.items() if len(c) <= CACHED_LENGTH)
-        out = []
-        for chunks in split:
-            try:
-                out.append(b"".join([known[chunk] for chunk in chunks]))
-            except KeyError:
-                out.append(b"".join([known[c] if c in known else fresh[c] for c in chunks]))
+        found = [list(map(known.get, chunks)) for chunks in split]
+        missing: set[bytes] = set()
+        for chunks, ids in zip(split, found):
+            if None in ids:
+                missing.update(compress(chunks, map(is_, ids, repeat(None))))
+        if not missing:
+            return list(map(b"".join, found))
+        if len(known) > CACHED_CHUNKS and 2 * len(missing) > len(set().union(*split)):
+            known.clear()
+            missing = set().union(*split)
+        full = len(known) > CACHED_CHUNKS
+        known.update(zip(missing, self._encode_chunks(list(missing))))
+        out = [
+            b"".join(map(known.__getitem__, chunks) if None in ids else ids)
+            for chunks, ids in zip(split, found)
+        ]
+        for chunk in missing if full else [c for c in missing if len(c) > CACHED_LENGTH]:
+            del known[chunk]
         return out
 
     def _encode_chunks(self, chunks: list[bytes]) -> Iterator[bytes]:
