@@ -48,8 +48,10 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def test_simhash_query(spark, scale_dir, documents):
+def test_simhash_query(spark, scale_dir, documents, monkeypatch):
+    monkeypatch.setattr(simhash, "SHINGLES_AT_ONCE", 7)
     prints = {row["doc_id"]: plain_fingerprint(row["text"]) for row in documents.collect()}
+    assert all(simhash.fingerprint((r["text"] or "").encode()) == signed(prints[r["doc_id"]]) for r in documents.collect())
     roots = plain_roots(prints.values())
     first = {}
     for doc_id, found in sorted(prints.items()):
@@ -93,8 +95,7 @@ def crowd(seed: int) -> list[int]:
 
 
 @pytest.mark.parametrize("seed, layout", [
-    (1, {}), (2, {"block": 16}), (3, {"segments": 5, "chosen": 2}), (4, {"segments": 6, "chosen": 3, "block": 50}),
-    (5, {"max_bits": 3, "segments": 2}), (6, {"max_bits": 0}),
+    (1, {}), (2, {"block": 16}), (3, {"segments": 5, "chosen": 2}), (5, {"max_bits": 3, "segments": 2}),
 ])
 def test_links_join_what_all_pairs_join(spark, seed, layout):
     prints = crowd(seed)

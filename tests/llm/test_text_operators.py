@@ -103,7 +103,7 @@ def test_packing_query(spark, scale_dir, documents, tokenizer):
     assert padding <= 0.03 * ids + 2048
 
 
-@pytest.mark.parametrize("capacity", [16, 100, 2048])
+@pytest.mark.parametrize("capacity", [16, 2048])
 def test_packing_odd_texts(odd_documents, tokenizer, capacity):
     check_packing(packing.pack(odd_documents, PATH, capacity).collect(), odd_documents, tokenizer, capacity)
 
@@ -156,7 +156,7 @@ def exact_expected(rows):
     }
 
 
-@pytest.mark.parametrize("digit", [1, 3, 64])
+@pytest.mark.parametrize("digit", [3, 64])
 def test_exact_copies(documents, odd_documents, monkeypatch, digit):
     monkeypatch.setattr(exact_dedup, "FIRST_DIGIT", digit)
     monkeypatch.setattr(exact_dedup, "RADIX_GROWTH", 8)
@@ -231,9 +231,9 @@ def test_trie_agrees_with_the_library():
         assert trie.count(word) == len(library.encode(word).ids)
 
 
-@pytest.mark.parametrize("cells", [1, 16, 4096])
+@pytest.mark.parametrize("cells", [1, 4096])
 def test_sharding(documents, odd_documents, no_documents, cells):
-    for docs, shards in ((documents, 8), (odd_documents, 8), (documents, 3)):
+    for docs, shards in ((documents, 8), (odd_documents, 3)):
         rows = sharding.sharded(docs, shards=shards, cells=cells).collect()
         given = docs.collect()
         assert sorted((r["doc_id"], r["size"], r["text_crc32"]) for r in rows if r["doc_id"] is not None) == sorted(
