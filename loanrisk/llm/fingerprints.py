@@ -15,8 +15,8 @@ doubling: two neighbours, then pairs of these, and so on, one pass over the arra
 Defined results: null and empty texts and white space have an empty fingerprint; a text of fewer than
 k units has the hash of all of them, one of fewer than w hashes the least of all; two empty
 fingerprints are alike by 1. The next document is that of the next smaller doc_id, after the smallest
-the largest; a null id comes after the smallest; rows of one id follow each other by text. An empty
-table gives an empty table. Columns besides doc_id and text are not read.
+the largest; a null id comes after the smallest; rows of one id follow each other by text and share a bucket, ids
+being keys. An empty table gives an empty table. Columns besides doc_id and text are not read.
 """
 
 from __future__ import annotations

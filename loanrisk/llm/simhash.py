@@ -40,6 +40,8 @@ from loanrisk.llm.common import arrow_pass, checkpointed, map_texts, numbered, u
 SHINGLE_WORDS, MAX_BITS, SEED, BITS = 4, 4, 42, 64
 SEGMENTS, CHOSEN = 3, 1
 EDGE = T.StructType([T.StructField("source", T.LongType()), T.StructField("target", T.LongType())])
+#: Shingles of a text whose bits are counted together.
+SHINGLES_AT_ONCE = 1 << 15
 #: Fingerprints under one key that one task may compare at once.
 BLOCK = 2048
 
@@ -50,18 +52,17 @@ def fingerprint(text: bytes, words_per_shingle: int = SHINGLE_WORDS) -> int:
     if not words:
         return 0
     joined = b" ".join(words)
-    if len(words) <= words_per_shingle:
-        hashes = np.array([xxh64_intdigest(joined, SEED)], dtype=np.uint64)
-    else:
-        ends = np.cumsum([len(word) + 1 for word in words]) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - words_per_shingle + 1]
-        spans = zip(starts.tolist(), ends[words_per_shingle - 1 :].tolist())
-        hashes = np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in spans], dtype=np.uint64)
+    ends = np.cumsum([len(word) + 1 for word in words]) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    last = min(words_per_shingle, len(words)) - 1  # fewer words make one shingle
+    starts, ends = starts[: len(words) - last], ends[last:]
     ones = np.zeros(BITS, dtype=np.int64)
-    for start in range(0, len(hashes), 1 << 15):
-        part = hashes[start : start + (1 << 15)].astype("<u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    majority = np.packbits(2 * ones > len(hashes), bitorder="little")
+    for k in range(0, len(starts), SHINGLES_AT_ONCE):
+        spans = zip(starts[k : k + SHINGLES_AT_ONCE].tolist(), ends[k : k + SHINGLES_AT_ONCE].tolist())
+        hashes = np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in spans], dtype="<u8")
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int64)
+    majority = np.packbits(2 * ones > len(starts), bitorder="little")
     return int(majority.view("<i8")[0])
 
 
