@@ -38,7 +38,7 @@ from loanrisk.llm.common import arrow_pass, map_texts
 NO_PAIR = np.int64(1) << 62
 #: Entries of a worker's caches; a chunk over the length limit is never kept. A full cache takes no
 #: more, and starts anew when most of what is asked for is not in it.
-CACHED_CHUNKS, CACHED_PIECES, CACHED_LENGTH = 600_000, 400_000, 64
+CACHED_CHUNKS, CACHED_PIECES, CACHED_LENGTH = 450_000, 250_000, 64
 #: Symbols merged side by side.
 MERGED_AT_ONCE = 1 << 19
 

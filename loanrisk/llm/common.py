@@ -9,12 +9,16 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Text handled at a time inside a task; keeps Python's lists small whatever Arrow delivers.
 SLICE_BYTES = 4 << 20
+#: Rows of a batch on the way to Python and back; both sides hold whole batches in memory.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+MOST_BATCH_ROWS = 1000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +33,10 @@ def _package_archive(application: str) -> str:
 
 
 def with_package(spark: SparkSession) -> None:
-    """Let Spark hand this library to the Python workers, once per application, wherever they run."""
+    """Let Spark hand this library to the Python workers, once per application, wherever they run,
+    and keep the session's batches small: documents are large rows."""
+    if not 0 < int(spark.conf.get(BATCH_ROWS)) <= MOST_BATCH_ROWS:
+        spark.conf.set(BATCH_ROWS, str(MOST_BATCH_ROWS))
     context = spark.sparkContext
     archive = _package_archive(context.applicationId)
     if not any(file.endswith(os.path.basename(archive)) for file in context.listFiles):
@@ -104,15 +111,14 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 
 def slices(batch: pa.RecordBatch, text_column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """The batch in runs of rows of about SLICE_BYTES of text, at least one row each."""
-    texts = text_bytes(batch.column(text_column))
+    lengths = pc.fill_null(pc.binary_length(batch.column(text_column)), 0).to_pylist()
     start = held = 0
-    for row, text in enumerate(texts):
-        if held and held + len(text) > SLICE_BYTES:
-            yield batch.slice(start, row - start), texts[start:row]
+    for row, length in enumerate([*lengths, SLICE_BYTES + 1]):
+        if row > start and held + length > SLICE_BYTES:
+            part = batch.slice(start, row - start)
+            yield part, text_bytes(part.column(text_column))
             start, held = row, 0
-        held += len(text) + 1
-    if texts:
-        yield batch.slice(start), texts[start:]
+        held += length + 1
 
 
 def map_texts(
