@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from loanrisk.llm import (
     bpe, exact_dedup, fingerprints, langid, packing, quality, secret_scan, sharding, simhash, token_counts,
+    unigram,
 )
 from loanrisk.llm.common import crc_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BPE_FILE = "word_bpe_49k.json"
+#: Only its pieces are used: the scores of this file are ranks of merges.
 UNIGRAM_FILE = "piece_bpe_32k.model"
 
 
@@ -40,7 +42,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(UNIGRAM_FILE))
+    docs = read_table(spark, sf_dir, "documents")
+    path = public_tokenizers.path(UNIGRAM_FILE)
+    scores = unigram.learn(docs, token_counts.vocabulary_scores(path))
+    return token_counts.token_counts(docs, path, scores)
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,15 +2,16 @@
 
 The best segmentation of a prefix depends on that prefix alone, so it is computed once per trie node:
 the best score and token count of the path from the root. Pre-tokens that share a prefix share its
-nodes; a terminal keeps the count of its pre-token. A node looks back at most as far as the longest
-piece, so the work is linear in the nodes.
+nodes; a terminal keeps the count of its pre-token. A node looks back at most as far as pieces end so, so the work is linear in the nodes.
 
 Every Python worker grows one trie over the distinct pre-tokens it meets, bounded in size; nothing is
 shuffled. Counts do not depend on what a trie holds already.
 
 Pre-tokens are the words between ASCII white space, each after the word mark that the vocabulary puts
-for a space. Scores are the vocabulary's own; of equal scores the segmentation with fewer tokens
-counts. A character that no piece covers counts as its UTF-8 bytes, at a score below every piece.
+for a space: the first space before a word counts with the word, all other white space has no tokens.
+Scores are log probabilities that ``unigram.learn`` takes from the corpus, or the file's own, which
+are log probabilities only if it holds a unigram model; of equal scores the segmentation with fewer
+tokens counts. A character that no piece covers counts as its UTF-8 bytes, at a score below every piece.
 
 Defined results: null and empty texts and white space have no tokens; very long words are counted
 whole, outside the shared trie; an empty table gives an empty table. Columns besides the kept ones
@@ -19,6 +20,8 @@ and text are not read.
 
 from __future__ import annotations
 
+import math
+import uuid
 from functools import lru_cache
 
 import pyarrow as pa
@@ -27,11 +30,10 @@ from pyspark.sql import types as T
 from sentencepiece import SentencePieceProcessor
 
 from loanrisk.llm.common import map_texts
+from loanrisk.llm.unigram import UNKNOWN_PENALTY, WORD_MARK
 
-WORD_MARK = "▁"
 #: Nodes and terminals of a worker's trie, and the longest word that is put into it.
 TRIE_NODES, TRIE_WORDS, TRIE_WORD_LENGTH = 600_000, 500_000, 64
-UNKNOWN_PENALTY = 10.0
 
 
 class UnigramTrie:
@@ -39,7 +41,8 @@ class UnigramTrie:
 
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
-        self.longest = max(map(len, scores), default=1)
+        # Ends of pieces; those that are no piece themselves can never be the best.
+        self.endings = {piece[k:]: -math.inf for piece in scores for k in range(1, len(piece))} | scores
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
         self._clear()
 
@@ -50,22 +53,22 @@ class UnigramTrie:
 
     def _step(self, word: str, end: int, path: list[tuple[float, int]]) -> tuple[float, int]:
         """Best (score, minus tokens) of word[:end], from those of all shorter prefixes."""
-        scores = self.scores
-        best = None
-        for start in range(max(0, end - self.longest), end):
-            score = scores.get(word[start:end])
-            if score is not None:
-                before = path[start]
-                candidate = (before[0] + score, before[1] - 1)
-                if best is None or candidate > best:
-                    best = candidate
-        if word[end - 1] not in scores:
-            before = path[end - 1]
-            size = len(word[end - 1].encode("utf-8", "replace"))
-            candidate = (before[0] + self.unknown, before[1] - size)
-            if best is None or candidate > best:
-                best = candidate
-        return best
+        endings = self.endings
+        best, tokens = -math.inf, 0
+        for start in range(end - 1, -1, -1):
+            score = endings.get(word[start:end])
+            if score is None:  # no piece ends with this, nor with anything longer
+                break
+            before, less = path[start]
+            score += before
+            if score > best or score == best and less > tokens:
+                best, tokens = score, less - 1
+        letter = word[end - 1]
+        if letter not in self.scores:
+            before, less = path[end - 1]
+            candidate = (before + self.unknown, less - len(letter.encode("utf-8", "replace")))
+            return max((best, tokens), candidate)
+        return best, tokens
 
     def count(self, word: str) -> int:
         """Tokens of one pre-token; its prefixes become nodes of the trie."""
@@ -119,12 +122,29 @@ def trie(path: str) -> UnigramTrie:
     return UnigramTrie(vocabulary_scores(path))
 
 
-def token_counts(docs: DataFrame, path: str) -> DataFrame:
-    """One row per document: doc_id, n_pretokens and n_tokens of its whole text."""
+#: The trie of the learnt scores that this Python worker counted with last.
+_learnt: dict[str, UnigramTrie] = {}
+
+
+def token_counts(docs: DataFrame, path: str, scores: dict[str, float] | None = None) -> DataFrame:
+    """One row per document: doc_id, n_pretokens and n_tokens of its whole text.
+
+    With the given scores of pieces, else with those of the vocabulary file.
+    """
+    name = uuid.uuid4().hex
+    shared = None if scores is None else docs.sparkSession.sparkContext.broadcast(scores)  # one a piece
+
+    def own_trie() -> UnigramTrie:
+        if shared is None:
+            return trie(path)
+        if name not in _learnt:
+            _learnt.clear()
+            _learnt[name] = UnigramTrie(shared.value)
+        return _learnt[name]
 
     def count(_: pa.RecordBatch, texts: list[bytes]) -> list[pa.Array]:
         split = [text.split() for text in texts]
-        counts = trie(path).counts(set().union(*split))
+        counts = own_trie().counts(set().union(*split))
         return [
             pa.array([len(words) for words in split], pa.int64()),
             pa.array([sum([counts[word] for word in words]) for words in split], pa.int64()),
