@@ -44,6 +44,9 @@ MERGED_AT_ONCE = 1 << 19
 
 # Chunks of printable ASCII and precomposed Latin letters: normal already but for their case.
 LATIN = re.compile("[!-~À-ÖØ-öø-įı-ſ]*")
+# A capital before a letter or mark that may join it: the file composes first and lowers the case then,
+# and some small letters have a composed form where the capital has none. Marks begin with \xcc at least.
+MAY_JOIN = re.compile(rb"[A-Z][\xc6-\xff]")
 # The split pattern of the vocabulary file for these, in lower case.
 LATIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-zß-öø-ſ0-9]+")
 
@@ -150,7 +153,7 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each whole text."""
-        split = [(text if self.marker in text else text.lower()).split() for text in texts]
+        split = list(map(self._chunks, texts))
         known = self.chunks
         found = [list(map(known.get, chunks)) for chunks in split]
         missing: set[bytes] = set()
@@ -172,6 +175,14 @@ class Encoder:
             del known[chunk]
         return out
 
+    def _chunks(self, text: bytes) -> list[bytes]:
+        """Chunks between white space, in lower case where that changes no id."""
+        if self.marker in text:
+            return text.split()
+        if text.isascii() or not MAY_JOIN.search(text):
+            return text.lower().split()
+        return [chunk if MAY_JOIN.search(chunk) else chunk.lower() for chunk in text.split()]
+
     def _encode_chunks(self, chunks: list[bytes]) -> Iterator[bytes]:
         split = [self._split(chunk) for chunk in chunks]
         distinct = {p for pieces in split for p in pieces if type(p) is not int}

@@ -50,6 +50,13 @@ def test_bpe_odd_texts(odd_documents, no_documents, tokenizer):
     assert bpe.decode(bpe.encode(no_documents, PATH), PATH).count() == 0
 
 
+@pytest.mark.parametrize("pair", ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "J\u0323\u030c"])
+def test_capitals_without_a_composed_form(tokenizer, pair):
+    for text in (pair, pair.lower(), f"The {pair}an{pair} OF <| É{pair}", f"Words AND {pair.lower()} É{pair}A 漢H漢"):
+        got = np.frombuffer(bpe.Encoder(PATH).encode([text.encode()])[0], "<u4").tolist()
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_bpe_caches_only_save_time(tokenizer, monkeypatch):
     monkeypatch.setattr(bpe, "CACHED_CHUNKS", 5)
     monkeypatch.setattr(bpe, "CACHED_PIECES", 5)
