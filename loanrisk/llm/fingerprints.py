@@ -1,7 +1,8 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-The units of a text are its runs of characters that are not white space, ideographs and kana singly,
-with an upper bound on a run's length, so that text without spaces has units too. Every k
+The units of a text are its runs of characters that are not white space. Letters of scripts without
+spaces (ideographs, kana, Thai, Lao, Khmer and others) are units singly, and so are all characters of
+a run over 64: no unit depends on where a run starts, so that text without spaces matches too. Every k
 successive units have a rolling hash (cyclic polynomial: the units' hashes, each rotated by its
 distance from the last, joined by exclusive or). Of every window of w successive hashes the least is
 chosen, the rightmost of equal ones. The fingerprint is the set of chosen hashes with their positions.
@@ -27,7 +28,13 @@ from pyspark.sql import functions as F
 GRAM, WINDOW = 4, 8
 POSITION_BITS = 28
 LAST_POSITION = (1 << POSITION_BITS) - 1
-UNIT = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]|[^\s\p{IsHan}\p{IsHiragana}\p{IsKatakana}]{1,64}"
+SINGLE = "".join(rf"\p{{Is{script}}}" for script in (
+    "Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan", "Javanese", "Balinese",
+    "Tai_Le", "New_Tai_Lue", "Tai_Tham", "Tai_Viet",
+))
+# The ideograph beyond 16 bits, named once more, has Java look behind by whole characters.
+IN_RUN = rf"[^\s{SINGLE}" + "\U00020000]"
+UNIT = rf"[{SINGLE}]|(?<!{IN_RUN}){IN_RUN}{{1,64}}+(?!{IN_RUN})|{IN_RUN}"
 
 
 def _let(value: Column, body) -> Column:

@@ -240,3 +240,21 @@ def test_a_shared_passage_is_found(spark):
 def test_no_python_in_the_fingerprint_plan(spark, scale_dir):
     plan = queries.op10_document_fingerprints(spark, scale_dir)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+@pytest.mark.parametrize("letters", ["กขคงจฉชซญดตถทธนบปผพฟมยรลวสหอะาิีุูเแโใไ", "ກຂຄງຈສຊຍດຕຖທນບປຜ", "កខគឃងចឆជឈញដឋឌ", "abcdefXYZ0123456789+/"])
+def test_a_shifted_copy_in_an_unspaced_run_is_found(spark, letters):
+    chance = random.Random(6)
+    passage = "".join(chance.choice(letters) for _ in range(5000))
+    docs = spark.createDataFrame([(1, passage), (2, letters[0] + passage), (3, f"{letters[:5] * 30}{passage[100:400]}{letters[-5:] * 30}")], "doc_id long, text string")
+    one, shifted, part = ({f["hash"] for f in r["fingerprint"]} for r in fingerprints.fingerprints(docs).orderBy("doc_id").collect())
+    assert len(one & shifted) >= 0.99 * len(one | shifted)
+    assert len(one & part) >= 300 // (2 * fingerprints.WINDOW)
+
+
+def test_units(spark):
+    texts = ["x" * 64 + " " + "y" * 65, "ab\U00020000cd 漢ef\U0001f600g", "ไทย word"]
+    units = [["x" * 64, *"y" * 65], ["ab", "\U00020000", "cd", "漢", "ef\U0001f600g"], [*"ไทย", "word"]]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = docs.select(F.regexp_extract_all("text", F.lit(fingerprints.UNIT), F.lit(0)))
+    assert sorted(r[0] for r in found.collect()) == sorted(units)
