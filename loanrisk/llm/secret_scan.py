@@ -1,8 +1,12 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-A candidate is a run of at least MIN_LENGTH key characters with a digit or several changes of case. The
+A candidate is a run of at least MIN_LENGTH key characters with a digit or several changes of case, or
+a value of at least MIN_VALUE printable characters that is assigned to a secret's name or stands for the
+password in a URL: quoted text whole, other values up to white space, a quote or an angle bracket,
+without closing punctuation. Where a value of several parts (white space, /, =, ?, &, : between them)
+holds such runs, these are the candidates, else the whole value is. The
 forest sees its length, transitions between kinds of characters, share of characters that dictionary
-words cover, path-like surroundings and neighbouring words, and says how likely it is a secret. It is
+words cover, characters that keys do not have, path-like surroundings and neighbouring words, and says how likely it is a secret. It is
 trained from labelled findings: rows of features and a label. ``weak_labels`` takes those findings of
 the corpus that a plain rule can settle (assigned to a secret's name; or a number, or named a digest),
 ``made_findings`` adds usual forms that a corpus may lack, made by rule.
@@ -22,6 +26,7 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,18 +39,33 @@ from pyspark.sql import types as T
 
 from loanrisk.llm.common import arrow_pass, checkpointed, map_texts, positional
 
-MIN_LENGTH, CONTEXT = 16, 48
+MIN_LENGTH, MIN_VALUE, CONTEXT = 16, 6, 48
 LABELLED_ROWS = 3000
 REPLACEMENT = "[SECRET]"
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-]{%d,}={0,2}" % MIN_LENGTH)
 DIGIT = re.compile("[0-9]")
 CASE_CHANGE = re.compile("[a-z](?=[A-Z])|[A-Z](?=[a-z])")
-WORDS = re.compile("[a-z]+")
+WORDS = re.compile(r"[^\W\d_]+")
+NOT_OF_KEYS = re.compile(r"[^A-Za-z0-9+/_\-=]")
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "glpat-", "sk-", "sk_", "pk_", "xox", "AIza", "eyJ")
 SECRET_NAMES = frozenset(
     "token secret password passwd pwd key apikey auth authorization bearer credential credentials "
     "private access clave contraseña schlüssel passwort kennwort jeton motdepasse".split()
 )
+# A secret's name right before a sign of assignment, and what follows from that sign on.
+SIGN, BEFORE_SIGN = re.compile("[:=]"), 64
+NAMED = re.compile(
+    r"(?:%s)\w{0,12}[\"'`\])]{0,2}[ \t]*\Z" % "|".join(sorted(SECRET_NAMES, key=lambda name: (-len(name), name))),
+    re.IGNORECASE,
+)
+ASSIGNED = re.compile(
+    r"(?::=|=>|==?|:)[ \t]*(?:(?:bearer|basic|token)[ \t]+)?"
+    r"(?:\"(?P<double>[^\"\r\n]{%d,512})\"|'(?P<single>[^'\r\n]{%d,512})'|`(?P<back>[^`\r\n]{%d,512})`"
+    r"|(?P<bare>[^\s\"'`<>]{%d,}))" % ((MIN_VALUE,) * 4),
+    re.IGNORECASE,
+)
+IN_URL = re.compile(r"://[^\s/:@\"'<>]{0,256}:(?P<bare>[^\s/\"'<>]{%d,256})@" % MIN_VALUE)
+PARTS = re.compile(r"[\s/=?&:]")
 HARMLESS_NAMES = frozenset(
     "sha md5 commit hash checksum digest uuid guid id revision version build serial etag example sample "
     "test card number phone order invoice isbn iban account reference".split()
@@ -68,16 +88,65 @@ IN_DICTIONARY = re.compile("|".join(sorted(DICTIONARY, key=len, reverse=True)))
 FEATURES = (
     "log_length", "transitions", "digits", "upper", "hex", "entropy", "distinct", "longest_run", "dictionary",
     "vowels", "separators", "path", "secret_name", "harmless_name", "assigned", "quoted", "prefix", "longest_same",
+    "not_of_keys", "spaces", "in_url", "cased",
 )
 
 
-def candidates(text: str) -> Iterator[tuple[int, int]]:
+def _runs(text: str) -> Iterator[tuple[int, int]]:
     for match in CANDIDATE.finditer(text):
         found = match.group()
         if DIGIT.search(found) or len(CASE_CHANGE.findall(found)) >= 4:
             yield match.span()
 
 
+def _values(text: str) -> Iterator[tuple[int, int]]:
+    """Values assigned to a secret's name and passwords of URLs, in order, without overlaps."""
+    spans = [(*match.span("bare"), False) for match in IN_URL.finditer(text)]
+    reached = 0
+    for sign in SIGN.finditer(text):
+        at = sign.start()
+        if at < reached or not NAMED.search(text[max(reached, at - BEFORE_SIGN) : at]):
+            continue
+        match = ASSIGNED.match(text, at)
+        if match:
+            start, reached = match.span(match.lastgroup)
+            end = reached
+            if match.lastgroup == "bare":
+                end = start + len(text[start:end].rstrip(".,;:)]}"))
+            if end - start >= MIN_VALUE:
+                spans.append((start, end, True))
+    reached = 0
+    urls = sorted(span[:2] for span in spans if not span[2])
+    for start, end, assigned in sorted(spans):
+        inside = bisect_left(urls, (start, start)) if assigned else len(urls)
+        if inside < len(urls) and urls[inside][1] <= end:
+            continue  # the password inside is a candidate of its own
+        if start >= reached:
+            yield start, end
+            reached = end
+
+
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Places of candidates in order, without overlaps."""
+    runs = list(_runs(text))
+    spans, at = [], 0
+    for start, end in _values(text):
+        while at < len(runs) and runs[at][1] <= start:
+            spans.append(runs[at])
+            at += 1
+        held = []
+        while at < len(runs) and runs[at][0] < end:
+            held.append(runs[at])
+            at += 1
+        outside = any(first < start or last > end for first, last in held)
+        if held and (outside or PARTS.search(text, start, end)):
+            spans += held
+        else:
+            spans.append((start, end))
+    yield from spans
+    yield from runs[at:]
+
+
 def _kind(letter: str) -> int:
     return 0 if letter.islower() else 1 if letter.isupper() else 2 if letter.isdigit() else 3
 
@@ -107,6 +176,8 @@ def features(before: str, found: str, after: str) -> list[float]:
         float(any(word in SECRET_NAMES for word in near)), float(any(word in HARMLESS_NAMES for word in near)),
         float(close.rstrip()[-1:] in tuple("=:")), float(before[-1:] in tuple("\"'`") and after[:1] in tuple("\"'`")),
         float(found.startswith(PREFIXES)), same / n,
+        len(NOT_OF_KEYS.findall(found)) / n, sum(letter.isspace() for letter in found) / n,
+        float(after[:1] == "@" and "://" in before), float(0 < kinds.count(1) and 0 < kinds.count(0)),
     ]
 
 
@@ -198,6 +269,18 @@ def made_findings(each: int = 40, seed: int = 5) -> list[tuple[list[float], int]
 
     names = sorted(SECRET_NAMES)
     harmless = sorted(HARMLESS_NAMES)
+    small, large = hexes[10:] + "ghijklmnopqrstuvwxyz", key[:26]
+    marks = "!.$@~#%^&*?-_+"
+
+    def password() -> str:
+        """Mixed kinds of characters, with or without a word."""
+        word = chance.choice(DICTIONARY).title() if chance.random() < 0.5 else drawn(key[:52], 3, 6)
+        parts = [word, drawn(hexes[:10], 1, 4), drawn(marks, 1, 2), drawn(key[:62], 1, 5)]
+        return "".join(parts if chance.random() < 0.5 else chance.sample(parts, 4))
+
+    def prose(words: int) -> str:
+        return " ".join(drawn(small, 2, 9) if chance.random() < 0.5 else chance.choice(DICTIONARY) for _ in range(words))
+
     found = []
     for _ in range(each):
         name, other = chance.choice(names), chance.choice(harmless)
@@ -213,6 +296,18 @@ def made_findings(each: int = 40, seed: int = 5) -> list[tuple[list[float], int]
             (f'{name} = "', chance.choice("x0") * chance.randint(16, 40) + "1", '"', 0),
             (f"{name}: ", f"your_{name.encode('ascii', 'ignore').decode()}_example_value_here1", " ", 0),
             ("see ", named(5).title().replace("_", "") + "2", ".html", 0), ("https://example.com/", named(3) + drawn(hexes, 8, 16), "/", 0),
+            (f'{name} = "', password(), '"', 1), (f"{name}: ", password(), "\n", 1), (f"{name}=", drawn(key[:62], 8, 15), " ", 1),
+            (f'{name} = "', drawn(large, 16, 32), '"', 1), (f"{name.upper()}=", drawn(large, 16, 32), "\n", 1),
+            (f'{name} = "', ".".join(drawn(key[:62], 3, 12) for _ in range(3)), '"', 1),
+            (f'{name} = "', "".join(drawn(key[:62], 2, 8) + chance.choice(marks) for _ in range(4)), '"', 1),
+            (f"postgres://{drawn(small, 3, 8)}:", password(), "@db.example.com", 1),
+            (f"https://{drawn(small, 3, 8)}:", drawn(key[:62], 6, 20), "@host/path", 1),
+            (f"{name}: ", drawn(small, 6, 12), " and", 0), (f"{name}: ", chance.choice(DICTIONARY).title() + drawn(small, 2, 4), " ", 0),
+            (f'{name} = "', prose(chance.randint(2, 9)), '"', 0), (f'{name}: "', prose(4).capitalize() + ".", '"', 0),
+            (f"{name} = ", f"get_{chance.choice(DICTIONARY)}()", "\n", 0), (f"{name}=", f"${{{chance.choice(DICTIONARY).upper()}}}", "\n", 0),
+            (f"{name} = ", f"{chance.choice(DICTIONARY)}.{chance.choice(DICTIONARY)}", "\n", 0), (f'{name} = "', "*" * chance.randint(6, 16), '"', 0),
+            (f'{name} = "', chance.choice(("changeme", "password", "your-password", "undefined", "required")), '"', 0),
+            ("http://user:", chance.choice(("password", "${PASSWORD}", "your_password", "******")), "@host", 0),
         ]
         found += [(features(before, text, after), label) for before, text, after, label in rows]
     return found
@@ -255,6 +350,10 @@ def weak_labels(found: DataFrame) -> DataFrame:
     secret = (value["secret_name"] == 1) & (value["assigned"] == 1) | (value["prefix"] == 1)
     random_looking = (value["entropy"] >= 3) & (value["digits"] < 1) & (value["dictionary"] < 0.2) & (value["longest_same"] < 0.3)
     harmless = (value["digits"] == 1) | (value["harmless_name"] == 1) & (value["secret_name"] == 0) & (value["prefix"] == 0)
+    # Only runs of key characters are settled as secrets; other values are left to the made findings.
+    random_looking &= (value["not_of_keys"] == 0) & (value["log_length"] >= math.log2(MIN_LENGTH)) & (
+        (value["digits"] > 0) | (value["transitions"] >= 0.2)
+    )
     return found.select(
         "features", F.when(secret & random_looking, 1).when(harmless, 0).alias("label"), "secret_sha256"
     ).filter("label is not null")

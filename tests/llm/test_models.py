@@ -212,3 +212,28 @@ def test_candidates_take_digits_or_changes_of_case():
     assert [text[a:b] for a, b in secret_scan.candidates(text)] == ["1234567890123456", "AbCdEfGhIjKlMnOpQ"]
     values = secret_scan.features("x ", "1234567890123456", " y")
     assert len(values) == len(secret_scan.FEATURES) and values[2] == 1 and math.isclose(values[0], 4)
+
+
+@pytest.mark.parametrize("text, value", [
+    ('password = "Hunter2!x9" here', "Hunter2!x9"), ("go to postgres://bob:s3cretPw@db now", "s3cretPw"),
+    ('token = "QWERTYUIOPASDFGHJKLZ"', "QWERTYUIOPASDFGHJKLZ"), ("API_KEY=aB3.xY9!kL2$mN5~pQ8@rS1.", "aB3.xY9!kL2$mN5~pQ8@rS1"),
+    ("contraseña: Verano2024!", "Verano2024!"),
+])
+def test_values_of_secret_names_are_judged(spark, text, value):
+    assert value in [text[a:b] for a, b in secret_scan.candidates(text)]
+    assert secrets_of(spark, text) == {(0, value)}
+
+
+def test_candidates_do_not_overlap_and_keep_runs():
+    run = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    for text in (f'key: "see {run} in it"', f"token = https://host/a?b={run}", f"key={run}= pwd={run}", f'pwd="{run}" {run}'):
+        spans = list(secret_scan.candidates(text))
+        assert spans == sorted(spans) and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+        assert sum(run in text[a:b] for a, b in spans) == text.count(run)
+
+
+def test_harmless_values_of_secret_names(spark):
+    assert secrets_of(
+        spark, "password: required", 'password = "your-password"', "token = get_token()", "the key: something else",
+        "http://user:password@host/", 'key = "the name of the field"',
+    ) == set()
