@@ -1,15 +1,18 @@
-"""What the operators of this package share: Arrow passes, checkpoints, row numbers, held-out rows."""
+"""What the operators of this package share: Arrow passes, checkpoints, row ids, held-out rows."""
 
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,10 +68,13 @@ def arrow_pass(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all machines share: spark.checkpoint.dir, or one of our own if unset."""
+    """The folder that all machines share: spark.checkpoint.dir. On one machine, if it is unset, one of
+    our own; on several there is none to guess, which is an error."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         configured = context.getConf().get("spark.checkpoint.dir")
+        if not configured and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
@@ -93,10 +99,30 @@ def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return df.toDF(*places), {name.lower(): place for name, place in zip(df.columns, places)}
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written as Parquet in the shared folder and read back: cut off like a checkpoint, compressed,
+    and of later reads only the columns they ask for."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stored-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def numbered(df: DataFrame, name: str) -> DataFrame:
-    """Add a row number unique in df. It depends on a row's place in its file only, so df must be a
-    stored table (or a checkpoint): a second read or a repeated task then gives the same numbers."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """Add an id per row that is the same at every read: the file (its hash) and the place in it.
+
+    How Spark cuts files into partitions follows the cores that are alive; the id does not. Rows that
+    are no plain scan of files are written to the shared folder first.
+    """
+    try:
+        place = df.metadataColumn("_metadata")
+        return df.withColumn(name, F.struct(
+            F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("place")
+        ))
+    except AnalysisException:
+        rows, places = positional(df)
+        plain = stored(rows)
+        return numbered(plain, unused(plain, name)).toDF(*df.columns, name)
 
 
 def crc_remainder(doc_id: Column, divisor: int) -> Column:

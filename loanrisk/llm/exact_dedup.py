@@ -13,8 +13,8 @@ round brings a group's rows together: copies shrink to one row per task before t
 join of a hot group is one row against many, which adaptive execution splits.
 
 Defined results: a null text counts as empty; a null doc_id ranks below all others; of rows with the
-same id and text, the one with the highest row number stays. The input must be a stored table, so
-that its rows keep their numbers (see ``numbered``). An empty table gives an empty table. Columns
+same id and text, the one last by file and place stays. Rows are told apart by these (see ``numbered``),
+whatever executors come or go between two reads. An empty table gives an empty table. Columns
 besides doc_id and text are not read.
 """
 

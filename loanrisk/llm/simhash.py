@@ -262,7 +262,10 @@ def near_duplicates(
         classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
         .select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
     )
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root")
+    # Stored, so that either side of the join by root is a plain shuffle and a giant component can be split.
+    rooted = checkpointed(rooted)
+    names = checkpointed(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
+    named = rooted.join(names, "root")
     return prints.join(named.drop("first"), "fingerprint").select(
         "row", "doc_id", "fingerprint", "root", "component_id"
     )
