@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanrisk.llm import (
-    bpe, exact_dedup, fingerprints, langid, packing, quality, secret_scan, sharding, simhash, token_counts,
-    unigram,
+    bpe, exact_dedup, fingerprints, langid, lexical_search, packing, quality, resampling, secret_scan,
+    sharding, simhash, sql, token_counts, unigram,
 )
 from loanrisk.llm.common import crc_remainder, read_table
 
@@ -96,6 +96,15 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
@@ -108,6 +117,8 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_secret_scan": op9_secret_scan,
         "op10_document_fingerprints": op10_document_fingerprints,
+        "op12_lexical_search": op12_lexical_search,
+        "op13_importance_resampling": op13_importance_resampling,
     }
 
 
@@ -126,4 +137,8 @@ FROM d JOIN g USING (normal)
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that DuckDB can express; the others are tested against brute force."""
-    return {"op3_exact_dedup": OP3_SQL}
+    return {
+        "op3_exact_dedup": OP3_SQL,
+        "op12_lexical_search": sql.LEXICAL_SEARCH,
+        "op13_importance_resampling": sql.RESAMPLING,
+    }
