@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanrisk.llm import (
-    bpe, exact_dedup, fingerprints, langid, lexical_search, packing, quality, resampling, secret_scan,
+    bpe, exact_dedup, fingerprints, jaccard_join, langid, lexical_search, packing, quality, resampling, secret_scan,
     sharding, simhash, sql, token_counts, unigram,
 )
 from loanrisk.llm.common import crc_remainder, read_table
@@ -97,6 +97,10 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -117,6 +121,7 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_secret_scan": op9_secret_scan,
         "op10_document_fingerprints": op10_document_fingerprints,
+        "op11_ngram_jaccard_join": op11_ngram_jaccard_join,
         "op12_lexical_search": op12_lexical_search,
         "op13_importance_resampling": op13_importance_resampling,
     }
@@ -139,6 +144,7 @@ def oracle_sql() -> dict[str, str]:
     """SQL for the queries that DuckDB can express; the others are tested against brute force."""
     return {
         "op3_exact_dedup": OP3_SQL,
+        "op11_ngram_jaccard_join": sql.JACCARD_JOIN,
         "op12_lexical_search": sql.LEXICAL_SEARCH,
         "op13_importance_resampling": sql.RESAMPLING,
     }

@@ -6,6 +6,30 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # lower() of DuckDB also folds other letters, so A-Z are translated one by one.
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
 
+#: N-gram Jaccard join: all pairs that share a shingle, then what can be reached over links.
+JACCARD_JOIN = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(words) >= 4 THEN list_transform(range(1, len(words) - 2), lambda k: array_to_string(words[k : k + 3], ' '))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
+  FROM w
+), n AS (
+  SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS held
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * held >= 85 * (x.size + y.size - held)
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM w UNION SELECT doc_id, b FROM reached JOIN links ON other = a
+)
+SELECT doc_id, CAST(coalesce(any_value(size), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM reached LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
 #: Ranked lexical search: every item's ten best documents.
 LEXICAL_SEARCH = rf"""
 WITH d AS (
