@@ -36,7 +36,7 @@ def observations_until(scores: DataFrame, as_of: date | None) -> DataFrame:
     return scores if as_of is None else scores.filter(F.col("score_date") <= F.lit(as_of))
 
 
-def _newest(scores: DataFrame, count: int, *key: str) -> DataFrame:
+def newest_rows(scores: DataFrame, count: int, *key: str) -> DataFrame:
     """The ``count`` newest rows per key with their ``position``, newest first.
 
     A same-day tie goes to the higher score id. Spark plans the rank filter as a group limit
@@ -49,7 +49,7 @@ def _newest(scores: DataFrame, count: int, *key: str) -> DataFrame:
 
 def latest_scores(scores: DataFrame, as_of: date | None = None) -> DataFrame:
     """The newest observation of each account."""
-    newest = _newest(observations_until(scores, as_of), 1, KEY)
+    newest = newest_rows(observations_until(scores, as_of), 1, KEY)
     return newest.select(
         KEY,
         "score_id",
@@ -63,7 +63,7 @@ def latest_scores(scores: DataFrame, as_of: date | None = None) -> DataFrame:
 
 def _newest_with_previous_marks(scores: DataFrame, *key: str) -> DataFrame:
     """The newest row per key, plus the marks of the row before it within the key."""
-    newest = _newest(scores, 2, *key)
+    newest = newest_rows(scores, 2, *key)
     first = F.when(F.col("position") == 1, F.struct(*_OBSERVED))
     second = F.when(F.col("position") == 2, F.col("derogatory_marks"))
     grouped = newest.groupBy(*key).agg(

@@ -113,8 +113,14 @@ def build_risk_metrics(
     accounts: DataFrame, scores: DataFrame, as_of: date, policy: RiskPolicy
 ) -> DataFrame:
     """One metrics row per scored account, from what was known at ``as_of``."""
-    assessed = assess(accounts, _observed(scores, as_of, policy), policy)
-    return _shape(_stored(assessed, policy), F.lit(as_of))
+    return metrics_of(accounts, _observed(scores, as_of, policy), as_of, policy)
+
+
+def metrics_of(
+    accounts: DataFrame, observed: DataFrame, as_of: date, policy: RiskPolicy
+) -> DataFrame:
+    """The metrics rows of a date from one profile per account."""
+    return _shape(_stored(assess(accounts, observed, policy), policy), F.lit(as_of))
 
 
 def account_tiers(
