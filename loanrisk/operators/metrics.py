@@ -143,7 +143,12 @@ def metric_rejects(
 
     Together with the rows of ``build_risk_metrics`` these are all scored accounts.
     """
-    rows = _joined(accounts, latest_scores(scores, as_of), policy)
+    return rejects_of(accounts, latest_scores(scores, as_of), policy)
+
+
+def rejects_of(accounts: DataFrame, observed: DataFrame, policy: RiskPolicy) -> DataFrame:
+    """The same from one profile or newest observation per account."""
+    rows = _joined(accounts, observed, policy)
     reasons = (F.when(broken, F.lit(name)) for name, broken in _unstorable(policy).items())
     return rows.select(
         KEY, "score_id", F.array_compact(F.array(*reasons)).alias("reasons")

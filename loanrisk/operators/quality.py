@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loanrisk.policy import DOMAINS, RANGES
+from loanrisk.sources.schemas import required_columns
 
 
 @dataclass(frozen=True)
@@ -56,6 +58,63 @@ def violations(df: DataFrame, table: str, key: str, rules: list[Rule]) -> DataFr
     )
 
 
+@dataclass(frozen=True)
+class Contract:
+    """What the rows of a table must keep: rules on a row, a key, and parents that must exist."""
+
+    rules: tuple[Rule, ...] = ()
+    key: str | None = None
+    parents: tuple[tuple[DataFrame, str], ...] = ()
+
+
+def contract_rules(schema: StructType) -> tuple[Rule, ...]:
+    """The row rules of a table's schema: required columns, and ranges and domains of the known ones."""
+    names = schema.names
+    return (
+        *not_null_rules(*required_columns(schema)),
+        *range_rules(*(c for c in names if c in RANGES)),
+        *domain_rules(*(c for c in names if c in DOMAINS)),
+    )
+
+
+#: The column in which ``flagged_rows`` says which rules a row breaks.
+FLAGS = "broken__"
+
+
+def flagged_rows(df: DataFrame, contract: Contract) -> tuple[DataFrame, list[str]]:
+    """The rows with an array of whether they break each rule, and the rules' names in its order.
+
+    A key adds a window by it, a parent a join; both share the partitioning that an upsert or a
+    deduplication by the same key has left behind. Of the copies of a key all but one break it.
+    """
+    names, checked = df.columns, df
+    broken = {f"{rule.name}:{rule.column}": rule.broken for rule in contract.rules}
+    if contract.key is not None:
+        copies = Window.partitionBy(contract.key).orderBy(contract.key)
+        checked = checked.withColumn("copy__", F.row_number().over(copies))
+        broken[f"PRIMARY_KEY:{contract.key}"] = F.col("copy__") > 1
+    for number, (parent, column) in enumerate(contract.parents):
+        known = parent.select(column).distinct().withColumn(f"parent__{number}", F.lit(True))
+        checked = checked.join(known, column, "left")
+        orphan = F.col(column).isNotNull() & F.col(f"parent__{number}").isNull()
+        broken[f"FOREIGN_KEY:{column}"] = orphan
+    flags = F.array(*broken.values()) if broken else F.array().cast("array<boolean>")
+    return checked.withColumn(FLAGS, flags).select(*names, FLAGS), list(broken)
+
+
+def observed(df: DataFrame, contract: Contract) -> tuple[DataFrame, Observation]:
+    """The same rows, and what a write of them will have counted: ``rows`` and every broken rule.
+
+    Nothing is scanned for it. The count belongs to the last stage, whose tasks count once whatever
+    has to be run again; so nothing may be shuffled between this and the write.
+    """
+    flagged, names = flagged_rows(df, contract)
+    observation = Observation()
+    counted = (F.count_if(F.get(FLAGS, F.lit(k))).alias(name) for k, name in enumerate(names))
+    watched = flagged.observe(observation, F.count(F.lit(1)).alias("rows"), *counted)
+    return watched.drop(FLAGS), observation
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

@@ -76,11 +76,13 @@ def high_risk_accounts(
 ) -> DataFrame:
     """The riskiest accounts of the two worst tiers, riskiest first.
 
-    The ten rows are taken first and only these meet the accounts. A metrics row without an
-    account, which the foreign-key check reports, therefore leaves the list one row short.
+    A metrics row without an account, which the foreign-key check reports, takes no place in the
+    list: only the keys of accounts are read for that, and the rows of accounts meet the
+    ``top`` rows alone.
     """
     worst = (
         high_risk(snapshot(metrics, calculation_date))
+        .join(accounts.select(KEY), KEY, "left_semi")
         .orderBy(F.desc("risk_score_normalized"), KEY)
         .limit(top)
     )

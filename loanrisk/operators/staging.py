@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DateType, StringType, StructField, StructType
 
 from loanrisk.functions.text import canonical
 from loanrisk.operators.quality import Rule, domain_rules, not_null_rules, range_rules
 from loanrisk.policy import DOMAINS
-from loanrisk.sources.schemas import CREDIT_SCORES, MORTGAGE_ACCOUNTS, required_columns
+from loanrisk.sources.schemas import CREDIT_SCORES, MORTGAGE_ACCOUNTS, required_columns, staged
 
 
 ARRIVAL = "ingest_seq"
@@ -131,6 +133,36 @@ class Loaded:
     rejected_scores: DataFrame
 
 
+#: When a row that is still rejected was rejected first.
+REJECTED_ON = "rejected_on"
+
+
+def rejected(schema: StructType) -> StructType:
+    """The form in which rejects of a contract are kept: the staged row, its reasons, the first date."""
+    return StructType([
+        *staged(schema).fields,
+        StructField("reasons", ArrayType(StringType()), True, {"comment": "Rules that the row breaks"}),
+        StructField(REJECTED_ON, DateType(), True, {"comment": "Date of the run that rejected it first"}),
+    ])
+
+
+def with_rejects(raw: DataFrame, kept: DataFrame) -> DataFrame:
+    """A raw batch together with rows that earlier ones had rejected, to be judged again.
+
+    A row of the batch that arrived later than the rejected one of its key takes its place; the
+    same row handed in again stays rejected since the first time.
+    """
+    fresh = raw.withColumn(REJECTED_ON, F.lit(None).cast("date"))
+    if ARRIVAL in raw.columns:
+        return fresh.unionByName(kept.select(*fresh.columns))
+    return fresh.unionByName(kept.drop("reasons", ARRIVAL).select(*fresh.columns))
+
+
+def since(rejects: DataFrame, as_of: date) -> DataFrame:
+    """Rejects with the date of their first rejection, which is ``as_of`` for new ones."""
+    return rejects.withColumn(REJECTED_ON, F.coalesce(REJECTED_ON, F.lit(as_of)))
+
+
 def stage_accounts(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Valid accounts and rejects of a raw batch, one row per account."""
     clean = deduplicate(normalize(raw), "account_id")
@@ -155,7 +187,9 @@ def load(
     stored without its account.
     """
     valid_accounts, rejected_accounts = stage_accounts(raw_accounts)
-    accounts = upsert(accounts, valid_accounts, "account_id")
-    new, rejected = stage_scores(raw_scores, scores, accounts)
+    # An upsert removes no key: the foreign key needs the keys of both sides, not their rows.
+    keys = accounts.select("account_id").unionByName(valid_accounts.select("account_id"))
+    new, rejected_scores = stage_scores(raw_scores, scores, keys)
     new = new.select(*scores.columns)
-    return Loaded(accounts, scores.unionByName(new), new, rejected_accounts, rejected)
+    accounts = upsert(accounts, valid_accounts, "account_id")
+    return Loaded(accounts, scores.unionByName(new), new, rejected_accounts, rejected_scores)

@@ -284,6 +284,11 @@ SELECT '{table}' AS table_name, {key} AS row_key, account_id AS missing_parent
 FROM {source} c WHERE NOT EXISTS (SELECT 1 FROM accounts a WHERE a.account_id = c.account_id)"""
 
 
+_DATED_ORDERS = f"""
+SELECT o_orderkey AS order_id, 'MTG' || {_padded("o_custkey", 8)} AS account_id,
+       CAST(CAST(o_orderdate AS DATE) + INTERVAL 269 MONTH AS DATE) AS order_date
+FROM orders"""
+
 _UNION = "\nUNION ALL\n"
 _CODED_ROWS = f"({_METRICS.format(source='coded').strip()})"
 _CONTRACT_ROWS = f"({_METRICS.format(source='contract').strip()})"
@@ -480,6 +485,34 @@ FROM coded_raw WHERE score_unknown HAVING count(*) > 0"""]
                         "risk_category NOT IN ('Very Low Risk','Low Risk','Medium Risk',"
                         "'High Risk','Very High Risk')"),
         ]),
+        "risk_metrics_carried": _METRICS.format(source="contract"),
+        "orders_as_of_scores": f"""
+SELECT order_id, o.account_id, CAST(order_date AS VARCHAR) AS order_date, score_id,
+       CAST(score_date AS VARCHAR) AS score_date, credit_score
+FROM ({_DATED_ORDERS}) o LEFT JOIN scores s ON s.account_id = o.account_id AND score_date <= order_date
+QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY score_date DESC, score_id DESC) = 1""",
+        "retried_scores": f"""
+SELECT {_SCORE_COLUMNS} FROM scores_judged
+WHERE reasons = '' AND account_id IN (SELECT account_id FROM accounts_valid WHERE k % 2 = 1)""",
+        "open_rejects": """
+SELECT score_id, account_id, reasons, '2023-06-01' AS rejected_on
+FROM (SELECT score_id, account_id,
+             CASE WHEN account_id IN (SELECT account_id FROM accounts)
+                   AND account_id NOT IN (SELECT account_id FROM accounts_valid)
+                  THEN concat_ws('|', nullif(reasons, ''), 'FOREIGN_KEY:account_id')
+                  ELSE reasons END AS reasons
+      FROM scores_judged)
+WHERE reasons <> ''""",
+        "high_risk_top10_with_orphans": """
+SELECT account_id, customer_id, property_province,
+       format('${:,.2f}', CAST(loan_amount AS DOUBLE)) AS loan_amount,
+       credit_score AS latest_credit_score,
+       CAST(CAST(round(current_ltv, 1) AS DECIMAL(6,1)) AS VARCHAR) || '%' AS current_ltv,
+       CAST(round(risk_score, 1) AS DOUBLE) AS risk_score, risk_category, risk_flags,
+       recommended_action
+FROM coded x
+WHERE risk_category IN ('High Risk', 'Very High Risk') AND CAST(substr(account_id, 4) AS BIGINT) % 3 <> 0
+ORDER BY x.risk_score DESC, account_id LIMIT 10""",
         "upsert_accounts": f"""
 SELECT {_ACCOUNT_COLUMNS} FROM accounts_valid
 UNION ALL
@@ -511,6 +544,13 @@ def oracle_sql() -> dict[str, str]:
     dated = {
         "risk_history": _METRICS.format(source="contract"),
         "risk_point_in_time": _METRICS.format(source="coded"),
+        "orders_as_of_metrics": f"""
+SELECT order_id, o.account_id, CAST(order_date AS VARCHAR) AS order_date,
+       CASE WHEN c.account_id IS NOT NULL
+            THEN 'RISK' || strftime(c.as_of, '%Y%m%d') || c.account_id END AS metric_id,
+       risk_category, CAST(risk_score AS DOUBLE) AS risk_score_normalized
+FROM ({_DATED_ORDERS}) o LEFT JOIN contract c ON c.account_id = o.account_id AND c.as_of <= order_date
+QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY c.as_of DESC) = 1""",
     }
     sql = {name: f"{_BASE}\n{body.strip()}" for name, body in _bodies().items()}
     sql.update({name: f"{_DATED}\n{body.strip()}" for name, body in dated.items()})

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, DecimalType
 
-from loanrisk.operators import history, metrics, quality, reports, staging
+from loanrisk.operators import carried, history, metrics, quality, reports, staging
+from loanrisk.operators.asof import as_of_join
 from loanrisk.operators.history import KEY, Calendar
 from loanrisk.policy import AS_CODED, CONTRACT, RiskPolicy, flag_policy, tier_policy
 from loanrisk.sources import sample
@@ -23,6 +24,7 @@ from loanrisk.sources.schemas import (
     MORTGAGE_ACCOUNTS,
     RISK_METRICS,
     required_columns,
+    staged,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +34,9 @@ BIWEEKLY = Calendar(start=date(2023, 1, 2), count=27)
 # What is loaded already when the staged batch arrives.
 ACCOUNTS_LOADED_UNTIL = date(2023, 1, 1)
 SCORES_LOADED_UNTIL = date(2023, 7, 1)
+# Dates that a state is carried over, and the date of the first of two loads.
+CARRIED_DATES = (date(2022, 9, 1), date(2023, 5, 1), AS_OF)
+FIRST_LOAD = date(2023, 6, 1)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -207,6 +212,77 @@ def _orphans_of_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.foreign_key_violations(new, "credit_scores", "score_id", accounts, KEY)
 
 
+def _number(account: str = KEY):
+    """The number in an account's key."""
+    return F.substring(account, 4, 20).cast("bigint")
+
+
+def _carried_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics at the date, from a state carried over earlier dates.
+
+    Observations arrive in loads that have nothing to do with their dates, so every date gets some that
+    are late and hands some on.
+    """
+    scores = sample.credit_scores(spark, sf_dir)
+    load = F.pmod(F.xxhash64("score_id"), F.lit(len(CARRIED_DATES)))
+    state = waiting = None
+    for number, day in enumerate(CARRIED_DATES):
+        arrived = scores.filter(load == number)
+        if waiting is not None:
+            arrived = arrived.unionByName(waiting)
+        state = carried.advance(state, arrived, day, CONTRACT)
+        waiting = carried.pending(arrived, day)
+    accounts = sample.mortgage_accounts(spark, sf_dir)
+    return carried.metrics_from_state(accounts, state, CARRIED_DATES[-1], CONTRACT)
+
+
+def _orders_as_of_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_of_join(
+        sample.dated_orders(spark, sf_dir), sample.credit_scores(spark, sf_dir), KEY,
+        "order_date", "order_id", "score_date", "score_id", ["score_id", "score_date", "credit_score"],
+    )
+
+
+def _orders_as_of_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_of_join(
+        sample.dated_orders(spark, sf_dir), _history(spark, sf_dir, CONTRACT), KEY,
+        "order_date", "order_id", "calculation_date", "metric_id",
+        ["metric_id", "risk_category", "risk_score_normalized"],
+    )
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[staging.Loaded, staging.Loaded]:
+    """All observations come with every other account, the remaining accounts with a second batch."""
+    raw_accounts = sample.mortgage_accounts_raw(spark, sf_dir)
+    raw_scores = sample.credit_scores_raw(spark, sf_dir)
+    nothing = spark.createDataFrame([], staging.rejected(CREDIT_SCORES))
+    even = _number() % 2 == 0
+    first = staging.load(
+        spark.createDataFrame([], staged(MORTGAGE_ACCOUNTS)), spark.createDataFrame([], CREDIT_SCORES),
+        raw_accounts.filter(even), staging.with_rejects(raw_scores, nothing),
+    )
+    kept = staging.since(first.rejected_scores, FIRST_LOAD)
+    second = staging.load(
+        first.accounts, first.scores, raw_accounts.filter(~even),
+        staging.with_rejects(raw_scores.limit(0), kept),
+    )
+    return first, second
+
+
+def _retried_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_loads(spark, sf_dir)[1].new_scores
+
+
+def _open_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejects = staging.since(_two_loads(spark, sf_dir)[1].rejected_scores, AS_OF)
+    return rejects.select("score_id", KEY, "reasons", staging.REJECTED_ON)
+
+
+def _top10_with_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    owners = sample.mortgage_accounts(spark, sf_dir).filter(_number() % 3 != 0)
+    return reports.high_risk_accounts(_metrics(spark, sf_dir, AS_CODED), owners, AS_OF)
+
+
 def _rejected_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Unfiltered staging data: undefined ratios and missing utilization reach the rules.
     accounts = staging.deduplicate(sample.mortgage_accounts_raw(spark, sf_dir), KEY)
@@ -347,6 +423,12 @@ _QUERIES: dict[str, Query] = {
     "load_new_scores": _loaded_scores,
     "load_orphans": _orphans_of_load,
     "append_orphans": _orphans_of_append,
+    "risk_metrics_carried": _carried_metrics,
+    "orders_as_of_scores": _orders_as_of_scores,
+    "orders_as_of_metrics": _orders_as_of_metrics,
+    "retried_scores": _retried_scores,
+    "open_rejects": _open_rejects,
+    "high_risk_top10_with_orphans": _top10_with_orphans,
     "risk_history": lambda s, d: _history(s, d, CONTRACT),
     "risk_point_in_time": lambda s, d: _history(s, d, AS_CODED),
 }

@@ -19,6 +19,8 @@ ANCHOR = date(2024, 1, 1)
 
 _CUSTOMER = "c_custkey bigint, c_nationkey int, c_mktsegment string"
 _ORDERS = "o_orderkey bigint, o_custkey bigint"
+# Moves the years of the orders' own dates to those of the observations.
+_MONTHS_LATER = 269
 
 
 def _key(prefix: str, number: str, width: int) -> str:
@@ -96,6 +98,16 @@ def credit_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orders(spark, sf_dir).selectExpr(*_typed(_SCORE, CREDIT_SCORES))
 
 
+def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders as events of their account, on their own dates moved by a fixed number of months."""
+    orders = spark.read.schema(f"{_ORDERS}, o_orderdate timestamp").parquet(f"{sf_dir}/orders.parquet")
+    return orders.selectExpr(
+        "o_orderkey AS order_id",
+        f"{_SCORE['account_id']} AS account_id",
+        f"add_months(CAST(o_orderdate AS DATE), {_MONTHS_LATER}) AS order_date",
+    )
+
+
 def credit_scores_misfiled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All observations, those of every 131st account filed under the account after it."""
     filed = "o_custkey + CASE WHEN o_custkey % 131 = 0 THEN 1 ELSE 0 END"

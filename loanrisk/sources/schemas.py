@@ -69,6 +69,13 @@ HIGH_RISK_ALERTS = StructType([
     _column("risk_flags", ArrayType(StringType()), "Names of the warnings raised", True),
 ])
 
+REJECTED_METRICS = StructType([
+    _column("account_id", StringType(), "Account without metrics"),
+    _column("score_id", StringType(), "Its newest observation"),
+    _column("reasons", ArrayType(StringType()), "Why its metrics cannot be stored"),
+    _column("calculation_date", DateType(), "Day the row describes"),
+])
+
 TABLES = {
     "mortgage_accounts": (MORTGAGE_ACCOUNTS, "Accounts, one row each"),
     "credit_scores": (CREDIT_SCORES, "Observations of credit standing, by date"),
