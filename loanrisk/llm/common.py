@@ -104,7 +104,7 @@ def stored(df: DataFrame) -> DataFrame:
     and of later reads only the columns they ask for."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stored-{uuid.uuid4()}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -15,11 +15,11 @@ their range of sizes and their largest excess (shingles beyond bits). Two trees,
 descended together, and a pair of nodes is dropped as soon as no pair of sets below can link: sizes too
 far apart, common bits plus excess too few for the overlap that is needed, or all of it linked already.
 
-Linked already: sets next to each other by least shingle and size are compared first, one pass that joins
+Linked already: classes next to each other by least shingle and size propose each other first, which joins
 most of a crowd of near copies. Components of the links so far are then given to the groups, and those
 of one component are not read at all. Each class proposes its few best partners outside of its component,
 and proposals are verified; as long as any class has more, the round is repeated with larger numbers on what
-is not yet linked. So the work is about linear in the members of groups, and nothing is left out: the
+is not yet linked. Sets travel only to verify a proposal, and are made anew from the texts for it. So the work is about linear in the members of groups, and nothing is left out: the
 last round is one that had no more to propose. A group over BLOCK classes is cut into blocks, and every
 pair of blocks meets in a task of its own.
 
@@ -44,14 +44,15 @@ from loanrisk.llm.common import arrow_pass, map_texts, numbered, slices, stored,
 from loanrisk.llm.simhash import EDGE, components
 
 SHINGLE_WORDS, PERCENT = 4, 85
-#: Counters of the table that orders shingles, 2**18: two megabytes, whatever the corpus.
+#: Counters of the table that orders shingles, and words of that which tells shared ones: 2**18, two
+#: megabytes, whatever the corpus.
 SKETCH_BITS = 18
 BITMAP_WORDS = 16  # of 64 bits
 FANOUT = 8
 #: Classes of a group that one task may hold; pairs of nodes that are looked at together.
 BLOCK, PAIRS_AT_ONCE = 2048, 8192
 #: Partners that a class proposes in the first round, and how that number grows.
-NEAREST, MORE = 4, 8
+NEAREST, MORE = 8, 16
 #: Rows of a table that may be broadcast, at 40 bytes each.
 BROADCAST_ROWS = 500_000
 _MULTIPLIER, _FINISH = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -112,20 +113,21 @@ def _frequencies(docs: DataFrame, words_per_shingle: int) -> np.ndarray:
 
 
 def _prints(rows: DataFrame, row: str, words_per_shingle: int, percent: int) -> DataFrame:
-    """row, doc_id, n, a 128-bit digest of the set, its least shingle and its rarest ones: stored.
+    """row, doc_id, n, a 128-bit digest of the set, its least shingle, its bitmap and its rarest ones: stored.
 
-    Of equal sets of a slice only the first brings its rarest shingles.
+    Of equal sets of a slice only the first brings its bitmap and rarest shingles.
     """
     table = rows.sparkSession.sparkContext.broadcast(_frequencies(rows, words_per_shingle))
     shift = np.uint64(64 - SKETCH_BITS)
     fields = [
         T.StructField("n", T.LongType()), T.StructField("hi", T.LongType()), T.StructField("lo", T.LongType()),
-        T.StructField("least", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType())),
+        T.StructField("least", T.LongType()), T.StructField("excess", T.LongType()),
+        T.StructField("bits", T.BinaryType()), T.StructField("prefix", T.ArrayType(T.LongType())),
     ]
 
     def prints(_: pa.RecordBatch, texts: list[bytes]) -> list[pa.Array]:
         frequencies = table.value
-        seen, sizes, digests, least, prefixes = set(), [], [], [], []
+        seen, sizes, digests, least, excess, maps, prefixes = set(), [], [], [], [], [], []
         for text in texts:
             shingles = shingle_set(text, words_per_shingle)
             digest = blake2b(shingles.tobytes(), digest_size=16).digest()
@@ -133,27 +135,53 @@ def _prints(rows: DataFrame, row: str, words_per_shingle: int, percent: int) ->
             digests.append(digest)
             least.append(int(shingles[:1].view(np.int64).sum()))
             if digest in seen or not len(shingles):
-                prefixes.append(None)
+                for column in (excess, maps, prefixes):
+                    column.append(None)
                 continue
             seen.add(digest)
+            bits = bitmap(shingles)
+            excess.append(len(shingles) - int(np.bitwise_count(bits).sum()))
+            maps.append(bits.tobytes())
             order = np.lexsort((shingles, frequencies[(shingles >> shift).astype(np.int64)]))
             prefixes.append(shingles[order[: prefix_length(len(shingles), percent)]].view(np.int64))
         halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
         return [
             pa.array(sizes, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(least, pa.int64()),
-            pa.array(prefixes, pa.list_(pa.int64())),
+            pa.array(excess, pa.int64()), pa.array(maps, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
         ]
 
     return stored(map_texts(rows, [rows[row].alias("row"), rows["doc_id"]], rows["text"], prints, fields))
 
 
 def _meetings(prints: DataFrame, classes: DataFrame) -> DataFrame:
-    """(token, cls) of the rare shingles that several classes share: stored."""
-    rows = prints.filter("prefix is not null").select("lo", F.explode("prefix").alias("token"))
-    shared = rows.groupBy("token").agg(F.min("lo").alias("least"), F.max("lo").alias("most"))
-    several = shared.filter("least < most").select("token")
+    """(token, cls) of the rare shingles that several classes share: stored.
+
+    Which are shared is counted. Of the others nearly all are then left out where they are read, by a table
+    of bits of fixed size, so that next to nothing of them is shuffled a second time.
+    """
+    rare = prints.filter("prefix is not null").select("lo", "prefix")
+    rows = rare.select("lo", F.explode("prefix").alias("token"))
+    counted = rows.groupBy("token").agg(F.min("lo").alias("least"), F.max("lo").alias("most"))
+    several = stored(counted.filter("least < most").select("token"))
+    word = F.col("token").bitwiseAND(F.lit((1 << SKETCH_BITS) - 1))
+    bit = F.expr(f"shiftleft(1L, cast(shiftright(token, {SKETCH_BITS}) & 63 as int))")
+    table = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+    for place, bits in several.groupBy(word.cast("int")).agg(F.bit_or(bit)).collect():
+        table[place] = bits
+    shared = prints.sparkSession.sparkContext.broadcast(table)
+    schema = T.StructType([T.StructField("lo", T.LongType()), T.StructField("token", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
+        bits = shared.value
+        for batch in batches:
+            token = batch.column(1).flatten().to_numpy()
+            lo = np.repeat(batch.column(0).to_numpy(), np.diff(batch.column(1).offsets.to_numpy()))
+            set_bits = bits[token & ((1 << SKETCH_BITS) - 1)] >> ((token >> SKETCH_BITS) & 63) & 1 == 1
+            yield [pa.array(lo[set_bits]), pa.array(token[set_bits])]
+
     return stored(
-        rows.join(several, "token", "left_semi").join(classes.select("lo", "cls"), "lo")
+        arrow_pass(rare, run, schema)
+        .join(several, "token", "left_semi").join(classes.select("lo", "cls"), "lo")
         .select("token", "cls").distinct()
     )
 
@@ -163,56 +191,40 @@ def _few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
 
 
-def _sets(rows: DataFrame, row: str, meetings: DataFrame, classes: DataFrame, words_per_shingle: int) -> DataFrame:
-    """cls, n, least, the whole set, its bitmap and excess, of every class that meets another: stored."""
-    wanted = stored(
-        meetings.select("cls").distinct().join(classes, "cls").select(F.col("row").alias(row), "cls", "n", "least")
-    )
-    texts = rows.select(row, "text").join(_few(wanted), row)
-    fields = [
-        T.StructField("shingles", T.BinaryType()), T.StructField("bits", T.BinaryType()),
-        T.StructField("excess", T.LongType()),
-    ]
-
-    def whole(_: pa.RecordBatch, texts: list[bytes]) -> list[pa.Array]:
-        sets = [shingle_set(text, words_per_shingle) for text in texts]
-        maps = [bitmap(shingles) for shingles in sets]
-        excess = [len(shingles) - int(np.bitwise_count(bits).sum()) for shingles, bits in zip(sets, maps)]
-        return [
-            pa.array([shingles.tobytes() for shingles in sets], pa.binary()),
-            pa.array([bits.tobytes() for bits in maps], pa.binary()), pa.array(excess, pa.int64()),
-        ]
-
-    return stored(map_texts(texts, ["cls", "n", "least"], texts["text"], whole, fields))
-
-
 def _edges(pairs: list[tuple[int, int]]) -> list[pa.Array]:
     return [pa.array([pair[side] for pair in pairs], pa.int64()) for side in (0, 1)]
 
 
-def _neighbours(sets: DataFrame, percent: int) -> DataFrame:
-    """Links between sets next to each other by least shingle and size.
+def _neighbours(classes: DataFrame, percent: int) -> DataFrame:
+    """Proposals of classes next to each other by least shingle and size; stored.
 
-    Dealt by ranges down to the class, so that no least shingle is too frequent for a task. A link that
+    Dealt by ranges down to the class, so that no least shingle is too frequent for a task. A pair that
     is not found here, as at the end of a range, is found later.
     """
     order = ("least", "n", "cls")
-    dealt = sets.select(*order, "shingles").repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = classes.select(*order, "excess", "bits").repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
-        last = None
+        held = None
         for batch in batches:
-            found = []
-            for least, _, cls, packed in zip(*(column.to_pylist() for column in batch.columns)):
-                shingles = np.frombuffer(packed, dtype=np.uint64)
-                if last is not None and last[0] == least and linked(last[2], shingles, percent):
-                    found.append((last[1], cls))
-                last = least, cls, shingles
-            yield _edges(found)
+            columns = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
+            if held is not None:
+                columns = [np.concatenate(both) for both in zip(held, columns)]
+            held = [column[-1:] for column in columns]
+            least, size, cls, excess, bits = columns
+            level = _Level(least, size, size, excess, _bitmaps(bits), cls, cls)
+            first = np.arange(len(cls) - 1)
+            first = first[least[first] == least[first + 1]]
+            kept, _ = level.may_link(first, first + 1, percent)
+            yield [pa.array(cls[first[kept]]), pa.array(cls[first[kept] + 1])]
 
     return stored(arrow_pass(dealt, run, EDGE))
 
 
+def _bitmaps(packed: np.ndarray) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), dtype=np.uint64).reshape(-1, BITMAP_WORDS)
+
+
 class _Level:
     """Nodes of one height of the trees of all groups, in the order of their children."""
 
@@ -316,8 +328,7 @@ def _propose(percent: int, nearest: int):
         token, pair, size, cls, component, excess, bits = columns
         new = (token[1:] != token[:-1]) | (pair[1:] != pair[:-1])
         group = np.concatenate(([0], np.cumsum(new)))
-        maps = np.frombuffer(b"".join(bits), dtype=np.uint64).reshape(-1, BITMAP_WORDS)
-        left, right, overlap = tree_pairs(group, size, excess, maps, component, percent)
+        left, right, overlap = tree_pairs(group, size, excess, _bitmaps(bits), component, percent)
         likeness = overlap / (size[left] + size[right])
         some, more = nearest_pairs(left, right, likeness, nearest)
         a, b = cls[left[some]], cls[right[some]]
@@ -343,7 +354,7 @@ def _propose(percent: int, nearest: int):
 
 
 def _proposals(
-    meetings: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, nearest: int, block: int
+    meetings: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, nearest: int, block: int
 ) -> DataFrame:
     """(source, target, more): the best partners of classes outside of their components; stored."""
     placed = meetings.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select(
@@ -365,7 +376,7 @@ def _proposals(
             "token", "cls", "component",
             (F.least("own", "other") * F.lit(1 << 31).cast("long") + F.greatest("own", "other")).alias("pair"),
         )
-        .join(sets.select("cls", "n", "excess", "bits"), "cls")
+        .join(classes.select("cls", "n", "excess", "bits"), "cls")
         .select("token", "pair", "n", "cls", "component", "excess", "bits")
         .repartition("token", "pair")
         .sortWithinPartitions("token", "pair", "n", "cls")
@@ -374,13 +385,23 @@ def _proposals(
     return stored(proposed.groupBy("source", "target").agg(F.max("more").alias("more")))
 
 
+def _sets(rows: DataFrame, row: str, wanted: DataFrame, words_per_shingle: int) -> DataFrame:
+    """cls and the whole set of each wanted class (cls, row), from the text of one of its rows: stored."""
+    wanted = stored(wanted.select("cls", F.col("row").alias(row)))
+    texts = rows.select(row, "text").join(_few(wanted), row)
+
+    def whole(_: pa.RecordBatch, texts: list[bytes]) -> list[pa.Array]:
+        return [pa.array([shingle_set(text, words_per_shingle).tobytes() for text in texts], pa.binary())]
+
+    return stored(map_texts(texts, ["cls"], texts["text"], whole, [T.StructField("shingles", T.BinaryType())]))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets link; stored."""
-    whole = sets.select("cls", "shingles")
     both = (
         pairs.select("source", "target")
-        .join(whole.toDF("source", "left"), "source")
-        .join(whole.toDF("target", "right"), "target")
+        .join(sets.toDF("source", "left"), "source")
+        .join(sets.toDF("target", "right"), "target")
         .select("source", "target", "left", "right")
     )
 
@@ -396,21 +417,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def class_links(
-    meetings: DataFrame, sets: DataFrame, percent: int = PERCENT, nearest: int = NEAREST, block: int = BLOCK
+    rows: DataFrame, row: str, prints: DataFrame, classes: DataFrame, words_per_shingle: int = SHINGLE_WORDS,
+    percent: int = PERCENT, nearest: int = NEAREST, block: int = BLOCK,
 ) -> DataFrame:
     """(node, root) of all classes that link with another; root is the least class of the component."""
-    links = _neighbours(sets, percent)
-    asked = None
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.explode(F.array("source", "target")).alias("cls")).distinct()
+        wanted = classes.select("cls", "row").join(ends, "cls", "left_semi")
+        return _verified(pairs, _sets(rows, row, wanted, words_per_shingle), percent)
+
+    meetings = _meetings(prints, classes)
+    asked = _neighbours(classes, percent)
+    links = verified(asked)
     while True:
         roots = components(links)
-        proposed = _proposals(meetings, roots, sets, percent, nearest, block)
-        new = proposed if asked is None else proposed.join(asked, ["source", "target"], "left_anti")
-        found = _verified(new, sets, percent)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-        if not proposed.filter("more").limit(1).count():
-            return roots if found.isEmpty() else components(links)
-        asked = proposed.drop("more") if asked is None else asked.unionByName(proposed.drop("more")).distinct()
+        proposed = _proposals(meetings, roots, classes, percent, nearest, block)
+        new = proposed.join(asked, ["source", "target"], "left_anti")
+        if not new.isEmpty():
+            links = links.unionByName(verified(new))
+        if proposed.filter("more").isEmpty():
+            return components(links)
+        asked = asked.unionByName(proposed.drop("more")).distinct()
         nearest *= MORE
 
 
@@ -423,14 +451,13 @@ def jaccard_classes(
         prints.filter("n > 0").groupBy("hi", "lo")
         .agg(
             F.min("doc_id").alias("first"), F.min("row").alias("row"), F.any_value("n").alias("n"),
-            F.any_value("least").alias("least"),
+            F.any_value("least").alias("least"), F.any_value("excess", True).alias("excess"),
+            F.any_value("bits", True).alias("bits"),
         )
         # Numbered and stored in one job: the numbers are read, never made again.
         .withColumn("cls", F.monotonically_increasing_id())
     )
-    meetings = _meetings(prints, classes)
-    sets = _sets(docs, row, meetings, classes, words_per_shingle)
-    roots = class_links(meetings, sets, percent, **limits)
+    roots = class_links(docs, row, prints, classes, words_per_shingle, percent, **limits)
     rooted = stored(
         classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
         .select("hi", "lo", "first", F.coalesce("root", "cls").alias("root"))

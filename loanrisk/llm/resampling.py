@@ -52,8 +52,12 @@ STEP = T.StructType([
 ])
 
 
-def _packed(buckets: list[int]) -> bytes:
-    return np.array(buckets, dtype="<u4").tobytes()
+def _width(buckets: int) -> str:
+    return "<u2" if buckets <= 1 << 16 else "<u4"
+
+
+def _packed(found: list[int], buckets: int) -> bytes:
+    return np.array(found, dtype=_width(buckets)).tobytes()
 
 
 def line_buckets(line: bytes, buckets: int = BUCKETS) -> list[int]:
@@ -85,7 +89,7 @@ def segments(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
                         of_line = held.setdefault(b" ".join(found), {})
                         of_line[row] = of_line.get(row, 0) + 1
                     n_words.append(words)
-                    crossing.append(_packed(pairs))
+                    crossing.append(_packed(pairs, buckets))
                 docs, lines = part.num_rows, len(held)
                 yield [
                     pa.concat_arrays([part.column(0), pa.nulls(lines, pa.int64())]),
@@ -117,17 +121,17 @@ def distinct_lines(parts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
             for part, lines in slices(batch, 1):
-                hashed = [_packed(line_buckets(line, buckets)) for line in lines]
+                hashed = [_packed(line_buckets(line, buckets), buckets) for line in lines]
                 yield [part.column(0), part.column(2), pa.array(hashed, pa.binary())]
 
     return stored(arrow_pass(counted, run, schema))
 
 
-def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _features(column: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """All buckets of a column of packed ones, and how many each row has."""
     sizes = np.diff(np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1])
-    packed = column.to_pylist()
-    return np.frombuffer(b"".join(packed), dtype="<u4"), sizes // 4
+    kind = np.dtype(_width(buckets))
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind), sizes // kind.itemsize
 
 
 def _histogram(weighted: DataFrame, buckets: int) -> np.ndarray:
@@ -137,7 +141,7 @@ def _histogram(weighted: DataFrame, buckets: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         counts = np.zeros(buckets, dtype=np.int64)
         for batch in batches:
-            found, sizes = _features(batch.column(1))
+            found, sizes = _features(batch.column(1), buckets)
             np.add.at(counts, found, np.repeat(batch.column(0).to_numpy(), sizes))
         some = np.flatnonzero(counts)
         yield [pa.array(some, pa.int32()), pa.array(counts[some])]
@@ -173,7 +177,7 @@ def _gained(rows: DataFrame, packed: str, keep: list[str], gain: np.ndarray) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
-            found, sizes = _features(batch.column(last))
+            found, sizes = _features(batch.column(last), len(shared.value))
             sums = np.concatenate(([0], np.cumsum(shared.value[found])))
             ends = np.concatenate(([0], np.cumsum(sizes)))
             yield [*batch.columns[:last], pa.array(sums[ends[1:]] - sums[ends[:-1]])]
