@@ -5,8 +5,9 @@ start, so copies cost one row. Two classes link when their intersection is at le
 union, which is always decided on the whole sets, in integers.
 
 Where a pair may meet: a set of n shingles that links shares at least PERCENT of n with its partner, so
-the first (100 - PERCENT) % of n + 1 of its shingles, in any order common to all sets, hold a shingle of the
-partner's first ones. The order is by a fixed-size table of how often shingles occur, rare ones first, so
+the first (100 - PERCENT) % of n + k of its shingles, in any order common to all sets, hold k of the
+partner's first ones. k is 1 + n / COMMON_EVERY (for a pair the lesser of both), and pairs that meet in fewer
+groups than that are no candidates. The order is by a fixed-size table of how often shingles occur, rare ones first, so
 that passages which many documents share come last and hardly ever bring unrelated sets together. Classes
 that share such a shingle form a group; a shingle of one class alone is gone after one counting.
 
@@ -18,8 +19,8 @@ far apart, common bits plus excess too few for the overlap that is needed, or al
 Linked already: classes next to each other by least shingle and size propose each other first, which joins
 most of a crowd of near copies. Components of the links so far are then given to the groups, and those
 of one component are not read at all. Each class proposes its few best partners outside of its component,
-and proposals are verified; as long as any class has more, the round is repeated with larger numbers on what
-is not yet linked. Sets travel only to verify a proposal, and are made anew from the texts for it. So the work is about linear in the members of groups, and nothing is left out: the
+and proposals are verified; groups in which a class has more of them are taken up again with larger numbers,
+on what is not yet linked. Sets travel only to verify a proposal, and are made anew from the texts for it. So the work is about linear in the members of groups, and nothing is left out: the
 last round is one that had no more to propose. A group over BLOCK classes is cut into blocks, and every
 pair of blocks meets in a task of its own.
 
@@ -48,11 +49,13 @@ SHINGLE_WORDS, PERCENT = 4, 85
 #: megabytes, whatever the corpus.
 SKETCH_BITS = 18
 BITMAP_WORDS = 16  # of 64 bits
+#: One more shingle that must be shared for so many of a set.
+COMMON_EVERY = 25
 FANOUT = 8
 #: Classes of a group that one task may hold; pairs of nodes that are looked at together.
 BLOCK, PAIRS_AT_ONCE = 2048, 8192
 #: Partners that a class proposes in the first round, and how that number grows.
-NEAREST, MORE = 8, 16
+NEAREST, MORE = 64, 16
 #: Rows of a table that may be broadcast, at 40 bytes each.
 BROADCAST_ROWS = 500_000
 _MULTIPLIER, _FINISH = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -75,9 +78,14 @@ def shingle_set(text: bytes, words_per_shingle: int = SHINGLE_WORDS) -> np.ndarr
     return np.unique(mixed)
 
 
+def wanted_in_common(n: int) -> int:
+    """How many of its rarest shingles a set of n must share with a partner's."""
+    return 1 + n // COMMON_EVERY
+
+
 def prefix_length(n: int, percent: int = PERCENT) -> int:
-    """How many of n shingles must be looked at for none of the partners to be missed."""
-    return n - -(-percent * n // 100) + 1
+    """How many of n shingles must be looked at: a partner has all but (100 - percent) % of them."""
+    return min(n, n - -(-percent * n // 100) + wanted_in_common(n))
 
 
 def linked(left: np.ndarray, right: np.ndarray, percent: int = PERCENT) -> bool:
@@ -318,7 +326,10 @@ def nearest_pairs(
     return np.unique(pair[rank < nearest]), np.unique(pair[rank >= nearest])
 
 
-PROPOSED = T.StructType([*EDGE.fields, T.StructField("more", T.BooleanType())])
+#: Proposals, and one row with nothing but the token for each group that has more of them.
+PROPOSED = T.StructType([
+    *EDGE.fields, T.StructField("wanted", T.LongType()), T.StructField("more", T.LongType())
+])
 
 
 def _propose(percent: int, nearest: int):
@@ -332,8 +343,12 @@ def _propose(percent: int, nearest: int):
         likeness = overlap / (size[left] + size[right])
         some, more = nearest_pairs(left, right, likeness, nearest)
         a, b = cls[left[some]], cls[right[some]]
+        wanted = wanted_in_common(np.minimum(size[left[some]], size[right[some]]))
+        cut = np.unique(token[left[more]])
+        nothing = pa.nulls(len(cut), pa.int64())
         return [
-            pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.full(len(some), bool(len(more)))),
+            *(pa.concat_arrays([pa.array(found), nothing]) for found in (np.minimum(a, b), np.maximum(a, b), wanted)),
+            pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(cut)]),
         ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
@@ -356,7 +371,8 @@ def _propose(percent: int, nearest: int):
 def _proposals(
     meetings: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, nearest: int, block: int
 ) -> DataFrame:
-    """(source, target, more): the best partners of classes outside of their components; stored."""
+    """Rows of PROPOSED: the best partners of classes outside of their components, once for every group in
+    which they meet; stored."""
     placed = meetings.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select(
         "token", "cls", F.coalesce("root", "cls").alias("component")
     )
@@ -381,8 +397,7 @@ def _proposals(
         .repartition("token", "pair")
         .sortWithinPartitions("token", "pair", "n", "cls")
     )
-    proposed = arrow_pass(meeting, _propose(percent, nearest), PROPOSED)
-    return stored(proposed.groupBy("source", "target").agg(F.max("more").alias("more")))
+    return stored(arrow_pass(meeting, _propose(percent, nearest), PROPOSED))
 
 
 def _sets(rows: DataFrame, row: str, wanted: DataFrame, words_per_shingle: int) -> DataFrame:
@@ -430,15 +445,26 @@ def class_links(
     meetings = _meetings(prints, classes)
     asked = _neighbours(classes, percent)
     links = verified(asked)
+    roots, complete = components(links), True
     while True:
-        roots = components(links)
         proposed = _proposals(meetings, roots, classes, percent, nearest, block)
-        new = proposed.join(asked, ["source", "target"], "left_anti")
+        pairs = proposed.filter("source is not null").groupBy("source", "target").agg(
+            F.count(F.lit(1)).alias("groups"), F.max("wanted").alias("wanted")
+        )
+        if complete:
+            # All groups are looked at: too few in common says that a pair does not link, or that it is left
+            # out of a group that has more and comes back with it.
+            pairs = pairs.filter("groups >= wanted")
+        new = stored(pairs.select("source", "target").join(asked, ["source", "target"], "left_anti"))
         if not new.isEmpty():
             links = links.unionByName(verified(new))
-        if proposed.filter("more").isEmpty():
-            return components(links)
-        asked = asked.unionByName(proposed.drop("more")).distinct()
+            roots = components(links)
+        cut = proposed.filter("more is not null").select(F.col("more").alias("token")).distinct()
+        if cut.isEmpty():
+            return roots
+        # What all groups but these had to propose has been verified.
+        meetings, complete = stored(meetings.join(cut, "token", "left_semi")), False
+        asked = asked.unionByName(new)
         nearest *= MORE
 
 
