@@ -200,7 +200,7 @@ def test_tiers_are_those_of_the_metrics(spark, sf_dir):
     )
 
 
-def test_an_orphan_shortens_the_top_list(make_accounts, make_scores):
+def test_an_orphan_takes_no_place_in_the_top_list(make_accounts, make_scores):
     accounts = make_accounts(("A", "50.00", "100.00"), ("B", "50.00", "100.00"), ("C", "50.00", "100.00"))
     scores = make_scores(*(
         {"account_id": name, "credit_score": score} for name, score in (("A", 500), ("B", 510), ("C", 520))
@@ -208,8 +208,8 @@ def test_an_orphan_shortens_the_top_list(make_accounts, make_scores):
     built = metrics.build_risk_metrics(accounts, scores, AS_OF, CONTRACT)
     top = reports.high_risk_accounts(built, accounts, AS_OF, top=2)
     assert [r["account_id"] for r in top.collect()] == ["A", "B"]
-    short = reports.high_risk_accounts(built, accounts.filter("account_id <> 'A'"), AS_OF, top=2)
-    assert [r["account_id"] for r in short.collect()] == ["B"]
+    owned = reports.high_risk_accounts(built, accounts.filter("account_id <> 'A'"), AS_OF, top=2)
+    assert [r["account_id"] for r in owned.collect()] == ["B", "C"]
 
 
 def test_accounts_without_scores(make_accounts, make_scores):
