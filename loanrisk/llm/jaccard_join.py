@@ -55,7 +55,7 @@ FANOUT = 8
 #: Classes of a group that one task may hold; pairs of nodes that are looked at together.
 BLOCK, PAIRS_AT_ONCE = 2048, 8192
 #: Partners that a class proposes in the first round, and how that number grows.
-NEAREST, MORE = 64, 16
+NEAREST, MORE = 8, 64
 #: Rows of a table that may be broadcast, at 40 bytes each.
 BROADCAST_ROWS = 500_000
 _MULTIPLIER, _FINISH = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -412,7 +412,9 @@ def _sets(rows: DataFrame, row: str, wanted: DataFrame, words_per_shingle: int)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets link; stored."""
+    """Linking pairs that join what all pairs join whose whole sets link; stored.
+
+    A task verifies no pair that the links it has found connect already."""
     both = (
         pairs.select("source", "target")
         .join(sets.toDF("source", "left"), "source")
@@ -421,12 +423,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
+        above: dict[int, int] = {}
+
+        def top(node: int) -> int:
+            while (over := above.get(node, node)) != node:
+                above[node] = node = above.get(over, over)
+            return node
+
         for batch in batches:
-            yield _edges([
-                (source, target)
-                for source, target, left, right in zip(*(column.to_pylist() for column in batch.columns))
-                if linked(np.frombuffer(left, dtype=np.uint64), np.frombuffer(right, dtype=np.uint64), percent)
-            ])
+            found = []
+            for source, target, left, right in zip(*(column.to_pylist() for column in batch.columns)):
+                a, b = top(source), top(target)
+                if a == b:
+                    continue
+                if linked(np.frombuffer(left, dtype=np.uint64), np.frombuffer(right, dtype=np.uint64), percent):
+                    above[max(a, b)] = min(a, b)
+                    found.append((source, target))
+            yield _edges(found)
 
     return stored(arrow_pass(both, run, EDGE))
 
