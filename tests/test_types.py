@@ -38,6 +38,21 @@ TYPES = {
         "latest_credit_score int, current_ltv string, risk_score decimal(6,1), risk_category string, "
         "risk_flags array<string>, recommended_action string"
     ),
+    "high_risk_top10_with_orphans": (
+        "account_id string, customer_id string, property_province string, loan_amount string, "
+        "latest_credit_score int, current_ltv string, risk_score decimal(6,1), risk_category string, "
+        "risk_flags array<string>, recommended_action string"
+    ),
+    "risk_metrics_carried": CONTRACT_METRICS,
+    "orders_as_of_scores": (
+        "order_id bigint, account_id string, order_date date, score_id string, score_date date, credit_score int"
+    ),
+    "orders_as_of_metrics": (
+        "order_id bigint, account_id string, order_date date, metric_id string, risk_category string, "
+        "risk_score_normalized decimal(5,2)"
+    ),
+    "retried_scores": ddl(CREDIT_SCORES),
+    "open_rejects": "score_id string, account_id string, reasons array<string>, rejected_on date",
     "credit_score_trends_top5": (
         "account_id string, score_id string, score_date date, credit_score int, score_source string, "
         "derogatory_marks int, credit_utilization string"
