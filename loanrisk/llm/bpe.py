@@ -47,8 +47,10 @@ LATIN = re.compile("[!-~À-ÖØ-öø-įı-ſ]*")
 # A capital before a letter or mark that may join it: the file composes first and lowers the case then,
 # and some small letters have a composed form where the capital has none. Marks begin with \xcc at least.
 MAY_JOIN = re.compile(rb"[A-Z][\xc6-\xff]")
-# The split pattern of the vocabulary file for these, in lower case.
-LATIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-zß-öø-ſ0-9]+")
+# The split pattern of the vocabulary file for these, in lower case; a line end closes a chunk.
+LATIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|\n|[^a-zß-öø-ſ0-9\n]+")
+# Stands behind each chunk's ids while many are put together; no id of a vocabulary.
+CLOSED = 0xFFFFFFFF
 
 
 class PairMerger:
@@ -184,27 +186,43 @@ class Encoder:
         return [chunk if MAY_JOIN.search(chunk) else chunk.lower() for chunk in text.split()]
 
     def _encode_chunks(self, chunks: list[bytes]) -> Iterator[bytes]:
-        split = [self._split(chunk) for chunk in chunks]
-        distinct = {p for pieces in split for p in pieces if type(p) is not int}
+        """Ids of each chunk; all are cut in one pass and put together in one."""
+        flat = self._split(chunks)
+        distinct = set(flat)
         missing = distinct.difference(self.pieces)
         if len(self.pieces) > CACHED_PIECES and 2 * len(missing) > len(distinct):
             self.pieces, missing = {}, distinct
         known = self.pieces
-        fresh = dict(self._merge(missing))
+        missing.discard("\n")
+        numbers = {p for p in missing if type(p) is int}
+        fresh = dict(self._merge(missing - numbers))
+        fresh.update((p, p.to_bytes(4, "little")) for p in numbers)
+        fresh["\n"] = CLOSED.to_bytes(4, "little")
         if len(known) <= CACHED_PIECES:
-            known.update((p, ids) for p, ids in fresh.items() if len(p) <= CACHED_LENGTH)
-        for pieces in split:
-            yield b"".join([
-                p.to_bytes(4, "little") if type(p) is int else known.get(p) or fresh[p]
-                for p in pieces
-            ])
-
-    def _split(self, chunk: bytes) -> list[str | bytes | int]:
-        """Pre-tokens of a chunk as text or UTF-8; special tokens as their ids."""
-        text = chunk.decode("utf-8", "replace")
-        if LATIN.fullmatch(text) and "<|" not in text:
-            return LATIN_PIECES.findall(text.lower())
-        return [piece for part in self.special_split.split(text) for piece in self._parts(part)]
+            known.update((p, ids) for p, ids in fresh.items() if type(p) is int or len(p) <= CACHED_LENGTH)
+        ids = b"".join([known.get(p) or fresh[p] for p in flat])
+        stops = (4 * np.flatnonzero(np.frombuffer(ids, dtype="<u4") == CLOSED)).tolist()
+        begin = 0
+        for stop in stops:
+            yield ids[begin:stop]
+            begin = stop + 4
+
+    def _split(self, chunks: list[bytes]) -> list[str | bytes | int]:
+        """Pre-tokens of all chunks as text or UTF-8, special tokens as their ids; "\\n" closes each chunk."""
+        flat: list[str | bytes | int] = []
+        plain: list[str] = []  # chunks in a row that the one pattern cuts
+        for text in (b"\n".join(chunks)).decode("utf-8", "replace").split("\n"):
+            if LATIN.fullmatch(text) and "<|" not in text:
+                plain.append(text)
+                continue
+            if plain:
+                flat += LATIN_PIECES.findall("\n".join([*plain, ""]).lower())
+                plain = []
+            flat += (piece for part in self.special_split.split(text) for piece in self._parts(part))
+            flat.append("\n")
+        if plain:
+            flat += LATIN_PIECES.findall("\n".join([*plain, ""]).lower())
+        return flat
 
     def _parts(self, part: str) -> Iterator[bytes | int]:
         if part in self.special:
@@ -216,27 +234,29 @@ class Encoder:
 
     def _merge(self, pieces: Iterable[str | bytes]) -> Iterator[tuple[str | bytes, bytes]]:
         """Ids of distinct pre-tokens, those of like length side by side."""
-        by_width: dict[int, list[tuple[str | bytes, bytes]]] = {}
-        for piece in pieces:
-            raw = piece.encode() if type(piece) is str else piece
-            by_width.setdefault(1 << (len(raw) - 1).bit_length(), []).append((piece, raw))
-        for width, all_of_width in by_width.items():
+        names = list(pieces)
+        raw = [piece.encode() if type(piece) is str else piece for piece in names]
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        levels = np.ceil(np.log2(lengths)).astype(np.int64)
+        for level in np.unique(levels).tolist():
+            width = 1 << level
+            of_width = np.flatnonzero(levels == level)
             step = max(1, MERGED_AT_ONCE // width)
-            for start in range(0, len(all_of_width), step):
-                names, group = zip(*all_of_width[start : start + step])
-                lengths = np.array([len(piece) for piece in group])
-                symbols = np.full((len(group), width), -1, dtype=np.int64)
-                symbols[np.arange(width) < lengths[:, None]] = self.inner[
-                    np.frombuffer(b"".join(group), dtype=np.uint8)
-                ]
-                ends = np.array([piece[-1] for piece in group])
-                symbols[np.arange(len(group)), lengths - 1] = self.final[ends]
+            for start in range(0, len(of_width), step):
+                some = of_width[start : start + step]
+                places = some.tolist()
+                letters = np.frombuffer(b"".join([raw[place] for place in places]), dtype=np.uint8)
+                held = lengths[some]
+                symbols = np.full((len(some), width), -1, dtype=np.int64)
+                symbols[np.arange(width) < held[:, None]] = self.inner[letters]
+                symbols[np.arange(len(some)), held - 1] = self.final[letters[np.cumsum(held) - 1]]
                 self.merger.merge(symbols)
                 left = symbols >= 0
                 flat = symbols[left].astype("<u4").tobytes()
-                stops = (4 * np.cumsum(left.sum(axis=1))).tolist()
-                for piece, begin, stop in zip(names, [0, *stops], stops):
-                    yield piece, flat[begin:stop]
+                begin = 0
+                for place, stop in zip(places, (4 * np.cumsum(left.sum(axis=1))).tolist()):
+                    yield names[place], flat[begin:stop]
+                    begin = stop
 
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens' strings with single spaces between: the vocabulary file names no decoder."""
