@@ -75,3 +75,19 @@ def test_query_counts_near_the_vocabularys_own_encoding(spark, scale_dir, docume
     by_library = sum(len(own.encode(" ".join((r["text"] or "").split()))) for r in documents.collect())
     counted = sum(r["n_tokens"] for r in queries.op4_token_counts(spark, scale_dir).collect())
     assert counted < 1.02 * by_library
+
+
+def test_trie_of_many_words_agrees_with_each_alone(monkeypatch):
+    scores = {piece: -1.0 - 0.25 * (k % 7) for k, piece in enumerate([*PIECES, "é", "本", "日本", "𝄞a", "▁𝄞"])}
+    letters = "abcé日本𝄞x"
+    words = {
+        "".join(letters[number // 8**k % 8] for k in range(1 + number % 5)).encode() for number in range(3000)
+    } | {b"abc" * 30, b"\xff\xfeab", "日本".encode() * 25}
+    trie = token_counts.UnigramTrie(scores)
+    monkeypatch.setattr(token_counts, "TRIE_NODES", 999)
+    counts = trie.counts(words)
+    for word in words:
+        assert counts[word] == trie.count_alone("▁" + word.decode("utf-8", "replace"))
+    assert token_counts.UnigramTrie(scores).counts(set()) == {}
+    parent, letter, levels, terminal = token_counts.prefix_tree(["a", "ab", "abd", "ac", "b"])
+    assert (len(parent), levels, terminal.tolist()) == (6, [1, 3, 5, 6], [1, 3, 5, 4, 2])
