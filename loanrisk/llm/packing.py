@@ -8,10 +8,11 @@ Sequences of a class get a fixed count of equal pieces, so only capacity - count
 
 Every worker (a partition of the tokenised input) fills the sequences of its classes alone; a piece
 of a (class, worker) goes by its rank there. What is left, fewer than count pieces of each, is pooled
-over groups of workers and filled the same way, then over all. Then fewer than count pieces remain of
-each class: at most the sum of all counts, a constant (about 10,000 for 2,048) whatever the input.
-One task packs these by first fit decreasing. No group of rows thus grows with a key, a length or a
-source; a partition of the input bounds it.
+over POOLED_WORKERS workers and filled the same way, what these groups leave over as many groups, and so
+on until one group is left. Then fewer than count pieces remain of each class: at most the sum of all
+counts, a constant (about 10,000 for 2,048) whatever the input. One task packs these by first fit
+decreasing. No group of rows thus grows with a key, a length, a source or the number of workers: a
+partition of the input bounds it at first, POOLED_WORKERS times count afterwards.
 
 Defined results: a null or empty text is the end token alone; repeated rows are packed each; equal
 lengths rank by id, start and digest (what is still tied is the same row twice, which are
@@ -22,7 +23,7 @@ Columns besides doc_id and text are not read.
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -35,8 +36,10 @@ from loanrisk.llm.bpe import encoder
 from loanrisk.llm.common import checkpointed, map_texts, with_package
 
 CAPACITY, END_ID = 2048, 1
-#: Workers that pool what each has left over, before all do.
+#: Workers that pool what each has left over, and groups of these that do in the next round.
 POOLED_WORKERS = 256
+#: The level of sequences that first fit decreasing packs; rounds of pooling end long before.
+REST_LEVEL = 7
 
 PIECE = T.StructType([
     T.StructField("start", T.LongType()),
@@ -124,7 +127,7 @@ def _filled(pieces: DataFrame, level: int, group: Column, capacity: int) -> Data
 
 
 def _sequence_id(level: int, number: Column) -> Column:
-    """level: 2 bits, class: 12 bits at most, group: 24 bits, number within: 24 bits."""
+    """level: 3 bits, class: 12 bits at most, group: 24 bits, number within: 24 bits."""
     prefix = F.lit(level).cast("long") * 4096 + F.col("length")
     return (prefix * (1 << 24) + F.col("group")) * (1 << 24) + number
 
@@ -152,12 +155,18 @@ def fill_sequences(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     if not 1 < capacity < 4096:
         raise ValueError("capacity must be between 2 and 4095")
     columns = pieces.columns
-    group = F.col("worker").cast("long")
-    alone = checkpointed(_filled(pieces, 0, group, capacity))
-    left = alone.filter("sequence_id is null").select(*columns)
-    some = checkpointed(_filled(left, 1, F.floor(group / POOLED_WORKERS), capacity))
-    left = some.filter("sequence_id is null").select(*columns)
-    every = checkpointed(_filled(left, 2, F.lit(0).cast("long"), capacity))
+    last = pieces.agg(F.max("worker")).first()[0] or 0
+    full, left, pooled, level = [], pieces, 1, 0
+    while True:
+        group = F.floor(F.col("worker").cast("long") / pooled)
+        filled = checkpointed(_filled(left, level, group, capacity))
+        full.append(filled.filter("sequence_id is not null"))
+        left = filled.filter("sequence_id is null").select(*columns)
+        if pooled > last:  # all in one group
+            break
+        pooled, level = pooled * POOLED_WORKERS, level + 1
+    if level >= REST_LEVEL:
+        raise ValueError("too many workers for the bits of a sequence_id")
 
     out = T.StructType([
         *pieces.schema.fields,
@@ -167,13 +176,11 @@ def fill_sequences(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     def pack_rest(rest: pd.DataFrame) -> pd.DataFrame:
         rest = rest.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
         bins, offsets = first_fit_decreasing(rest["length"].to_numpy(), capacity)
-        return rest.assign(sequence_id=bins + (3 << 60), offset=offsets)[out.names]
+        return rest.assign(sequence_id=bins + (REST_LEVEL << 60), offset=offsets)[out.names]
 
-    rest = every.filter("sequence_id is null").select(*columns)
     with_package(pieces.sparkSession)
-    packed = rest.groupBy(F.lit(0).alias("all")).applyInPandas(pack_rest, out)
-    full = [level.filter("sequence_id is not null") for level in (alone, some, every)]
-    return full[0].unionByName(full[1]).unionByName(full[2]).unionByName(packed)
+    packed = left.groupBy(F.lit(0).alias("all")).applyInPandas(pack_rest, out)
+    return reduce(DataFrame.unionByName, [*full, packed])
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
