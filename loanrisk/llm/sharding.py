@@ -1,10 +1,12 @@
 """Sharding by proportional stratified interleaving.
 
-Rows of each source are shuffled by a seeded hash and ranked; the fractional rank (rank - 1/2) / (rows
-of the source) spreads every source evenly over 0 to 1. Sorted by it, any run of rows holds each source
-in proportion, so equal cuts give shards of the corpus's mixture and of sizes at most one apart.
+Rows of each source are shuffled by a seeded hash and ranked; the fractional rank (rank - offset) / (rows
+of the source) spreads every source evenly over 0 to 1. The offset lies between 0 and 1 and follows from
+the seed and the source, so that sources of one size, above all of few rows, do not meet at the same
+fractions. Sorted by it, any run of rows holds each source in proportion, so equal cuts give shards of the
+corpus's mixture and of sizes at most one apart.
 
-No rank is taken in one task. Hashes, and then fractional ranks, are uniform by construction: rows are
+No rank is taken in one task. Hashes, and then fractional ranks, spread over their cells: rows are
 counted by (source, cell of the hash), and by cell of the fractional rank; running sums over the cells'
 counts (bounded by their number) give each cell its first rank, and rows are ranked within cells. A
 source with a third of all rows is thus spread over all its cells.
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 from loanrisk.llm.common import checkpointed
 
 SHARDS, SEED, CELLS = 8, 20240101, 4096
+#: Different offsets of sources within a step of their fractional ranks.
+OFFSETS = 65_536
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, cells: int = CELLS) -> DataFrame:
@@ -44,10 +48,11 @@ def sharded(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, cells: int
         .select(F.col("source").alias("its_source"), F.col("cell").alias("its_cell"), "before", "of_source")
     )
     in_cell = Window.partitionBy("source", "cell").orderBy("shuffle", "doc_id", "size", "text_crc32")
+    offset = (F.pmod(F.xxhash64(F.lit(seed), F.lit("offset"), "source"), F.lit(OFFSETS)) + 0.5) / OFFSETS
     ranked = (
         rows.withColumn("place", F.row_number().over(in_cell))
         .join(counts, F.col("source").eqNullSafe(F.col("its_source")) & (F.col("cell") == F.col("its_cell")))
-        .withColumn("fraction", (F.col("before") + F.col("place") - 0.5) / F.col("of_source"))
+        .withColumn("fraction", (F.col("before") + F.col("place") - offset) / F.col("of_source"))
         .select(
             "doc_id", "source", "size", "text_crc32", "shuffle", "fraction",
             F.floor(F.col("fraction") * cells).alias("slice"),

@@ -146,6 +146,22 @@ def test_what_workers_leave_is_pooled(spark, monkeypatch):
     assert len(used) <= sum(used.values()) / 99 + 8
 
 
+def test_pooling_ends_in_rounds_of_bounded_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "POOLED_WORKERS", 2)
+    seen = []
+    filled = packing._filled
+    monkeypatch.setattr(packing, "_filled", lambda rows, level, group, capacity: seen.append(
+        (level, rows.groupBy("length", group.alias("group")).count().agg({"count": "max"}).first()[0])
+    ) or filled(rows, level, group, capacity))
+    pieces = spark.range(30 * 9).selectExpr(
+        "id as doc_id", "id as start", "10L as length", "0L as ids_crc32", "cast(id div 9 as int) as worker"
+    )
+    rows = packing.fill_sequences(pieces, 100).collect()
+    assert [level for level, _ in seen] == [0, 1, 2, 3, 4, 5]
+    assert all(most <= 2 * 9 for level, most in seen if level)
+    assert len({row["sequence_id"] for row in rows}) == 27 and len({row["start"] for row in rows}) == 270
+
+
 def exact_expected(rows):
     top, size = {}, defaultdict(int)
 
@@ -264,3 +280,11 @@ def test_sharding_depends_on_the_seed_alone(documents):
     first = sorted_rows(sharding.sharded(documents))
     assert first == sorted_rows(sharding.sharded(documents.repartition(5)))
     assert first != sorted_rows(sharding.sharded(documents, seed=3))
+
+
+def test_small_sources_are_spread_over_shards(spark):
+    docs = spark.range(10_000).selectExpr("id as doc_id", "concat('s', id) as source", "'x' as text").union(
+        spark.range(10_000, 30_000).selectExpr("id as doc_id", "'hot' as source", "'x' as text")
+    )
+    held = {row["shard"]: row["count"] for row in sharding.sharded(docs).filter("source <> 'hot'").groupBy("shard").count().collect()}
+    assert len(held) == 8 and all(1000 <= n <= 1500 for n in held.values())
