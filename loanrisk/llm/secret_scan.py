@@ -1,9 +1,10 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
 A candidate is a run of at least MIN_LENGTH key characters with a digit or several changes of case, or
-a value of at least MIN_VALUE printable characters that is assigned to a secret's name or stands for the
+a value of at least MIN_VALUE printable characters, of any length, that is given to a secret's name
+(assigned, an argument of a call, the text of an element, the value of a flag) or stands for the
 password in a URL: quoted text whole, other values up to white space, a quote or an angle bracket,
-without closing punctuation. Where a value of several parts (white space, /, =, ?, &, : between them)
+without closing punctuation. A name is the word before, however long, with a secret's name in it. Where a value of several parts (white space, /, =, ?, &, : between them)
 holds such runs, these are the candidates, else the whole value is. The
 forest sees its length, transitions between kinds of characters, share of characters that dictionary
 words cover, characters that keys do not have, path-like surroundings and neighbouring words, and says how likely it is a secret. It is
@@ -49,22 +50,26 @@ WORDS = re.compile(r"[^\W\d_]+")
 NOT_OF_KEYS = re.compile(r"[^A-Za-z0-9+/_\-=]")
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "glpat-", "sk-", "sk_", "pk_", "xox", "AIza", "eyJ")
 SECRET_NAMES = frozenset(
-    "token secret password passwd pwd key apikey auth authorization bearer credential credentials "
-    "private access clave contraseña schlüssel passwort kennwort jeton motdepasse".split()
-)
-# A secret's name right before a sign of assignment, and what follows from that sign on.
-SIGN, BEFORE_SIGN = re.compile("[:=]"), 64
-NAMED = re.compile(
-    r"(?:%s)\w{0,12}[\"'`\])]{0,2}[ \t]*\Z" % "|".join(sorted(SECRET_NAMES, key=lambda name: (-len(name), name))),
-    re.IGNORECASE,
+    "token secret password passwd passphrase passcode pass pwd key apikey auth authorization bearer credential "
+    "credentials private access clave contraseña schlüssel passwort kennwort jeton motdepasse пароль 密码".split()
 )
+NAMED = re.compile("|".join(sorted(SECRET_NAMES, key=lambda name: (-len(name), name))), re.IGNORECASE)
+CAMEL = re.compile("(?<=[a-z])(?=[A-Z])")
+# Signs after a name, and flags with their blanks; a value follows.
+SIGN = re.compile(r"[:=(>]|(?<!\S)-{1,2}(?P<flag>\w[\w\-]*+)[ \t]++(?!-)")
 ASSIGNED = re.compile(
     r"(?::=|=>|==?|:)[ \t]*(?:(?:bearer|basic|token)[ \t]+)?"
-    r"(?:\"(?P<double>[^\"\r\n]{%d,512})\"|'(?P<single>[^'\r\n]{%d,512})'|`(?P<back>[^`\r\n]{%d,512})`"
+    r"(?:\"(?P<double>[^\"\r\n]{%d,})\"|'(?P<single>[^'\r\n]{%d,})'|`(?P<back>[^`\r\n]{%d,})`"
     r"|(?P<bare>[^\s\"'`<>]{%d,}))" % ((MIN_VALUE,) * 4),
     re.IGNORECASE,
 )
-IN_URL = re.compile(r"://[^\s/:@\"'<>]{0,256}:(?P<bare>[^\s/\"'<>]{%d,256})@" % MIN_VALUE)
+# Right after the sign: quoted arguments, texts of elements, values of flags.
+ARGUMENT = re.compile(
+    r"[ \t]*(?:\"(?P<double>[^\"\r\n]{%d,})\"|'(?P<single>[^'\r\n]{%d,})'|`(?P<back>[^`\r\n]{%d,})`)" % ((MIN_VALUE,) * 3)
+)
+ELEMENT = re.compile(r"(?P<bare>[^\s\"'`<>]{%d,})(?=</)" % MIN_VALUE)
+FLAG_VALUE = re.compile(ARGUMENT.pattern + r"|(?P<bare>[^\s\"'`<>]{%d,})" % MIN_VALUE)
+IN_URL = re.compile(r"://[^\s/:@\"'<>]*:(?P<bare>[^\s/\"'<>]{%d,})@" % MIN_VALUE)
 PARTS = re.compile(r"[\s/=?&:]")
 HARMLESS_NAMES = frozenset(
     "sha md5 commit hash checksum digest uuid guid id revision version build serial etag example sample "
@@ -99,15 +104,42 @@ def _runs(text: str) -> Iterator[tuple[int, int]]:
             yield match.span()
 
 
+def _name_before(text: str, at: int, first: int) -> tuple[int, int]:
+    """Place of the word before ``at``, not before ``first``: a closing quote or two and blanks may follow it."""
+    while at > first and text[at - 1] in " \t":
+        at -= 1
+    for _ in range(2):
+        if at > first and text[at - 1] in "\"'`])":
+            at -= 1
+    start = at
+    while start > first and (text[start - 1].isalnum() or text[start - 1] == "_"):
+        start -= 1
+    return start, at
+
+
+def _value_at(text: str, sign: re.Match, first: int) -> re.Match | None:
+    """The value that a secret's name before this sign, or in this flag, is given."""
+    at, kind = sign.span()[0], sign.group()
+    if sign.lastgroup:
+        return FLAG_VALUE.match(text, sign.end()) if NAMED.search(sign["flag"]) else None
+    start, end = _name_before(text, at, first)
+    if not NAMED.search(text, start, end):
+        return None
+    if kind == "(":
+        return ARGUMENT.match(text, at + 1)
+    if kind == ">":  # also the second half of an arrow, which its first half has seen
+        return ELEMENT.match(text, at + 1) if text[start - 1 : start] == "<" else None
+    return ASSIGNED.match(text, at)
+
+
 def _values(text: str) -> Iterator[tuple[int, int]]:
-    """Values assigned to a secret's name and passwords of URLs, in order, without overlaps."""
+    """Values given to a secret's name and passwords of URLs, in order, without overlaps."""
     spans = [(*match.span("bare"), False) for match in IN_URL.finditer(text)]
     reached = 0
     for sign in SIGN.finditer(text):
-        at = sign.start()
-        if at < reached or not NAMED.search(text[max(reached, at - BEFORE_SIGN) : at]):
+        if sign.start() < reached:
             continue
-        match = ASSIGNED.match(text, at)
+        match = _value_at(text, sign, reached)
         if match:
             start, reached = match.span(match.lastgroup)
             end = reached
@@ -164,7 +196,7 @@ def features(before: str, found: str, after: str) -> list[float]:
         longest, same = max(longest, run), max(same, same_run)
     low = found.lower()
     letters = sum(letter.isalpha() for letter in low) or 1
-    near = WORDS.findall(before.lower()[-32:])[-3:]
+    near = WORDS.findall(CAMEL.sub(" ", before[-32:]).lower())[-3:]
     close = before.rstrip().rstrip("\"'`")
     return [
         math.log2(n), changes / (n - 1), kinds.count(2) / n, kinds.count(1) / n,
@@ -307,6 +339,11 @@ def made_findings(each: int = 40, seed: int = 5) -> list[tuple[list[float], int]
             (f"{name} = ", f"get_{chance.choice(DICTIONARY)}()", "\n", 0), (f"{name}=", f"${{{chance.choice(DICTIONARY).upper()}}}", "\n", 0),
             (f"{name} = ", f"{chance.choice(DICTIONARY)}.{chance.choice(DICTIONARY)}", "\n", 0), (f'{name} = "', "*" * chance.randint(6, 16), '"', 0),
             (f'{name} = "', chance.choice(("changeme", "password", "your-password", "undefined", "required")), '"', 0),
+            (f"<{name}>", password(), f"</{name}>", 1), (f"run --{name} ", password(), "\n", 1),
+            (f"set{name.title()}('", password(), "')", 1), (f"--{name}=", drawn(key[:62], 8, 15), " ", 1),
+            (f"<{name}>", chance.choice(DICTIONARY) + drawn(small, 2, 4), f"</{name}>", 0),
+            (f"run --{name} ", drawn(small, 6, 12), " ", 0), (f'get_{name}("', named(2), '")', 0),
+            (f"get{name.title()}('", drawn(small, 6, 12), "')", 0),
             ("http://user:", chance.choice(("password", "${PASSWORD}", "your_password", "******")), "@host", 0),
         ]
         found += [(features(before, text, after), label) for before, text, after, label in rows]
@@ -401,11 +438,15 @@ def redact(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
                 spans.append((k, start, end))
                 values.append(features(one[max(0, start - CONTEXT) : start], one[start:end], one[end : end + CONTEXT]))
         scores = shared.value.scores(np.array(values, dtype=float).reshape(-1, len(FEATURES)))
-        changed: list[str | None] = [None] * len(decoded)
-        for (k, start, end), score in reversed(list(zip(spans, scores))):
+        kept: dict[int, list[str]] = {}
+        reached: dict[int, int] = {}
+        for (k, start, end), score in zip(spans, scores):
             if score >= least_score:
-                one = decoded[k] if changed[k] is None else changed[k]
-                changed[k] = one[:start] + REPLACEMENT + one[end:]
+                kept.setdefault(k, []).append(decoded[k][reached.get(k, 0) : start])
+                reached[k] = end
+        changed = [
+            REPLACEMENT.join([*kept[k], one[reached[k] :]]) if k in kept else None for k, one in enumerate(decoded)
+        ]
         return [pa.array(changed, pa.string())]
 
     scanned = map_texts(

@@ -94,6 +94,32 @@ def test_languages_on_held_out_rows(spark):
     assert abs(confidence - np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in held])) < 0.05
 
 
+HELD_OUT_SECRETS = [
+    ("export DB_PASSWORD='k9#Tr!vLm2'", "k9#Tr!vLm2"), ("  - name: pwd\n    pwd: vR7$kq!zP0", "vR7$kq!zP0"),
+    ("redis://cache:Zx81!mnQ@10.0.0.7:6379/0", "Zx81!mnQ"), ("amqp://svc:p4Ss-w0rd-77@mq/vhost", "p4Ss-w0rd-77"),
+    ('client.login(user="bob", password="T0p*Secr3t")', "T0p*Secr3t"), ("curl -H 'X-Auth-Token: 8f3Kd02mQzX1'", "8f3Kd02mQzX1"),
+    ("AccountKey=Zm9vYmFyMTIzNDU2Nzg5MGFiY2RlZg==;Suffix", "Zm9vYmFyMTIzNDU2Nzg5MGFiY2RlZg=="),
+    ('"clientSecret" : "q7~Lw0.VxP3_nB8-rT5"', "q7~Lw0.VxP3_nB8-rT5"), ("$passwd => 'M!lk7&Honey'", "M!lk7&Honey"),
+    ("<apikey>4kTz-99Qw-Lm3x</apikey>", "4kTz-99Qw-Lm3x"), ("deploy --api-key 7hGq2LmN0pRz --force", "7hGq2LmN0pRz"),
+    ('os.environ["SECRET"] = "w3T-!p0tat0"', "w3T-!p0tat0"), ("withCredential(`aa9!Bz0#Kd`)", "aa9!Bz0#Kd"),
+]
+HELD_OUT_HARMLESS = [
+    "password: minimum eight characters", 'token = "identifier"', "key: Enter", "the private key: stored offline",
+    "getPassword('username')", "<key>Country</key>", "tool --token stdin", 'pwd = "/home/user/work"',
+    "auth = request.headers", "access: public", "commit 9fceb02d0ae598e95dc970b74767f19372d61af8 fixed it",
+    "sha256 " + "0f1e2d3c4b5a6978" * 4, "password=<your password>", "secret = config.secret", 'credential("default")',
+    "call (555) 0199 or write", "keyboard: layout", "https://example.com/docs/getting-started/index.html",
+]
+
+
+def test_forms_that_were_not_learnt_from(spark):
+    """Forms apart from those made for training: precision and recall of at least 0.9."""
+    found = secrets_of(spark, *(text for text, _ in HELD_OUT_SECRETS), *HELD_OUT_HARMLESS)
+    true = {(k, value) for k, (_, value) in enumerate(HELD_OUT_SECRETS)}
+    assert len(found & true) >= 0.9 * len(true), true - found
+    assert len(found & true) >= 0.9 * len(found), found - true
+
+
 def test_language_defined_cases(spark, odd_documents, no_documents):
     model = queries.language_model(odd_documents)
     assert model.languages == ["en", "fr"]
@@ -217,7 +243,12 @@ def test_candidates_take_digits_or_changes_of_case():
 @pytest.mark.parametrize("text, value", [
     ('password = "Hunter2!x9" here', "Hunter2!x9"), ("go to postgres://bob:s3cretPw@db now", "s3cretPw"),
     ('token = "QWERTYUIOPASDFGHJKLZ"', "QWERTYUIOPASDFGHJKLZ"), ("API_KEY=aB3.xY9!kL2$mN5~pQ8@rS1.", "aB3.xY9!kL2$mN5~pQ8@rS1"),
-    ("contraseña: Verano2024!", "Verano2024!"),
+    ("contraseña: Verano2024!", "Verano2024!"), ("<password>Hunter2!x9</password>", "Hunter2!x9"),
+    ("mysql --password Hunter2!x9 now", "Hunter2!x9"), ('passphrase = "Hunter2!x9"', "Hunter2!x9"),
+    ('{"db_pass": "Hunter2!x9"}', "Hunter2!x9"), ("setPassword('Hunter2!x9')", "Hunter2!x9"),
+    ('пароль = "Hunter2!x9"', "Hunter2!x9"), ('密码: "Hunter2!x9"', "Hunter2!x9"),
+    (f'password = "{"aB3$" * 150}"', "aB3$" * 150), (f"https://{'u' * 400}:{'aB3$' * 100}@db", "aB3$" * 100),
+    ('password_of_the_production_server = "Hunter2!x9"', "Hunter2!x9"),
 ])
 def test_values_of_secret_names_are_judged(spark, text, value):
     assert value in [text[a:b] for a, b in secret_scan.candidates(text)]
