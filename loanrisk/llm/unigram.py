@@ -9,7 +9,7 @@ vocabulary's bounded size, reaches the driver and is broadcast to the next round
 The first probabilities are proportional to a piece's occurrences times its length. Expected counts
 are added up as whole multiples of 2**-20, so that results do not depend on the order of rows. Pieces
 that occur nowhere get no score. A letter without a piece is passed at a score below every piece.
-Learning takes pre-tokens over STRETCH letters in stretches of that length.
+Pre-tokens of any length are weighed whole; those over LONG_WORD letters one by one, with the same sums.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from loanrisk.llm.common import arrow_pass, checkpointed, slices
 
 WORD_MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-ROUNDS, STRETCH = 2, 256
+ROUNDS, LONG_WORD = 2, 256
 #: Distinct pre-tokens that a task counts before it hands them on, and letters weighed side by side.
 HELD_WORDS, LETTERS_AT_ONCE = 200_000, 300_000
 UNIT = 1 << 20
@@ -115,6 +115,11 @@ class Lattice:
         first = np.repeat(opening, closing + 1 - opening)
         ahead, behind = np.full(len(letters), -np.inf), np.full(len(letters), -np.inf)
         ahead[opening] = behind[closing] = 0.0
+        if len(closing) == 1:
+            self._along(ahead, start, end, score)
+            self._along(behind, end, start, score, backwards=True)
+            share = np.exp(ahead[start] + score + behind[end] - ahead[last[start]])
+            return self._total(piece, np.rint(share * UNIT) * counts[last[start]])
         # Edges of the same end (or start) within their words and the same length never share a place.
         for group in self._groups((end - first[end]) << 32 | length):
             to = end[group]
@@ -125,6 +130,17 @@ class Lattice:
         share = np.exp(ahead[start] + score + behind[end] - ahead[last[start]])
         return self._total(piece, np.rint(share * UNIT) * counts[last[start]])
 
+    @staticmethod
+    def _along(total: np.ndarray, source: np.ndarray, target: np.ndarray, score: np.ndarray, backwards: bool = False) -> None:
+        """Log sums at every place of one word, one place after the other."""
+        order = np.argsort(target, kind="stable")
+        reached, first = np.unique(target[order], return_index=True)
+        cuts = [*first.tolist(), len(order)]
+        places = range(len(reached))
+        for k in reversed(places) if backwards else places:
+            group = order[cuts[k] : cuts[k + 1]]
+            total[reached[k]] = np.logaddexp.reduce(total[source[group]] + score[group])
+
     def _total(self, piece: np.ndarray, weights: np.ndarray) -> np.ndarray:
         return np.bincount(piece, weights, self.size + 1)[: self.size].astype(np.int64)
 
@@ -139,19 +155,13 @@ class Lattice:
         return np.split(order, np.flatnonzero(np.diff(key[order])) + 1) if len(order) else []
 
 
-def laid_out(words: list[bytes], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Letters of marked pre-tokens, each stretch closed by NO_LETTER, and at the closing places the counts."""
-    stretches, numbers = [], []
-    for word, count in zip(words, counts):
-        text = WORD_MARK + word.decode("utf-8", "replace")
-        for start in range(0, len(text), STRETCH):
-            stretches.append(text[start : start + STRETCH])
-            numbers.append(count)
-    joined = "\n".join(stretches) + "\n"  # pre-tokens hold no line ends
+def laid_out(words: list[str], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Letters of marked pre-tokens, each closed by NO_LETTER, and at the closing places the counts."""
+    joined = "\n".join(words) + "\n"  # pre-tokens hold no line ends
     letters = np.frombuffer(joined.encode("utf-32-le", "replace"), dtype="<u4").astype(np.int64)
     letters[letters == ord("\n")] = NO_LETTER
     at = np.zeros(len(letters))
-    at[letters == NO_LETTER] = numbers
+    at[letters == NO_LETTER] = counts
     return letters, at
 
 
@@ -163,26 +173,28 @@ def _summed(counts: DataFrame, pieces: list[str], scores: np.ndarray | None) ->
         pieces, scores = shared.value
         lattice = Lattice(pieces)
         total = np.zeros(len(pieces), dtype=np.int64)
-        words: list[bytes] = []
+        words: list[str] = []
         numbers: list[int] = []
         held = 0
 
-        def weigh() -> None:
+        def weigh(words: list[str], numbers: list[int]) -> None:
             letters, at = laid_out(words, numbers)
             total[:] += lattice.occurrences(letters, at) if scores is None else lattice.expected(letters, at, scores)
-            words.clear()
-            numbers.clear()
 
         for batch in batches:
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words.append(word)
+                text = WORD_MARK + word.decode("utf-8", "replace")
+                if len(text) > LONG_WORD:
+                    weigh([text], [n])
+                    continue
+                words.append(text)
                 numbers.append(n)
-                held += len(word) + 2
+                held += len(text) + 1
                 if held > LETTERS_AT_ONCE:
-                    weigh()
-                    held = 0
+                    weigh(words, numbers)
+                    words, numbers, held = [], [], 0
         if words:
-            weigh()
+            weigh(words, numbers)
         some = np.flatnonzero(total)
         yield [pa.array(some, pa.int32()), pa.array(total[some], pa.int64())]
 

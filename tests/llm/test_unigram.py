@@ -59,6 +59,17 @@ def test_long_words_are_learnt_from_whole(spark):
     )
 
 
+def test_one_long_word_is_weighed_as_among_others():
+    import numpy as np
+
+    lattice = unigram.Lattice(PIECES)
+    scores = np.array([-1.0 - 0.3 * (k % 5) for k in range(len(PIECES))])
+    words = ["▁" + "abcxab"[k % 4 :] * (1 + k % 90) for k in range(7)] + ["▁" + "abcab" * 300]
+    together = lattice.expected(*unigram.laid_out(words, [3] * len(words)), scores)
+    alone = sum(lattice.expected(*unigram.laid_out([word], [3]), scores) for word in words)
+    assert abs(together - alone).max() <= 1e-9 * together.max()
+
+
 def test_frequent_words_that_are_pieces_are_one_token(spark, tmp_path):
     texts = ["the information of the government is international"] * 40 + ["the of the is of"] * 40
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
