@@ -39,8 +39,10 @@ NO_PAIR = np.int64(1) << 62
 #: Entries of a worker's caches; a chunk over the length limit is never kept. A full cache takes no
 #: more, and starts anew when most of what is asked for is not in it.
 CACHED_CHUNKS, CACHED_PIECES, CACHED_LENGTH = 450_000, 250_000, 64
+#: Ids below this (a power of two) have their pairs' ranks in a plain table.
+SMALL_IDS = 1024
 #: Symbols merged side by side.
-MERGED_AT_ONCE = 1 << 19
+MERGED_AT_ONCE = 1 << 17
 
 # Chunks of printable ASCII and precomposed Latin letters: normal already but for their case.
 LATIN = re.compile("[!-~À-ÖØ-öø-įı-ſ]*")
@@ -64,6 +66,19 @@ class PairMerger:
         self.keys = np.append(keys, np.iinfo(np.int64).max)
         self.ranks = np.append(first, 0)
         self.joined = table[:, 2]
+        # Ranks of pairs of small ids, which bytes have, as a plain table; the last id of it is none (-1).
+        self.small = np.full(SMALL_IDS * SMALL_IDS, -1, dtype=np.int32)
+        some = np.flatnonzero((table[:, :2] < SMALL_IDS - 1).all(axis=1))[::-1]  # the first of a pair stays
+        self.small[table[some, 0] * SMALL_IDS + table[some, 1]] = some
+
+    def _first_leaves(self, symbols: np.ndarray, width: int) -> np.ndarray:
+        """Leaves of all adjacent symbols before any merge."""
+        position = np.arange(width - 1, dtype=np.int64)
+        if symbols.max() >= SMALL_IDS - 1:
+            return self._leaves(symbols[:, :-1], symbols[:, 1:], position, width)
+        ids = symbols & (SMALL_IDS - 1)
+        rank = self.small[ids[:, :-1] * SMALL_IDS + ids[:, 1:]].astype(np.int64)
+        return np.where(rank >= 0, rank * width + position, NO_PAIR)
 
     def _leaves(self, left: np.ndarray, right: np.ndarray, position: np.ndarray, width: int):
         """Rank and position of pairs as one number that sorts by both; negative ids never pair."""
@@ -80,9 +95,8 @@ class PairMerger:
         rows, width = symbols.shape
         if width == 1 or not rows:
             return symbols
-        leaf = np.arange(width - 1, dtype=np.int64)
         tree = np.full((rows, 2 * width), NO_PAIR)
-        tree[:, width:-1] = self._leaves(symbols[:, :-1], symbols[:, 1:], leaf, width)
+        tree[:, width:-1] = self._first_leaves(symbols, width)
         level = width
         while level > 1:
             pairs = tree[:, level : 2 * level]
@@ -158,24 +172,20 @@ class Encoder:
         split = list(map(self._chunks, texts))
         known = self.chunks
         found = [list(map(known.get, chunks)) for chunks in split]
-        missing: set[bytes] = set()
-        for chunks, ids in zip(split, found):
-            if None in ids:
-                missing.update(compress(chunks, map(is_, ids, repeat(None))))
-        if not missing:
-            return list(map(b"".join, found))
-        if len(known) > CACHED_CHUNKS and 2 * len(missing) > len(set().union(*split)):
-            known.clear()
-            missing = set().union(*split)
-        full = len(known) > CACHED_CHUNKS
-        known.update(zip(missing, self._encode_chunks(list(missing))))
-        out = [
-            b"".join(map(known.__getitem__, chunks) if None in ids else ids)
-            for chunks, ids in zip(split, found)
-        ]
-        for chunk in missing if full else [c for c in missing if len(c) > CACHED_LENGTH]:
-            del known[chunk]
-        return out
+        gaps = [list(compress(range(len(ids)), map(is_, ids, repeat(None)))) if None in ids else [] for ids in found]
+        missing = {chunks[k] for chunks, holes in zip(split, gaps) for k in holes}
+        if missing:
+            fresh = dict(zip(missing, self._encode_chunks(list(missing))))
+            for chunks, ids, holes in zip(split, found, gaps):
+                for k in holes:
+                    ids[k] = fresh[chunks[k]]
+            if len(known) > CACHED_CHUNKS and 2 * len(missing) > len(set().union(*split)):
+                known.clear()
+                for chunks, ids in zip(split, found):
+                    fresh.update(zip(chunks, ids))
+            if len(known) <= CACHED_CHUNKS:
+                known.update((chunk, ids) for chunk, ids in fresh.items() if len(chunk) <= CACHED_LENGTH)
+        return list(map(b"".join, found))
 
     def _chunks(self, text: bytes) -> list[bytes]:
         """Chunks between white space, in lower case where that changes no id."""
@@ -191,7 +201,7 @@ class Encoder:
         distinct = set(flat)
         missing = distinct.difference(self.pieces)
         if len(self.pieces) > CACHED_PIECES and 2 * len(missing) > len(distinct):
-            self.pieces, missing = {}, distinct
+            self.pieces = {p: self.pieces[p] for p in distinct.difference(missing)}
         known = self.pieces
         missing.discard("\n")
         numbers = {p for p in missing if type(p) is int}
