@@ -102,16 +102,21 @@ def flagged_rows(df: DataFrame, contract: Contract) -> tuple[DataFrame, list[str
     return checked.withColumn(FLAGS, flags).select(*names, FLAGS), list(broken)
 
 
-def observed(df: DataFrame, contract: Contract) -> tuple[DataFrame, Observation]:
+def observed(
+    df: DataFrame, contract: Contract, span: str | None = None
+) -> tuple[DataFrame, Observation]:
     """The same rows, and what a write of them will have counted: ``rows`` and every broken rule.
 
+    With ``span``, also the ``least`` and the ``most`` of that column.
+
     Nothing is scanned for it. The count belongs to the last stage, whose tasks count once whatever
     has to be run again; so nothing may be shuffled between this and the write.
     """
     flagged, names = flagged_rows(df, contract)
     observation = Observation()
     counted = (F.count_if(F.get(FLAGS, F.lit(k))).alias(name) for k, name in enumerate(names))
-    watched = flagged.observe(observation, F.count(F.lit(1)).alias("rows"), *counted)
+    ends = [] if span is None else [F.min(span).alias("least"), F.max(span).alias("most")]
+    watched = flagged.observe(observation, F.count(F.lit(1)).alias("rows"), *counted, *ends)
     return watched.drop(FLAGS), observation
 
 

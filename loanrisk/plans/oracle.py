@@ -248,15 +248,17 @@ def _average(column: str) -> str:
     return f"((2 * CAST(sum({column}) * 100 AS BIGINT) + count(*)) // (2 * count(*)))"
 
 
-def _summary(source: str, flagged: str) -> str:
+def _summary(
+    source: str, flagged: str, shown: str = "risk_category", by: str = "risk_category"
+) -> str:
     return f"""
-SELECT risk_category, count(*) AS account_count,
+SELECT {shown}, count(*) AS account_count,
        CAST(sum(loan_amount) AS DOUBLE) AS total_loan_amount,
        {_average("credit_score")} / 100 AS avg_credit_score,
        {_average("current_ltv")} / 100 AS avg_ltv,
        {_average("risk_score")} / 100 AS avg_risk_score,
        CAST(sum(CASE WHEN {flagged} THEN 1 ELSE 0 END) AS BIGINT) AS high_risk_flags
-FROM {source} GROUP BY risk_category"""
+FROM {source} GROUP BY {by}"""
 
 
 def _violations(table: str, key: str, rule: str, column: str, source: str, broken: str) -> str:
@@ -544,6 +546,15 @@ def oracle_sql() -> dict[str, str]:
     dated = {
         "risk_history": _METRICS.format(source="contract"),
         "risk_point_in_time": _METRICS.format(source="coded"),
+        "risk_summary_by_date": _summary(
+            "contract", "risk_flags <> ''",
+            "CAST(as_of AS VARCHAR) AS calculation_date, risk_category", "as_of, risk_category",
+        ),
+        "risk_summary_by_province": _summary(
+            "(SELECT c.*, a.property_province FROM contract c JOIN accounts a USING (account_id))",
+            "risk_flags <> ''",
+            "CAST(as_of AS VARCHAR) AS calculation_date, property_province", "as_of, property_province",
+        ),
         "orders_as_of_metrics": f"""
 SELECT order_id, o.account_id, CAST(order_date AS VARCHAR) AS order_date,
        CASE WHEN c.account_id IS NOT NULL

@@ -17,6 +17,7 @@ from pyspark.sql.types import ArrayType, DateType, DecimalType
 from loanrisk.operators import carried, history, metrics, quality, reports, staging
 from loanrisk.operators.asof import as_of_join
 from loanrisk.operators.history import KEY, Calendar
+from loanrisk.operators.rollup import rolled_up, summary_parts
 from loanrisk.policy import AS_CODED, CONTRACT, RiskPolicy, flag_policy, tier_policy
 from loanrisk.sources import sample
 from loanrisk.sources.schemas import (
@@ -106,6 +107,13 @@ def _history(spark: SparkSession, sf_dir: str, policy: RiskPolicy) -> DataFrame:
     )
 
 
+def _rolled_up(spark: SparkSession, sf_dir: str, by: str) -> DataFrame:
+    """The summaries of all dates of the calendar, added up from parts."""
+    history = _history(spark, sf_dir, CONTRACT)
+    parts = summary_parts(history, sample.mortgage_accounts(spark, sf_dir))
+    return rolled_up(parts, "calculation_date", by)
+
+
 def _without_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = metrics.accounts_without_scores(
         sample.mortgage_accounts(spark, sf_dir),
@@ -429,6 +437,8 @@ _QUERIES: dict[str, Query] = {
     "retried_scores": _retried_scores,
     "open_rejects": _open_rejects,
     "high_risk_top10_with_orphans": _top10_with_orphans,
+    "risk_summary_by_date": lambda s, d: _rolled_up(s, d, "risk_category"),
+    "risk_summary_by_province": lambda s, d: _rolled_up(s, d, "property_province"),
     "risk_history": lambda s, d: _history(s, d, CONTRACT),
     "risk_point_in_time": lambda s, d: _history(s, d, AS_CODED),
 }

@@ -19,6 +19,7 @@ from loanrisk.operators.carried import SCORE_STATE, advance, metrics_from_state,
 from loanrisk.operators.metrics import rejects_of
 from loanrisk.operators.quality import FLAGS, Contract, contract_rules, flagged_rows, observed
 from loanrisk.operators.reports import SUMMARY, high_risk_alerts, load_counts
+from loanrisk.operators.rollup import ROLLED_UP, summary_parts
 from loanrisk.operators.staging import (
     rejected, since, stage_accounts, stage_scores, unseen, upsert, with_rejects,
 )
@@ -29,6 +30,7 @@ from loanrisk.sources.schemas import (
     MORTGAGE_ACCOUNTS,
     REJECTED_METRICS,
     RISK_METRICS,
+    SUMMARY_PARTS,
     TABLES,
     conform,
     staged,
@@ -89,6 +91,10 @@ def _refuse_broken(table: str, counted: dict[str, int]) -> int:
 _ROWS = "loanrisk.rows."
 
 
+#: So are the least and the greatest key of a load.
+_LEAST, _MOST = "loanrisk.least.", "loanrisk.most."
+
+
 def _note_rows(spark: SparkSession, table: str, part: str, rows: int) -> None:
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_text(_ROWS + part)} = {_text(str(rows))})")
 
@@ -307,20 +313,44 @@ def append_load(rows: DataFrame, loads: str, number: int, contract: Contract = C
 
     The files are written first and count what breaks the contract; the catalog then learns of them in
     one statement, so readers see all of a load or nothing. A load that has failed can be written again.
+    The write also notes between which keys the load lies, see ``loads_with``.
     """
     spark = rows.sparkSession
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {loads}").filter("col_name = 'Location'")
     place = f"{described.first()['data_type'].rstrip('/')}/{LOAD}={number}"
-    checked, counted = observed(conform(rows, CREDIT_SCORES), contract)
+    checked, observation = observed(conform(rows, CREDIT_SCORES), contract, span="score_id")
     checked.write.mode("overwrite").parquet(place)
-    written = _refuse_broken(loads, counted.get)
+    counted = dict(observation.get)
+    ends = counted.pop("least"), counted.pop("most")
+    written = _refuse_broken(loads, counted)
     if written:
         spark.sql(f"ALTER TABLE {loads} ADD PARTITION ({LOAD} = {number}) LOCATION {_text(place)}")
         _note_rows(spark, loads, str(number), written)
+        noted = ", ".join(
+            f"{_text(kind + str(number))} = {_text(end)}" for kind, end in zip((_LEAST, _MOST), ends)
+        )
+        spark.sql(f"ALTER TABLE {loads} SET TBLPROPERTIES ({noted})")
         spark.catalog.refreshTable(loads)
     return written
 
 
+def loads_with(keys: DataFrame, loads: str) -> list[int]:
+    """Numbers of the loads that may hold some of ``keys`` (a column ``score_id``).
+
+    A load does if a key lies between its least and its greatest, as its write has noted; one without
+    such a note always does. The keys are read once and aggregated, the loads not at all.
+    """
+    spark = keys.sparkSession
+    noted = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {loads}").collect()}
+    numbers = _parts(spark, loads)
+    spans = {n: (noted[_LEAST + n], noted[_MOST + n]) for n in numbers if {_LEAST + n, _MOST + n} <= set(noted)}
+    if not spans:
+        return sorted(map(int, numbers))
+    key = F.col("score_id")
+    met = keys.agg(*(F.bool_or(key.between(*span)).alias(n) for n, span in spans.items())).first()
+    return sorted(int(n) for n in numbers if n not in spans or met[n])
+
+
 def carry_state(
     spark: SparkSession, database: str, as_of: date, policy: RiskPolicy, keep: int = 8
 ) -> DataFrame:
@@ -354,19 +384,34 @@ def carry_state(
     return spark.table(states).filter(F.col(HISTORY_PARTITION) == F.lit(as_of))
 
 
+def write_summary(spark: SparkSession, database: str, dates: Collection[date]) -> int:
+    """Sum up the stored metrics of the given dates into ``risk_summary_parts``, in place of what these
+    dates had. To be called after their metrics are written; other dates stay unread."""
+    table = f"{database}.risk_summary_parts"
+    create_table(spark, table, SUMMARY_PARTS, "Sums and counts per date, tier and province", HISTORY_PARTITION)
+    metrics = spark.table(f"{database}.risk_metrics").filter(F.col(HISTORY_PARTITION).isin(list(dates)))
+    parts = summary_parts(metrics, spark.table(f"{database}.mortgage_accounts"))
+    return write_history(parts, table, SUMMARY_PARTS, dates)
+
+
 def create_summary_view(spark: SparkSession, database: str) -> None:
     """``vw_risk_summary`` over the stored tables, on the latest calculation date stored now.
 
     The date is a literal, so that readers open one partition; create the view again after
-    a new date is written.
+    a new date is written. If the date has been summed up by ``write_summary``, readers open its few
+    parts only; otherwise the metrics and the accounts.
     """
-    columns = ", ".join(f"{sql} AS {name}" for name, sql in SUMMARY.items())
     latest = latest_date(spark, f"{database}.risk_metrics")
     day = "CAST(NULL AS DATE)" if latest is None else f"DATE '{latest}'"
+    parts, made_of = f"{database}.risk_summary_parts", SUMMARY
+    source = f"{database}.risk_metrics JOIN {database}.mortgage_accounts USING (account_id)"
+    if spark.catalog.tableExists(parts) and str(latest) in _parts(spark, parts):
+        source, made_of = parts, ROLLED_UP
+    columns = ", ".join(f"{sql} AS {name}" for name, sql in made_of.items())
     spark.sql(f"""
         CREATE OR REPLACE VIEW {database}.vw_risk_summary AS
         SELECT risk_category, {columns}
-        FROM {database}.risk_metrics JOIN {database}.mortgage_accounts USING (account_id)
+        FROM {source}
         WHERE {HISTORY_PARTITION} = {day}
         GROUP BY risk_category
     """)
@@ -411,8 +456,10 @@ def _store_scores(spark: SparkSession, database: str, raw: DataFrame, as_of: dat
     kept = _kept_rejects(spark, database, "rejected_scores", rejects)
     accounts = spark.table(f"{database}.mortgage_accounts").select("account_id")
     number = 1 + max(map(int, _parts(spark, loads)), default=0)
-    stored = spark.table(loads).filter(F.col(LOAD) < number)
-    valid, refused = stage_scores(with_rejects(raw, kept), stored, accounts)
+    batch = with_rejects(raw, kept)
+    # Only loads that may hold a key of the batch are opened to tell which rows are new.
+    stored = spark.table(loads).filter(F.col(LOAD).isin(loads_with(batch, loads)))
+    valid, refused = stage_scores(batch, stored, accounts)
     contract = Contract(contract_rules(CREDIT_SCORES), "score_id", ((accounts, "account_id"),))
     append_load(valid, loads, number, contract)
     publish_snapshot(
@@ -454,6 +501,7 @@ def run_cycle(
         create_table(spark, table, REJECTED_METRICS, "Accounts without metrics at a date", HISTORY_PARTITION)
         dated = refused.withColumn(HISTORY_PARTITION, F.lit(as_of))
         write_history(dated, table, REJECTED_METRICS, [as_of])
+    write_summary(spark, database, [as_of])
     create_summary_view(spark, database)
     alerts = high_risk_alerts(spark.table(metrics_table), as_of)
     write_alerts(spark, alerts, f"{database}.high_risk_alerts", [as_of])

@@ -10,6 +10,7 @@ from pyspark.sql.types import (
     DateType,
     DecimalType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -76,6 +77,21 @@ REJECTED_METRICS = StructType([
     _column("calculation_date", DateType(), "Day the row describes"),
 ])
 
+SUMMARY_PARTS = StructType([
+    _column("risk_category", StringType(), "Tier from the newest score"),
+    _column("property_province", StringType(), "Province of the property", True),
+    _column("account_count", LongType(), "Accounts"),
+    _column("total_loan_amount", DecimalType(20, 2), "Sum of their loans", True),
+    _column("latest_credit_score_sum", DecimalType(20, 2), "Sum of newest scores", True),
+    _column("latest_credit_score_known", LongType(), "Accounts with a score"),
+    _column("current_ltv_sum", DecimalType(20, 2), "Sum of loan-to-value percentages", True),
+    _column("current_ltv_known", LongType(), "Accounts with a loan-to-value percentage"),
+    _column("risk_score_normalized_sum", DecimalType(20, 2), "Sum of weighted scores", True),
+    _column("risk_score_normalized_known", LongType(), "Accounts with a weighted score"),
+    _column("high_risk_flags", LongType(), "Accounts with a warning"),
+    _column("calculation_date", DateType(), "Day the row describes"),
+])
+
 TABLES = {
     "mortgage_accounts": (MORTGAGE_ACCOUNTS, "Accounts, one row each"),
     "credit_scores": (CREDIT_SCORES, "Observations of credit standing, by date"),
