@@ -7,13 +7,14 @@ password in a URL: quoted text whole, other values up to white space, a quote or
 without closing punctuation. A name is the word before, however long, with a secret's name in it. Where a value of several parts (white space, /, =, ?, &, : between them)
 holds such runs, these are the candidates, else the whole value is. The
 forest sees its length, transitions between kinds of characters, share of characters that dictionary
-words cover, characters that keys do not have, path-like surroundings and neighbouring words, and says how likely it is a secret. It is
+words cover (the corpus's own words, counted over all documents, and a short list), characters that keys do not have, path-like surroundings and neighbouring words, and says how likely it is a secret. It is
 trained from labelled findings: rows of features and a label. ``weak_labels`` takes those findings of
 the corpus that a plain rule can settle (assigned to a secret's name; or a number, or named a digest),
 ``made_findings`` adds usual forms that a corpus may lack, made by rule.
 
-Candidates of all documents are found in whole texts. Only the forest is fitted on a bounded sample: at
-most ``labelled_rows`` findings of either label, those of the smallest hash.
+Candidates of all documents are found in whole texts, words counted in whole texts of all documents. Only
+the forest is fitted on a bounded sample: at most ``labelled_rows`` findings of either label, those of the
+smallest hash. The dictionary is the DICTIONARY_WORDS words that most documents hold, if COMMON or more do.
 
 Defined results: null and empty texts have no candidates; repeated rows have theirs each; overlapping
 candidates do not occur; positions count characters from 0, the end excluded; an empty table gives an
@@ -75,7 +76,10 @@ HARMLESS_NAMES = frozenset(
     "sha md5 commit hash checksum digest uuid guid id revision version build serial etag example sample "
     "test card number phone order invoice isbn iban account reference".split()
 )
-# Common in names, paths and prose; what they cover is no random string.
+# A corpus's words are dictionary words if they stand alone, not next to characters of keys.
+DICTIONARY_WORDS, COMMON, LEAST_LETTERS, MOST_LETTERS = 20_000, 3, 4, 16
+ALONE = r"(?<![\p{L}\p{N}+/_=\-])\p{Lu}?\p{Ll}{%d,%d}(?![\p{L}\p{N}+/_=\-])" % (LEAST_LETTERS - 1, MOST_LETTERS)
+# Common in names and paths; they are dictionary words in any corpus.
 DICTIONARY = (
     "about account after also application array before build cache check class client code common config "
     "content controller core count create data date default delete directory document download element "
@@ -89,7 +93,7 @@ DICTIONARY = (
     "type unit update upload user util utils value version view warehouse when where which window with work "
     "would your"
 ).split()
-IN_DICTIONARY = re.compile("|".join(sorted(DICTIONARY, key=len, reverse=True)))
+LISTED = frozenset(DICTIONARY)
 FEATURES = (
     "log_length", "transitions", "digits", "upper", "hex", "entropy", "distinct", "longest_run", "dictionary",
     "vowels", "separators", "path", "secret_name", "harmless_name", "assigned", "quoted", "prefix", "longest_same",
@@ -183,7 +187,38 @@ def _kind(letter: str) -> int:
     return 0 if letter.islower() else 1 if letter.isupper() else 2 if letter.isdigit() else 3
 
 
-def features(before: str, found: str, after: str) -> list[float]:
+def corpus_words(docs: DataFrame, most: int = DICTIONARY_WORDS, common: int = COMMON) -> frozenset[str]:
+    """The dictionary: words that the most documents hold, ties in alphabetical order, and the listed ones.
+
+    All documents are counted whole, each word once a document; at most ``most`` words come to the driver.
+    """
+    held = F.array_distinct(F.transform(
+        F.regexp_extract_all(docs["text"].cast("string"), F.lit(ALONE), F.lit(0)), F.lower
+    ))
+    counted = (
+        docs.select(F.explode(held).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("documents"))
+        .filter((F.col("documents") >= common) & F.char_length("word").between(LEAST_LETTERS, MOST_LETTERS))
+    )
+    chosen = counted.orderBy(F.desc("documents"), "word").limit(most).select("word").toArrow()
+    return LISTED.union(chosen.column(0).to_pylist())
+
+
+def covered(low: str, words: frozenset[str]) -> int:
+    """Characters that words cover, from the left, the longest word first."""
+    total = at = 0
+    last = len(low) - LEAST_LETTERS
+    while at <= last:
+        for end in range(min(at + MOST_LETTERS, len(low)), at + LEAST_LETTERS - 1, -1):
+            if low[at:end] in words:
+                total += end - at
+                at = end
+                break
+        else:
+            at += 1
+    return total
+
+
+def features(before: str, found: str, after: str, words: frozenset[str] = LISTED) -> list[float]:
     """What the forest sees of a candidate and the characters around it."""
     n = len(found)
     kinds = [_kind(letter) for letter in found]
@@ -202,7 +237,7 @@ def features(before: str, found: str, after: str) -> list[float]:
         math.log2(n), changes / (n - 1), kinds.count(2) / n, kinds.count(1) / n,
         float(all(letter in "0123456789abcdef" for letter in low)),
         -sum(c / n * math.log2(c / n) for c in counts.values()), len(counts) / n, longest / n,
-        sum(map(len, IN_DICTIONARY.findall(low))) / n, sum(letter in "aeiou" for letter in low) / letters,
+        covered(low, words) / n, sum(letter in "aeiou" for letter in low) / letters,
         sum(letter in "/_-" for letter in found) / n,
         float(found.count("/") > 1 or before[-1:] in tuple("/\\.@") or after[:1] in tuple("@.\\") and after[1:2].isalnum()),
         float(any(word in SECRET_NAMES for word in near)), float(any(word in HARMLESS_NAMES for word in near)),
@@ -288,7 +323,9 @@ def grow_forest(values: np.ndarray, labels: np.ndarray, trees: int = 40, depth:
     return forest
 
 
-def made_findings(each: int = 40, seed: int = 5) -> list[tuple[list[float], int]]:
+def made_findings(
+    each: int = 40, seed: int = 5, words: frozenset[str] = LISTED
+) -> list[tuple[list[float], int]]:
     """Usual secrets and usual false alarms, made by rule: features and label."""
     chance = random.Random(seed)
     hexes, key = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
@@ -346,12 +383,13 @@ def made_findings(each: int = 40, seed: int = 5) -> list[tuple[list[float], int]
             (f"get{name.title()}('", drawn(small, 6, 12), "')", 0),
             ("http://user:", chance.choice(("password", "${PASSWORD}", "your_password", "******")), "@host", 0),
         ]
-        found += [(features(before, text, after), label) for before, text, after, label in rows]
+        found += [(features(before, text, after, words), label) for before, text, after, label in rows]
     return found
 
 
-def findings(docs: DataFrame) -> DataFrame:
+def findings(docs: DataFrame, words: frozenset[str] = LISTED) -> DataFrame:
     """One row per candidate: doc_id, start, end, secret_sha256, features."""
+    known = docs.sparkSession.sparkContext.broadcast(words)  # at most DICTIONARY_WORDS and the list
     struct = T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
         T.StructField("secret_sha256", T.StringType()), T.StructField("features", T.ArrayType(T.DoubleType())),
@@ -365,7 +403,9 @@ def findings(docs: DataFrame) -> DataFrame:
                 starts.append(start)
                 ends.append(end)
                 digests.append(hashlib.sha256(text[start:end].encode()).hexdigest())
-                values.append(features(text[max(0, start - CONTEXT) : start], text[start:end], text[end : end + CONTEXT]))
+                values.append(features(
+                    text[max(0, start - CONTEXT) : start], text[start:end], text[end : end + CONTEXT], known.value
+                ))
             offsets.append(len(starts))
         rows = pa.StructArray.from_arrays(
             [pa.array(starts, pa.int64()), pa.array(ends, pa.int64()), pa.array(digests, pa.string()),
@@ -396,15 +436,18 @@ def weak_labels(found: DataFrame) -> DataFrame:
     ).filter("label is not null")
 
 
-def train(labelled: DataFrame, labelled_rows: int = LABELLED_ROWS, made: int = 40) -> Forest:
-    """A forest from at most labelled_rows findings (features, label, secret_sha256) of either label."""
+def train(
+    labelled: DataFrame, labelled_rows: int = LABELLED_ROWS, made: int = 40, words: frozenset[str] = LISTED
+) -> Forest:
+    """A forest from at most labelled_rows findings (features, label, secret_sha256) of either label;
+    ``words``: the dictionary that the features were made with."""
     first = Window.partitionBy("label").orderBy("order", "features")
     rows = (
         labelled.select("features", "label", F.xxhash64("secret_sha256", "features").alias("order"))
         .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= labelled_rows)
         .orderBy("label", "place").select("features", "label").toArrow()
     )
-    known = made_findings(made)
+    known = made_findings(made, words=words)
     values = [*rows.column("features").to_pylist(), *(x for x, _ in known)]
     labels = [*rows.column("label").to_pylist(), *(y for _, y in known)]
     return grow_forest(np.array(values, dtype=float).reshape(-1, len(FEATURES)), np.array(labels, dtype=int))
@@ -412,8 +455,9 @@ def train(labelled: DataFrame, labelled_rows: int = LABELLED_ROWS, made: int = 4
 
 def secret_scan(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     """One row per candidate: doc_id, start, end, secret_sha256, score, is_secret."""
-    found = checkpointed(findings(docs))
-    shared = docs.sparkSession.sparkContext.broadcast(train(weak_labels(found)))  # of a fixed size
+    words = corpus_words(docs)
+    found = checkpointed(findings(docs, words))
+    shared = docs.sparkSession.sparkContext.broadcast(train(weak_labels(found), words=words))  # of a fixed size
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
@@ -428,16 +472,21 @@ def redact(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     """docs with every secret replaced in its text, and n_chars counted again where a text changed."""
     plain, names = positional(docs)
     text, n_chars = names["text"], names.get("n_chars")
-    shared = docs.sparkSession.sparkContext.broadcast(train(weak_labels(checkpointed(findings(docs)))))
+    words = corpus_words(docs)
+    forest = train(weak_labels(checkpointed(findings(docs, words))), words=words)
+    shared = docs.sparkSession.sparkContext.broadcast((forest, words))  # both of a bounded size
 
     def replace(_: pa.RecordBatch, texts: list[bytes]) -> list[pa.Array]:
         decoded = [raw.decode("utf-8", "replace") for raw in texts]
+        forest, words = shared.value
         spans, values = [], []
         for k, one in enumerate(decoded):
             for start, end in candidates(one):
                 spans.append((k, start, end))
-                values.append(features(one[max(0, start - CONTEXT) : start], one[start:end], one[end : end + CONTEXT]))
-        scores = shared.value.scores(np.array(values, dtype=float).reshape(-1, len(FEATURES)))
+                values.append(features(
+                    one[max(0, start - CONTEXT) : start], one[start:end], one[end : end + CONTEXT], words
+                ))
+        scores = forest.scores(np.array(values, dtype=float).reshape(-1, len(FEATURES)))
         kept: dict[int, list[str]] = {}
         reached: dict[int, int] = {}
         for (k, start, end), score in zip(spans, scores):

@@ -268,3 +268,26 @@ def test_harmless_values_of_secret_names(spark):
         spark, "password: required", 'password = "your-password"', "token = get_token()", "the key: something else",
         "http://user:password@host/", 'key = "the name of the field"',
     ) == set()
+
+
+def test_dictionary_comes_from_the_words_of_all_documents(spark, odd_documents, no_documents):
+    """Against a plain count; parts of keys and words of few documents are none."""
+    texts = ["Marmalade harbour, harbour", "marmalade and harbour (quince)", "Harbour marmalade7 x/quince", None, "",
+             "the marmalade: harbour", "quince " * 50_000, "kabcdefghi=zebra zebra-key", "ZEBRA zebra zebra2"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    words = secret_scan.corpus_words(docs) - secret_scan.LISTED
+    assert words == {"marmalade", "harbour"}
+    assert secret_scan.corpus_words(docs, common=2) - secret_scan.LISTED == {"marmalade", "harbour", "quince"}
+    # Ties in alphabetical order; harbour is in four documents, marmalade in three.
+    assert secret_scan.corpus_words(docs, most=1) - secret_scan.LISTED == {"harbour"}
+    assert secret_scan.corpus_words(no_documents) == secret_scan.LISTED
+    assert secret_scan.corpus_words(odd_documents) >= secret_scan.LISTED
+
+
+def test_coverage_takes_the_longest_word_from_the_left():
+    words = frozenset(["hand", "handler", "lerna", "name"])
+    assert secret_scan.covered("handlername9xhand", words) == 15
+    assert secret_scan.covered("han", words) == secret_scan.covered("", words) == 0
+    at = secret_scan.FEATURES.index("dictionary")
+    assert secret_scan.features("", "Marmalade7", "")[at] == 0
+    assert secret_scan.features("", "Marmalade7", "", frozenset(["marmalade"]))[at] == 0.9
