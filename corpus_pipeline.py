@@ -53,12 +53,25 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what lies between them is kept in the shared folder."""
+    """All stages over documents; what lies between them is kept in the shared folder.
+
+    A stage's table goes once the next one's is written whole; the last one stays, as the result reads it.
+    After a failure the tables written so far remain.
+    """
     docs = read_table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4()}"
+    before = None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}_{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            _remove(spark, before)
+        before = path
     return docs
