@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections import defaultdict
 
@@ -86,6 +87,10 @@ def test_run_gives_what_its_stages_give(spark, scale_dir, documents, tmp_path):
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     whole = corpus_pipeline.run(spark, scale_dir)
     assert sorted(map(tuple, whole.select(columns).collect())) == sorted(map(tuple, docs.select(columns).collect()))
+    # Of the tables between the stages only the last is left.
+    folders = {os.path.dirname(file.replace("file://", "")) for file in whole.inputFiles()}
+    (left,) = folders
+    assert os.listdir(os.path.dirname(left)) == [os.path.basename(left)] == ["4_packing"]
 
 
 def test_stages_take_odd_and_empty_tables(spark, scale_dir, odd_documents, no_documents, tmp_path):
