@@ -32,9 +32,12 @@ SINGLE = "".join(rf"\p{{Is{script}}}" for script in (
     "Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan", "Javanese", "Balinese",
     "Tai_Le", "New_Tai_Lue", "Tai_Tham", "Tai_Viet",
 ))
+# Java looks a character's script up for every script named. Ranges without any of these scripts, put
+# first, spare that for nearly all characters; the rest of each class alone would match the same.
+ALONE = rf"[\x{{E00}}-\x{{10FFFF}}&&[{SINGLE}]]"
 # The ideograph beyond 16 bits, named once more, has Java look behind by whole characters.
-IN_RUN = rf"[^\s{SINGLE}" + "\U00020000]"
-UNIT = rf"[{SINGLE}]|(?<!{IN_RUN}){IN_RUN}{{1,64}}+(?!{IN_RUN})|{IN_RUN}"
+IN_RUN = rf"[!-\x{{DFF}}\x{{1C00}}-\x{{2E7F}}\x{{AC00}}-\x{{D7A3}}[^\s{SINGLE}" + "\U00020000]]"
+UNIT = rf"{ALONE}|(?<!{IN_RUN}){IN_RUN}{{1,64}}+(?!{IN_RUN})|{IN_RUN}"
 
 
 def _let(value: Column, body) -> Column:

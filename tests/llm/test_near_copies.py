@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -258,3 +259,39 @@ def test_units(spark):
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
     found = docs.select(F.regexp_extract_all("text", F.lit(fingerprints.UNIT), F.lit(0)))
     assert sorted(r[0] for r in found.collect()) == sorted(units)
+
+
+#: What UNIT is to match, without the ranges that spare the look-up of scripts.
+PLAIN_IN_RUN = rf"[^\s{fingerprints.SINGLE}" + "\U00020000]"
+PLAIN_UNIT = rf"[{fingerprints.SINGLE}]|(?<!{PLAIN_IN_RUN}){PLAIN_IN_RUN}{{1,64}}+(?!{PLAIN_IN_RUN})|{PLAIN_IN_RUN}"
+
+
+def units_by(pattern):
+    return F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+
+
+def test_units_of_every_character(spark):
+    """Each character in a word, at its ends, alone and in a run over 64."""
+    points = [chr(p) for p in range(0x110000) if not 0xD800 <= p <= 0xDFFF]
+    chance = random.Random(8)
+    some = [0x0, 0x20, 0x41, 0xDFF, 0xE00, 0xE01, 0xEFF, 0x1000, 0x1780, 0x1BFF, 0x1C00, 0x2E7F, 0x2E80, 0x3042, 0x4E00,
+            0xABFF, 0xAC00, 0xD7A3, 0xD7A4, 0xF900, 0xFF66, 0x1F600, 0x20000, 0x10FFFF]
+    texts = [" ".join(f"x{c}y {c} {c}y x{c}" for c in points[k : k + 4096]) for k in range(0, len(points), 4096)]
+    texts += ["".join(chr(chance.choice(some)) * chance.choice((1, 1, 2, 64, 65)) for _ in range(60)) for _ in range(400)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert docs.filter(~units_by(fingerprints.UNIT).eqNullSafe(units_by(PLAIN_UNIT))).count() == 0
+
+
+def test_units_take_no_script_look_up_per_character(spark):
+    """Well under the time of the plain class; it was that class, and most of the operator's time."""
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(3000)), lambda k: F.lower(F.hex(F.xxhash64(k, "id")))))
+    docs = spark.range(300).select(text.alias("text")).localCheckpoint()
+    taken = {}
+    for pattern in (PLAIN_UNIT, fingerprints.UNIT):
+        runs = []
+        for _ in range(4):
+            start = time.perf_counter()
+            docs.select(F.size(units_by(pattern)).alias("units")).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - start)
+        taken[pattern] = min(runs)
+    assert taken[fingerprints.UNIT] < 0.6 * taken[PLAIN_UNIT]
