@@ -20,6 +20,7 @@ SUMMARY = (
 )
 VIOLATIONS = "table_name string, row_key string, rule string, column_name string, value string"
 ORPHANS = "table_name string, row_key string, missing_parent string"
+DATED_SUMMARY = f"calculation_date date, {SUMMARY}"
 
 TYPES = {
     "mortgage_accounts": ddl(MORTGAGE_ACCOUNTS),
@@ -102,6 +103,8 @@ TYPES = {
     "load_new_scores": ddl(CREDIT_SCORES),
     "load_orphans": ORPHANS,
     "append_orphans": ORPHANS,
+    "risk_summary_by_date": DATED_SUMMARY,
+    "risk_summary_by_province": DATED_SUMMARY.replace("risk_category", "property_province"),
     "risk_history": CONTRACT_METRICS,
     "risk_point_in_time": METRICS,
 }
