@@ -73,19 +73,19 @@ def high_risk_accounts(
     accounts: DataFrame,
     calculation_date: date | None = None,
     top: int = 10,
+    owned: bool = False,
 ) -> DataFrame:
     """The riskiest accounts of the two worst tiers, riskiest first.
 
     A metrics row without an account, which the foreign-key check reports, takes no place in the
     list: only the keys of accounts are read for that, and the rows of accounts meet the
-    ``top`` rows alone.
+    ``top`` rows alone. ``owned`` is for metrics that come from a join with these accounts: there
+    is no such row then, and the keys are not read again.
     """
-    worst = (
-        high_risk(snapshot(metrics, calculation_date))
-        .join(accounts.select(KEY), KEY, "left_semi")
-        .orderBy(F.desc("risk_score_normalized"), KEY)
-        .limit(top)
-    )
+    listed = high_risk(snapshot(metrics, calculation_date))
+    if not owned:
+        listed = listed.join(accounts.select(KEY), KEY, "left_semi")
+    worst = listed.orderBy(F.desc("risk_score_normalized"), KEY).limit(top)
     owners = accounts.select(KEY, "customer_id", "property_province", "loan_amount")
     # The limit bounds the broadcast side: ``top`` rows.
     return owners.join(F.broadcast(worst), KEY).orderBy(F.desc("risk_score_normalized"), KEY).select(

@@ -76,7 +76,7 @@ def _portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     accounts = sample.mortgage_accounts(spark, sf_dir)
-    return reports.high_risk_accounts(_metrics(spark, sf_dir, AS_CODED), accounts, AS_OF)
+    return reports.high_risk_accounts(_metrics(spark, sf_dir, AS_CODED), accounts, AS_OF, owned=True)
 
 
 def _top5_trends(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -212,6 +212,14 @@ def test_an_orphan_takes_no_place_in_the_top_list(make_accounts, make_scores):
     assert [r["account_id"] for r in owned.collect()] == ["B", "C"]
 
 
+def test_metrics_of_the_same_accounts_need_no_second_look_at_keys(make_accounts, make_scores):
+    accounts = make_accounts(("A", "50.00", "100.00"), ("B", "50.00", "100.00"), ("B", "60.00", "100.00"))
+    scores = make_scores(*({"account_id": name, "credit_score": 500} for name in ("A", "B", "Z")))
+    built = metrics.build_risk_metrics(accounts, scores, AS_OF, CONTRACT)
+    top, owned = (reports.high_risk_accounts(built, accounts, AS_OF, 3, owned) for owned in (False, True))
+    assert rows_of(top) == rows_of(owned) and {r["account_id"] for r in owned.collect()} == {"A", "B"}
+
+
 def test_accounts_without_scores(make_accounts, make_scores):
     accounts = make_accounts(("A", "50.00", "100.00"), ("B", "50.00", "100.00"))
     scores = make_scores({"account_id": "A", "score_date": date(2023, 5, 1)})
