@@ -457,8 +457,7 @@ def class_links(
 
     meetings = _meetings(prints, classes)
     asked = _neighbours(classes, percent)
-    links = verified(asked)
-    roots, complete = components(links), True
+    roots, complete = components(verified(asked)), True
     while True:
         proposed = _proposals(meetings, roots, classes, percent, nearest, block)
         pairs = proposed.filter("source is not null").groupBy("source", "target").agg(
@@ -470,9 +469,10 @@ def class_links(
             pairs = pairs.filter("groups >= wanted")
         new = stored(pairs.select("source", "target").join(asked, ["source", "target"], "left_anti"))
         if not new.isEmpty():
-            links = links.unionByName(verified(new))
-            roots = components(links)
-        cut = proposed.filter("more is not null").select(F.col("more").alias("token")).distinct()
+            links = verified(new)
+            if not links.isEmpty():
+                roots = components(links.union(roots))
+        cut = proposed.filter("more is not null").select(F.col("more").alias("token"))
         if cut.isEmpty():
             return roots
         # What all groups but these had to propose has been verified.

@@ -10,8 +10,8 @@ Equal fingerprints are one class from the start: copies cost one row. What can s
 key shared by many different fingerprints of a crowd of near copies. Its size is known beforehand from
 the counts of the segment values; a key over BLOCK rows is split into blocks, and each pair of blocks
 meets in a task of its own. Within a task links are joined at once into a spanning forest, so at most
-one edge per row comes out, never all pairs. Components come from alternating large-star and small-star
-rounds over those edges.
+one edge per row comes out, never all pairs. Components come from rounds over those edges: a task joins
+its edges into a forest, all tasks' edges of a node go to the least root, and nodes go on to their root's root.
 
 Keys have 20 bits. The share of chance meetings is (distinct fingerprints) / 2**20 per key, checked at
 a few nanoseconds each; ``segments`` and ``chosen`` make longer keys for larger corpora (5 and 2: 24
@@ -35,15 +35,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from loanrisk.llm.common import arrow_pass, checkpointed, map_texts, numbered, unused
+from loanrisk.llm.common import arrow_pass, checkpointed, map_texts, numbered, stored, unused
 
 SHINGLE_WORDS, MAX_BITS, SEED, BITS = 4, 4, 42, 64
 SEGMENTS, CHOSEN = 3, 1
 EDGE = T.StructType([T.StructField("source", T.LongType()), T.StructField("target", T.LongType())])
+LABEL = T.StructType([T.StructField("node", T.LongType()), T.StructField("root", T.LongType())])
 #: Shingles of a text whose bits are counted together.
 SHINGLES_AT_ONCE = 1 << 15
 #: Fingerprints under one key that one task may compare at once.
 BLOCK = 2048
+#: Edges that a task joins at once; nodes whose roots may be broadcast, at 16 bytes each, and steps up in a round then.
+EDGES_AT_ONCE, BROADCAST_ROWS, STEPS = 1 << 20, 500_000, 4
 
 
 def fingerprint(text: bytes, words_per_shingle: int = SHINGLE_WORDS) -> int:
@@ -221,34 +224,53 @@ def links(
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of the edges; root is the least node of its component."""
-    edges = checkpointed(edges.filter("source != target").select(
+    """(node, root) for every node of the edges but the roots; root is the least node of its component."""
+    edges = edges.filter("source != target").select(
         F.greatest("source", "target").alias("node"), F.least("source", "target").alias("root")
-    ).distinct())
-    state = None
+    )
     while True:
-        both = edges.union(edges.select("root", "node")).toDF("node", "other")
-        # Large star: what is larger than a node goes to the least around it.
-        edges = _to_least(both, keep=F.col("other") > F.col("node"), own=False)
-        # Small star: a node and what is smaller around it go to the least of these.
-        edges = checkpointed(_to_least(edges, keep=F.lit(True), own=True).distinct())
-        before, state = state, edges.agg(
-            F.count(F.lit(1)), F.bit_xor(F.xxhash64("node", "other")), F.sum(F.col("node") % 1000003)
-        ).first()
-        edges = edges.toDF("node", "root")
-        if state == before:
-            return edges
-
-
-def _to_least(around: DataFrame, keep: Column, own: bool) -> DataFrame:
-    """(node, other) edges, pointed at the least of each node and its others."""
-    # Stored, so that the join has a shuffle on either side and a hot node can be split.
-    least = checkpointed(around.groupBy("node").agg(F.min("other").alias("least")))
-    joined = around.join(least, "node").withColumn("least", F.least("node", "least"))
-    pointed = joined.filter(keep).select(F.col("other").alias("node"), F.col("least").alias("other"))
-    if own:
-        pointed = pointed.union(least.select("node", "least"))
-    return pointed.filter("node != other").distinct()
+        # A task has made one edge of a node at most, so that the roots of no node are too many for an array.
+        around = _forest(edges).groupBy("node").agg(F.collect_set("root").alias("roots"))
+        pointed = around.select("node", F.array_min("roots").alias("least"), F.explode("roots").alias("root"))
+        own = F.col("root") == F.col("least")
+        edges = stored(pointed.select(
+            F.when(own, F.col("node")).otherwise(F.col("root")).alias("node"), F.col("least").alias("root"),
+            own.alias("own"),
+        ))
+        # Stored, so that the join has a shuffle on either side and a hot root can be split.
+        above = edges.filter("own").select(F.col("node").alias("root"), F.col("root").alias("above"))
+        few = above.count() <= BROADCAST_ROWS
+        if few:
+            above = F.broadcast(above)
+        if edges.filter("not own").isEmpty() and edges.join(above, "root", "left_semi").isEmpty():
+            return edges.select("node", "root")
+        # From root to root's root. Each step takes edges away or leads to lesser nodes, until every node has
+        # one edge, to a root that has none.
+        for _ in range(STEPS if few else 1):
+            edges = edges.join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
+
+
+def _forest(edges: DataFrame) -> DataFrame:
+    """(node, root) edges that join what the edges of a partition join: from each node to the least it reaches."""
+
+    def joined(node: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        nodes, place = np.unique(np.concatenate((node, root)), return_inverse=True)
+        label = np.arange(len(nodes))
+        _join(label, place[: len(node)], place[len(node) :])
+        below = np.flatnonzero(label != np.arange(len(nodes)))
+        return nodes[below], nodes[label[below]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
+        forest, held, rows = (np.empty(0, dtype=np.int64),) * 2, [], 0
+        for batch in batches:
+            held.append([column.to_numpy() for column in batch.columns])
+            rows += len(batch)
+            if rows > len(forest[0]) + EDGES_AT_ONCE:
+                forest, held, rows = joined(*map(np.concatenate, zip(forest, *held))), [], 0
+        node, root = joined(*map(np.concatenate, zip(forest, *held)))
+        yield [pa.array(node), pa.array(root)]
+
+    return arrow_pass(edges.select("node", "root"), run, LABEL)
 
 
 def near_duplicates(
