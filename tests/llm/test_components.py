@@ -49,7 +49,7 @@ def graphs():
 
 
 @pytest.mark.parametrize("limits", [{}, {"BROADCAST_ROWS": 0, "EDGES_AT_ONCE": 8}], ids=["given", "small"])
-@pytest.mark.parametrize("name, edges", graphs(), ids=lambda value: value if isinstance(value, str) else "")
+@pytest.mark.parametrize("name, edges", list(graphs()), ids=lambda value: value if isinstance(value, str) else "")
 def test_components(spark, monkeypatch, name, edges, limits):
     for limit, value in limits.items():
         monkeypatch.setattr(simhash, limit, value)
